@@ -1,0 +1 @@
+"""No streaming operators: the cutoff is a batch filter on event time, not a watermark."""
