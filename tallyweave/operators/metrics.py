@@ -62,7 +62,7 @@ def measures() -> list[Column]:
     return [value.alias(name) for name, value in (counts | money).items()]
 
 
-def _with_rates(totals: DataFrame) -> DataFrame:
+def with_rates(totals: DataFrame) -> DataFrame:
     return totals.withColumns(
         {
             "exception_transaction_rate": ratio(F.col("exception_transactions"), F.col("observed_transactions")),
@@ -102,7 +102,7 @@ def dimension_metrics(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_al
     dimension, at most five) are broadcast back. A window per dimension would pull all
     merchants into one task.
     """
-    totals = frozen(_with_rates(dimension_totals(cases, dimensions, include_all)))
+    totals = frozen(with_rates(dimension_totals(cases, dimensions, include_all)))
     whole = totals.groupBy("dimension").agg(
         F.sum("current_exposure_inr").alias("_exposure"), F.sum("exception_transactions").alias("_flagged")
     )
@@ -145,7 +145,7 @@ SUMMARY_COLUMNS = (
 
 def summary(cases: DataFrame) -> DataFrame:
     """Exactly one row. A global aggregate yields zero counts and null rates on no input."""
-    return _with_rates(cases.agg(*measures())).select(*SUMMARY_COLUMNS)
+    return with_rates(cases.agg(*measures())).select(*SUMMARY_COLUMNS)
 
 
 def summary_by_cutoff(cases: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def summary_by_cutoff(cases: DataFrame, cutoffs: DataFrame) -> DataFrame:
     totals = cases.groupBy("as_of").agg(*measures())
     filled = cutoffs.join(totals, "as_of", "left").na.fill(0)
     amounts = {f.name: F.coalesce(f.name, F.lit(0).cast(f.dataType)) for f in totals.schema if f.name != "as_of"}
-    return _with_rates(filled.withColumns(amounts)).select("as_of", *SUMMARY_COLUMNS)
+    return with_rates(filled.withColumns(amounts)).select("as_of", *SUMMARY_COLUMNS)
 
 
 def exception_type_metrics(detected: DataFrame, cases: DataFrame) -> DataFrame:

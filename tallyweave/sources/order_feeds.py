@@ -142,6 +142,33 @@ def truth_labels(orders: DataFrame) -> DataFrame:
     )
 
 
+# Case number -> (column, faulty text) of the faulty ledger.
+LEDGER_FAULTS = {
+    20: ("merchant_id", "  "),
+    21: ("currency", "USD"),
+    22: ("created_at", "12:30"),
+    23: ("gross_amount", "1d"),
+    24: ("gross_amount", "-5.00"),
+    25: ("gross_amount", "1.001"),
+    26: ("gross_amount", "10000000000000"),
+    28: ("merchant_id", "\u00a0"),
+    29: ("created_at", "not-a-date"),
+    30: ("gross_amount", "Infinity"),
+}
+REPEATED_KEY = 27
+
+
+def faulty_ledger(orders: DataFrame) -> DataFrame:
+    """The ledger as text with known contract violations, to exercise validation."""
+    case = F.substring("transaction_id", -2, 2).cast("int")
+    text = internal_feed(orders)
+    text = text.select(*[F.col(name).cast("string").alias(name) for name in text.columns])
+    for number, (column, fault) in LEDGER_FAULTS.items():
+        text = text.withColumn(column, F.when(case == number, F.lit(fault)).otherwise(F.col(column)))
+    copies = F.sequence(F.lit(1), F.when(case == REPEATED_KEY, 2).otherwise(1))
+    return text.withColumn("copy", F.explode(copies)).drop("copy")
+
+
 def _payments(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     digits = F.lpad(key.cast("string"), 9, "0")
