@@ -7,9 +7,6 @@ from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Default tolerances in rupees and settlement window in days.
 DEFAULT_AMOUNT_TOLERANCE = 0.05
 DEFAULT_FEE_TOLERANCE = 0.05
@@ -27,20 +24,23 @@ class ReconciliationConfig:
             if not math.isfinite(value) or value < 0:
                 raise ValueError(f"{name} must be finite and nonnegative, got {value!r}")
 
-    def amount_limit(self) -> Column:
+    def amount_limit(self) -> str:
         return _six_decimals(self.amount_tolerance)
 
-    def fee_limit(self) -> Column:
+    def fee_limit(self) -> str:
         return _six_decimals(self.fee_tolerance)
 
-    def settlement_window(self) -> Column:
+    def settlement_days(self) -> str:
+        return f"CAST({self.max_settlement_days!r} AS DOUBLE)"
+
+    def settlement_window(self) -> str:
         """The settlement window as a constant interval; fractions of a day count."""
         seconds = Decimal(str(self.max_settlement_days)) * 86400
-        return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
+        return f"make_dt_interval(0, 0, 0, CAST('{seconds}' AS DECIMAL(18,6)))"
 
 
-def _six_decimals(value: float) -> Column:
-    return F.lit(Decimal(str(value))).cast("decimal(18,6)")
+def _six_decimals(value: float) -> str:
+    return f"CAST('{Decimal(str(value))}' AS DECIMAL(18,6))"
 
 
 def parse_cutoff(as_of) -> datetime:
@@ -67,6 +67,6 @@ def parse_cutoff(as_of) -> datetime:
     return moment
 
 
-def cutoff_literal(as_of) -> Column:
-    """A constant TIMESTAMP_NTZ column, so that the comparison reaches the scan."""
-    return F.lit(parse_cutoff(as_of).isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
+def cutoff_literal(as_of) -> str:
+    """The cutoff as a TIMESTAMP_NTZ literal, so that the comparison reaches the scan."""
+    return f"TIMESTAMP_NTZ'{parse_cutoff(as_of).isoformat(sep=' ', timespec='microseconds')}'"

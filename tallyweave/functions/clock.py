@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Shape of acceptable timestamp text. A full calendar date is required,
@@ -11,31 +9,34 @@ from pyspark.sql import types as T
 FULL_DATE = r"^\s*\d{4}-\d{2}-\d{2}([T ]|\s*$)"
 ZONE_SUFFIX = r":\d{2}(\.\d+)?\s*([Zz]|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
 
-MICROS_PER_DAY = 86_400_000_000
+MICROS_PER_DAY = "86400000000D"
 
 
-def as_utc(column: Column, dtype: T.DataType) -> Column:
+def as_utc(name: str, dtype: T.DataType) -> str:
     """Normalise text, date or timestamp to TIMESTAMP_NTZ in UTC; null if invalid."""
     if isinstance(dtype, T.TimestampNTZType):
-        return column
+        return name
     if isinstance(dtype, T.DateType):
-        return column.cast("timestamp_ntz")
+        return f"CAST({name} AS TIMESTAMP_NTZ)"
     if isinstance(dtype, T.TimestampType):
-        return _instant_as_utc(column)
+        return _instant_as_utc(name)
     if isinstance(dtype, T.StringType):
-        zoned = F.regexp_like(column, F.lit(ZONE_SUFFIX))
-        return F.when(
-            F.regexp_like(column, F.lit(FULL_DATE)),
-            F.when(zoned, _instant_as_utc(column.try_cast("timestamp"))).otherwise(column.try_cast("timestamp_ntz")),
+        zoned = _instant_as_utc(f"try_cast({name} AS TIMESTAMP)")
+        return (
+            f"CASE WHEN regexp_like({name}, r'{FULL_DATE}') THEN "
+            f"IF(regexp_like({name}, r'{ZONE_SUFFIX}'), {zoned}, try_cast({name} AS TIMESTAMP_NTZ)) END"
         )
     raise ValueError(f"a {dtype.simpleString()} column cannot hold event times")
 
 
-def _instant_as_utc(instant: Column) -> Column:
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+def _instant_as_utc(instant: str) -> str:
+    return f"timestampadd(MICROSECOND, unix_micros({instant}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 
-def days_between(start: Column, end: Column) -> Column:
+def micros_between(start: str, end: str) -> str:
+    return f"timestampdiff(MICROSECOND, {start}, {end})"
+
+
+def days_between(start: str, end: str) -> str:
     """Elapsed days as a double, exact to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(float(MICROS_PER_DAY))
+    return f"({micros_between(start, end)} / {MICROS_PER_DAY})"

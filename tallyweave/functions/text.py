@@ -1,11 +1,10 @@
-"""Text tests and formatting as column expressions."""
+"""Text tests and formatting."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tallyweave.functions import text_literal
 
 # Every character that counts as blank space at the edge of a key.
 BLANK_CHARACTERS = (
@@ -19,30 +18,30 @@ BLANK_CHARACTERS = (
 HTML_ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
 
 
-def is_blank(column: Column) -> Column:
+def is_blank(value: str) -> str:
     """True for null, empty and whitespace-only text."""
-    return column.isNull() | (F.ltrim(column, F.lit(BLANK_CHARACTERS)) == "")
+    return f"({value} IS NULL OR TRIM(LEADING '{BLANK_CHARACTERS}' FROM {value}) = '')"
 
 
-def html_escaped(column: Column) -> Column:
+def html_escaped(value: str) -> str:
     for character, entity in HTML_ENTITIES:
-        column = F.replace(column, F.lit(character), F.lit(entity))
-    return column
+        value = f"replace({value}, {text_literal(character)}, {text_literal(entity)})"
+    return value
 
 
-def joined_labels(labels: Iterable[tuple[str, Column]], separator: str) -> Column:
+def joined_labels(labels: Iterable[tuple[str, str]], separator: str) -> str:
     """Labels whose condition holds, in alphabetical order, joined by a separator.
 
     ``concat_ws`` skips nulls, so an ordered string aggregate over a fixed label set
     becomes one expression on the row.
     """
-    parts = [F.when(condition, F.lit(label)) for label, condition in sorted(labels, key=lambda pair: pair[0])]
-    return F.concat_ws(separator, *parts)
+    parts = [f"IF({condition}, {text_literal(label)}, NULL)" for label, condition in sorted(labels)]
+    return f"concat_ws('{separator}', {', '.join(parts)})"
 
 
-def grouped_thousands(column: Column, decimals: int = 0) -> Column:
-    return F.format_number(column, decimals)
+def grouped_thousands(value: str, decimals: int = 0) -> str:
+    return f"format_number({value}, {decimals})"
 
 
-def percentage(column: Column) -> Column:
-    return F.format_string("%.2f%%", column * 100)
+def percentage(value: str) -> str:
+    return f"format_string('%.2f%%', {value} * 100)"

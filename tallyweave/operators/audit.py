@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyweave.config import cutoff_literal
 from tallyweave.functions.clock import as_utc
@@ -18,24 +17,26 @@ def source_counts(feeds: dict[str, DataFrame], as_of) -> DataFrame:
     parts = []
     for contract in CONTRACTS:
         feed = feeds[contract.name]
-        event_at = as_utc(F.col(contract.time), feed.schema[contract.time].dataType)
+        event_at = as_utc(contract.time, feed.schema[contract.time].dataType)
         parts.append(
-            feed.agg(
-                F.count("*").alias("input_rows"),
-                F.count_if(event_at <= cutoff).alias("included_rows"),
-                F.count_if(event_at > cutoff).alias("future_rows_excluded"),
-            ).select(F.lit(contract.name).alias("feed"), "*")
+            feed.selectExpr(
+                f"'{contract.name}' AS feed",
+                "count(*) AS input_rows",
+                f"count_if({event_at} <= {cutoff}) AS included_rows",
+                f"count_if({event_at} > {cutoff}) AS future_rows_excluded",
+            )
         )
     return reduce(DataFrame.unionByName, parts)
 
 
 def table_fingerprint(table: DataFrame, name: str) -> DataFrame:
     """Order-insensitive content hash and row count of a table, in one pass."""
-    hashed = F.xxhash64(*[F.col(c) for c in sorted(table.columns)]).cast("decimal(38,0)")
-    return table.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(hashed), F.lit(0).cast("decimal(38,0)")).cast("string").alias("content_hash"),
-    ).select(F.lit(name).alias("table_name"), "*")
+    row_hash = f"CAST(xxhash64({', '.join(sorted(table.columns))}) AS DECIMAL(38,0))"
+    return table.selectExpr(
+        f"'{name}' AS table_name",
+        "count(*) AS rows",
+        f"CAST(coalesce(sum({row_hash}), 0) AS STRING) AS content_hash",
+    )
 
 
 def fingerprints(tables: dict[str, DataFrame]) -> DataFrame:
@@ -45,6 +46,6 @@ def fingerprints(tables: dict[str, DataFrame]) -> DataFrame:
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
     """SHA-256 per file below a folder, for report files of bounded size."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(
-        F.substring_index("path", "/", -1).alias("file"), "path", "length", F.sha2("content", 256).alias("sha256")
+    return files.selectExpr(
+        "substring_index(path, '/', -1) AS file", "path", "length", "sha2(content, 256) AS sha256"
     )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.functions import aggregates, named
 from tallyweave.functions.money import GRAND_TOTAL, ratio_or_zero
 
 KEYS = ["exception_type", "transaction_id"]
@@ -35,7 +36,7 @@ def evaluate_detections(truth: DataFrame, detected: DataFrame) -> EvaluationResu
 
 def distinct_detections(detected: DataFrame) -> DataFrame:
     """One detection per key; the smallest amount makes the choice repeatable."""
-    return detected.groupBy(*KEYS).agg(F.min("amount_at_risk").alias("amount_at_risk"))
+    return detected.groupBy(*KEYS).agg(F.expr("min(amount_at_risk) AS amount_at_risk"))
 
 
 def comparison(truth: DataFrame, detected: DataFrame) -> DataFrame:
@@ -45,18 +46,18 @@ def comparison(truth: DataFrame, detected: DataFrame) -> DataFrame:
     the detections without a label: a left join lets Spark split a hot truth key over
     tasks, which it cannot do for a full outer join.
     """
-    single = distinct_detections(detected).withColumn("detected_present", F.lit(True))
-    labels = truth.select(*KEYS, "reference_amount").withColumn("truth_present", F.lit(True))
-    labelled = labels.join(single, KEYS, "left")
-    unlabelled = single.join(labels.select(*KEYS).distinct(), KEYS, "left_anti")
-    both = labelled.unionByName(unlabelled, allowMissingColumns=True)
-    present = {name: F.coalesce(name, F.lit(False)) for name in ("truth_present", "detected_present")}
-    return both.withColumns(present).withColumn(
-        "outcome",
-        F.when(F.col("truth_present") & F.col("detected_present"), "tp")
-        .when(F.col("detected_present"), "fp")
-        .otherwise("fn"),
+    found = distinct_detections(detected).selectExpr("*", "true AS _found")
+    labels = truth.select(*KEYS, "reference_amount")
+    labelled = labels.join(found, KEYS, "left").selectExpr(
+        "* EXCEPT (_found)",
+        "true AS truth_present",
+        "_found IS NOT NULL AS detected_present",
+        "IF(_found, 'tp', 'fn') AS outcome",
     )
+    unlabelled = found.join(labels.select(*KEYS).distinct(), KEYS, "left_anti").selectExpr(
+        "* EXCEPT (_found)", "false AS truth_present", "true AS detected_present", "'fp' AS outcome"
+    )
+    return labelled.unionByName(unlabelled, allowMissingColumns=True)
 
 
 def outcome_counts(truth: DataFrame, detected: DataFrame) -> DataFrame:
@@ -64,62 +65,47 @@ def outcome_counts(truth: DataFrame, detected: DataFrame) -> DataFrame:
 
     Repeated labels collapse before the shuffle, and no join is needed for totals.
     """
-    labels = truth.select(
-        *KEYS,
-        F.col("reference_amount").cast(GRAND_TOTAL).alias("amount"),
-        F.lit(1).alias("labels"),
-        F.lit(0).alias("detections"),
-    )
-    found = detected.select(
-        *KEYS, F.lit(None).cast(GRAND_TOTAL).alias("amount"), F.lit(0).alias("labels"), F.lit(1).alias("detections")
-    )
-    keyed = labels.unionByName(found).groupBy(*KEYS).agg(
-        F.sum("labels").alias("labels"), F.max("detections").alias("detected"), F.sum("amount").alias("amount")
+    labels = truth.selectExpr(
+        *KEYS, f"CAST(reference_amount AS {GRAND_TOTAL}) AS amount", "1 AS labels", "0 AS detections"
     )
-    hit = F.col("detected") == 1
-    return keyed.select(
-        "exception_type",
-        "labels",
-        "detected",
-        "amount",
-        F.when(hit, F.col("labels")).otherwise(0).alias("tp"),
-        F.when(hit & (F.col("labels") == 0), 1).otherwise(0).alias("fp"),
-        F.when(hit, 0).otherwise(F.col("labels")).alias("fn"),
+    found = detected.selectExpr(*KEYS, f"CAST(NULL AS {GRAND_TOTAL}) AS amount", "0 AS labels", "1 AS detections")
+    totals = {"labels": "sum(labels)", "detected": "max(detections)", "amount": "sum(amount)"}
+    return (
+        labels.unionByName(found)
+        .groupBy(*KEYS)
+        .agg(*aggregates(totals))
+        .selectExpr(
+            "exception_type",
+            "labels",
+            "detected",
+            "amount",
+            "IF(detected = 1, labels, 0L) AS tp",
+            "IF(detected = 1 AND labels = 0, 1L, 0L) AS fp",
+            "IF(detected = 1, 0L, labels) AS fn",
+        )
     )
 
 
-def _scores() -> dict[str, Column]:
-    tp, fp, fn = (F.col(name) for name in ("tp", "fp", "fn"))
-    return {
-        "precision": ratio_or_zero(tp, tp + fp),
-        "recall": ratio_or_zero(tp, tp + fn),
-        "f1": ratio_or_zero(tp * 2, tp * 2 + fp + fn),
-    }
-
-
-def _outcomes() -> list[Column]:
-    return [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("tp", "fp", "fn")]
+SCORES = {
+    "precision": ratio_or_zero("tp", "tp + fp"),
+    "recall": ratio_or_zero("tp", "tp + fn"),
+    "f1": ratio_or_zero("2 * tp", "2 * tp + fp + fn"),
+}
+OUTCOMES = {name: f"coalesce(sum({name}), 0L)" for name in ("tp", "fp", "fn")}
 
 
 def evaluation_by_type(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("exception_type").agg(*_outcomes()).withColumns(_scores())
+    return counted.groupBy("exception_type").agg(*aggregates(OUTCOMES)).selectExpr("*", *named(SCORES))
 
 
 def evaluation_summary(counted: DataFrame) -> DataFrame:
-    captured = F.sum(F.when(F.col("tp") > 0, F.col("amount")))
-    nothing = F.lit(0).cast(GRAND_TOTAL)
-    totals = counted.agg(
-        F.coalesce(F.sum("labels"), F.lit(0)).alias("truth_exceptions"),
-        F.coalesce(F.sum("detected"), F.lit(0)).cast("long").alias("detected_exceptions"),
-        *_outcomes(),
-        F.coalesce(F.sum("amount"), nothing).alias("injected_reference_amount"),
-        F.coalesce(captured, nothing).alias("captured_reference_amount"),
-    )
-    return totals.withColumns(
-        {
-            **_scores(),
-            "amount_capture_rate": ratio_or_zero(
-                F.col("captured_reference_amount"), F.col("injected_reference_amount")
-            ),
-        }
-    )
+    nothing = f"CAST(0 AS {GRAND_TOTAL})"
+    totals = {
+        "truth_exceptions": "coalesce(sum(labels), 0L)",
+        "detected_exceptions": "coalesce(sum(detected), 0L)",
+        **OUTCOMES,
+        "injected_reference_amount": f"coalesce(sum(amount), {nothing})",
+        "captured_reference_amount": f"coalesce(sum(IF(tp > 0, amount, NULL)), {nothing})",
+    }
+    capture = ratio_or_zero("captured_reference_amount", "injected_reference_amount")
+    return counted.agg(*aggregates(totals)).selectExpr("*", *named(SCORES), f"{capture} AS amount_capture_rate")

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallyweave.config import ReconciliationConfig, cutoff_literal
+from tallyweave.functions import aggregates, named
 from tallyweave.functions.clock import days_between
 from tallyweave.sources.contracts import MULTIPLE, UNKNOWN
 
@@ -45,53 +45,57 @@ _BANK_COLUMNS = {
 }
 
 
-def _ledger_aggregates() -> list[Column]:
-    names = list(_LEDGER_COLUMNS.values())
-    return [(F.count("created_at") > 0).alias("has_internal"), *[F.max(name).alias(name) for name in names]]
-
-
-def _gateway_aggregates() -> list[Column]:
-    return [
-        F.count("gateway_event_at").alias("gateway_rows"),
-        _one_or_multiple("gateway_id").alias("gateway_id"),
-        F.min("gateway_event_at").alias("gateway_event_at"),
-        F.min("gateway_status").alias("gateway_status"),
-        F.sum("gateway_amount").alias("gateway_gross_total"),
-        F.sum("gateway_net").alias("gateway_net_total"),
-        *[F.max(name).alias(name) for name in ("gateway_amount", "gateway_net", "gateway_fee", "gateway_tax")],
-        (F.sum("gateway_amount") - F.max("gateway_amount")).alias("gateway_duplicate_excess"),
-    ]
-
-
-def _bank_aggregates() -> list[Column]:
-    return [
-        F.count("settled_at").alias("settlement_rows"),
-        F.min("settled_at").alias("settled_at"),
-        F.sum("bank_gross").alias("bank_gross_total"),
-        F.sum("bank_net").alias("bank_net_total"),
-        *[F.max(name).alias(name) for name in ("bank_gross", "bank_net", "bank_fee", "bank_tax")],
-        (F.sum("bank_net") - F.max("bank_net")).alias("settlement_duplicate_excess"),
-    ]
-
-
-def _one_or_multiple(name: str) -> Column:
-    """The only value of a group, or the label for several; no distinct count needed."""
-    lowest, highest = F.min(name), F.max(name)
-    return F.when(lowest == highest, lowest).when(lowest.isNotNull(), F.lit(MULTIPLE))
+_LEDGER_AGGREGATES = {
+    "has_internal": "count(created_at) > 0",
+    "merchant_id": f"coalesce(max(merchant_id), '{UNKNOWN}')",
+    "payment_method": f"coalesce(max(payment_method), '{UNKNOWN}')",
+    "internal_status": "max(internal_status)",
+    "created_at": "max(created_at)",
+    "internal_gross": "max(internal_gross)",
+}
+_GATEWAY_AGGREGATES = {
+    "gateway_rows": "count(gateway_event_at)",
+    # The only provider of a group, or the label for several; no distinct count needed.
+    "gateway_id": (
+        f"CASE WHEN min(gateway_id) = max(gateway_id) THEN min(gateway_id) "
+        f"WHEN count(gateway_id) > 0 THEN '{MULTIPLE}' ELSE '{UNKNOWN}' END"
+    ),
+    "gateway_event_at": "min(gateway_event_at)",
+    "gateway_status": "min(gateway_status)",
+    "gateway_gross_total": "sum(gateway_amount)",
+    "gateway_net_total": "sum(gateway_net)",
+    "gateway_amount": "max(gateway_amount)",
+    "gateway_net": "max(gateway_net)",
+    "gateway_fee": "max(gateway_fee)",
+    "gateway_tax": "max(gateway_tax)",
+    "gateway_duplicate_excess": "sum(gateway_amount) - max(gateway_amount)",
+}
+_BANK_AGGREGATES = {
+    "settlement_rows": "count(settled_at)",
+    "settled_at": "min(settled_at)",
+    "bank_gross_total": "sum(bank_gross)",
+    "bank_net_total": "sum(bank_net)",
+    "bank_gross": "max(bank_gross)",
+    "bank_net": "max(bank_net)",
+    "bank_fee": "max(bank_fee)",
+    "bank_tax": "max(bank_tax)",
+    "settlement_duplicate_excess": "sum(bank_net) - max(bank_net)",
+}
+_ALL_AGGREGATES = {**_LEDGER_AGGREGATES, **_GATEWAY_AGGREGATES, **_BANK_AGGREGATES}
 
 
 def gateway_rollup(gateway: DataFrame) -> DataFrame:
-    return _renamed(gateway, _GATEWAY_COLUMNS).groupBy("transaction_id").agg(*_gateway_aggregates())
+    return _renamed(gateway, _GATEWAY_COLUMNS).groupBy("transaction_id").agg(*aggregates(_GATEWAY_AGGREGATES))
 
 
 def settlement_rollup(settlement: DataFrame) -> DataFrame:
-    return _renamed(settlement, _BANK_COLUMNS).groupBy("transaction_id").agg(*_bank_aggregates())
+    return _renamed(settlement, _BANK_COLUMNS).groupBy("transaction_id").agg(*aggregates(_BANK_AGGREGATES))
 
 
 def payment_facts(feeds: dict[str, DataFrame], as_of, config: ReconciliationConfig = ReconciliationConfig()):
     """Facts for one cutoff. The feeds must be typed and already cut at ``as_of``."""
-    matched = _stacked(feeds).groupBy("transaction_id").agg(*_all_aggregates())
-    return _compared(matched.withColumn("as_of", cutoff_literal(as_of)), config)
+    matched = _stacked(feeds).groupBy("transaction_id").agg(*aggregates(_ALL_AGGREGATES))
+    return _compared(matched, config, as_of)
 
 
 def snapshot_facts(feeds: dict[str, DataFrame], cutoffs, config: ReconciliationConfig = ReconciliationConfig()):
@@ -100,11 +104,10 @@ def snapshot_facts(feeds: dict[str, DataFrame], cutoffs, config: ReconciliationC
     ``feeds`` are typed but not cut. Each event joins the snapshots it is visible in,
     and facts are grouped by (as_of, transaction_id).
     """
-    moments = [cutoff_literal(c) for c in cutoffs]
-    event_at = F.coalesce("created_at", "gateway_event_at", "settled_at")
-    visible = F.array(*[F.when(event_at <= m, m) for m in moments])
-    events = _stacked(feeds).withColumn("as_of", F.explode(visible)).filter(F.col("as_of").isNotNull())
-    return _compared(events.groupBy("as_of", "transaction_id").agg(*_all_aggregates()), config)
+    event_at = "coalesce(created_at, gateway_event_at, settled_at)"
+    visible = ", ".join(f"IF({event_at} <= {moment}, {moment}, NULL)" for moment in map(cutoff_literal, cutoffs))
+    events = _stacked(feeds).selectExpr("*", f"explode(array({visible})) AS as_of").filter("as_of IS NOT NULL")
+    return _compared(events.groupBy("as_of", "transaction_id").agg(*aggregates(_ALL_AGGREGATES)), config)
 
 
 def facts_by_joins(feeds: dict[str, DataFrame], as_of, config: ReconciliationConfig = ReconciliationConfig()):
@@ -114,24 +117,29 @@ def facts_by_joins(feeds: dict[str, DataFrame], as_of, config: ReconciliationCon
     ``payment_facts``. Both rollups are unique per id, so no join fans out.
     """
     ids = reduce(DataFrame.union, [feed.select("transaction_id") for feed in feeds.values()]).distinct()
-    ledger = _renamed(feeds["internal"], _LEDGER_COLUMNS).withColumn("has_internal", F.lit(True))
-    matched = (
+    ledger = _renamed(feeds["internal"], _LEDGER_COLUMNS)
+    defaults = {
+        "merchant_id": f"'{UNKNOWN}'",
+        "payment_method": f"'{UNKNOWN}'",
+        "gateway_id": f"'{UNKNOWN}'",
+        "gateway_rows": "0L",
+        "settlement_rows": "0L",
+    }
+    joined = (
         ids.join(ledger, "transaction_id", "left")
         .join(gateway_rollup(feeds["gateway"]), "transaction_id", "left")
         .join(settlement_rollup(feeds["settlement"]), "transaction_id", "left")
-        .withColumn("has_internal", F.coalesce("has_internal", F.lit(False)))
-        .withColumn("gateway_rows", F.coalesce("gateway_rows", F.lit(0)))
-        .withColumn("settlement_rows", F.coalesce("settlement_rows", F.lit(0)))
-        .withColumn("as_of", cutoff_literal(as_of))
     )
-    return _compared(matched, config)
+    columns = {name: f"coalesce({name}, {defaults[name]})" if name in defaults else name for name in joined.columns}
+    return _compared(joined.selectExpr(*named(columns), "created_at IS NOT NULL AS has_internal"), config, as_of)
 
 
 def _renamed(feed: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return feed.select("transaction_id", *[F.col(source).alias(target) for source, target in columns.items()])
+    return feed.selectExpr("transaction_id", *named({target: source for source, target in columns.items()}))
 
 
 def _stacked(feeds: dict[str, DataFrame]) -> DataFrame:
+    """All feeds in one schema; a feed is null in the columns of the others."""
     parts = [
         _renamed(feeds["internal"], _LEDGER_COLUMNS),
         _renamed(feeds["gateway"], _GATEWAY_COLUMNS),
@@ -140,39 +148,36 @@ def _stacked(feeds: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
-def _all_aggregates() -> list[Column]:
-    return [*_ledger_aggregates(), *_gateway_aggregates(), *_bank_aggregates()]
+PAIRED = "(gateway_rows = 1 AND settlement_rows = 1)"
+IN_LEDGER = "(has_internal AND gateway_rows = 1)"
 
 
-def _compared(matched: DataFrame, config: ReconciliationConfig) -> DataFrame:
+def _compared(matched: DataFrame, config: ReconciliationConfig, as_of=None) -> DataFrame:
     """Add run parameters, dates and the deltas of uniquely matched records.
 
     A delta is null unless both sides are single records, and a null delta never
     breaks a tolerance.
     """
-    paired = (F.col("gateway_rows") == 1) & (F.col("settlement_rows") == 1)
-    in_ledger = F.col("has_internal") & (F.col("gateway_rows") == 1)
-    captured = F.col("gateway_status") == SUCCESS
-    fee_gap = F.abs(F.col("gateway_fee") - F.col("bank_fee")) + F.abs(F.col("gateway_tax") - F.col("bank_tax"))
-    eligible = in_ledger & (F.col("internal_status") == SUCCESS) & captured
-    return matched.withColumns(
-        {
-            "merchant_id": F.coalesce("merchant_id", F.lit(UNKNOWN)),
-            "payment_method": F.coalesce("payment_method", F.lit(UNKNOWN)),
-            "gateway_id": F.coalesce("gateway_id", F.lit(UNKNOWN)),
-            "activity_at": F.coalesce("created_at", "gateway_event_at", "settled_at"),
-            "max_settlement_days": F.lit(float(config.max_settlement_days)),
-            "amount_tolerance": config.amount_limit(),
-            "fee_tolerance": config.fee_limit(),
-            "settlement_due_at": F.col("gateway_event_at") + config.settlement_window(),
-            "elapsed_days": days_between(F.col("gateway_event_at"), F.col("as_of")),
-            "settlement_delay_days": F.when(
-                paired & captured, days_between(F.col("gateway_event_at"), F.col("settled_at"))
-            ),
-            "settlement_eligible": F.coalesce(eligible, F.lit(False)),
-            "ledger_gateway_gross_delta": F.when(in_ledger, F.col("gateway_amount") - F.col("internal_gross")),
-            "gateway_bank_gross_delta": F.when(paired, F.col("bank_gross") - F.col("gateway_amount")),
-            "gateway_bank_net_delta": F.when(paired, F.col("bank_net") - F.col("gateway_net")),
-            "fee_tax_abs_delta": F.when(paired, fee_gap),
-        }
-    ).withColumn("activity_date", F.to_date("activity_at"))
+    moment = "as_of" if as_of is None else cutoff_literal(as_of)
+    activity_at = "coalesce(created_at, gateway_event_at, settled_at)"
+    both_succeeded = f"internal_status = '{SUCCESS}' AND gateway_status = '{SUCCESS}'"
+    added = {
+        "activity_at": activity_at,
+        "activity_date": f"CAST({activity_at} AS DATE)",
+        "max_settlement_days": config.settlement_days(),
+        "amount_tolerance": config.amount_limit(),
+        "fee_tolerance": config.fee_limit(),
+        "settlement_due_at": f"gateway_event_at + {config.settlement_window()}",
+        "elapsed_days": days_between("gateway_event_at", moment),
+        "settlement_delay_days": (
+            f"IF({PAIRED} AND gateway_status = '{SUCCESS}', {days_between('gateway_event_at', 'settled_at')}, NULL)"
+        ),
+        "settlement_eligible": f"coalesce({IN_LEDGER} AND {both_succeeded}, false)",
+        "ledger_gateway_gross_delta": f"IF({IN_LEDGER}, gateway_amount - internal_gross, NULL)",
+        "gateway_bank_gross_delta": f"IF({PAIRED}, bank_gross - gateway_amount, NULL)",
+        "gateway_bank_net_delta": f"IF({PAIRED}, bank_net - gateway_net, NULL)",
+        "fee_tax_abs_delta": f"IF({PAIRED}, abs(gateway_fee - bank_fee) + abs(gateway_tax - bank_tax), NULL)",
+    }
+    if as_of is not None:
+        added["as_of"] = moment
+    return matched.selectExpr("*", *named(added))

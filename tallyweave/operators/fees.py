@@ -3,33 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyweave.functions.money import AMOUNT, fee_on, fee_rate, tax_on
-from tallyweave.operators.facts import payment_facts
+from tallyweave.operators.facts import IN_LEDGER, payment_facts
 
 
 def expected_fees(payments: DataFrame, amount: str = "gross_amount") -> DataFrame:
     """Add rate, fee, tax and net by payment method; an unknown method has none."""
     return (
-        payments.withColumn("fee_rate", fee_rate(F.col("payment_method")))
-        .withColumn("expected_fee", fee_on(F.col(amount), F.col("fee_rate")))
-        .withColumn("expected_tax", tax_on(F.col("expected_fee")))
-        .withColumn(
-            "expected_net", (F.col(amount) - F.col("expected_fee") - F.col("expected_tax")).cast(AMOUNT)
-        )
+        payments.selectExpr("*", f"{fee_rate('payment_method')} AS fee_rate")
+        .selectExpr("*", f"{fee_on(amount, 'fee_rate')} AS expected_fee")
+        .selectExpr("*", f"{tax_on('expected_fee')} AS expected_tax")
+        .selectExpr("*", f"CAST({amount} - expected_fee - expected_tax AS {AMOUNT}) AS expected_net")
     )
 
 
 def fee_variance(feeds: dict[str, DataFrame], as_of) -> DataFrame:
     """Charged minus expected fee, tax and net for uniquely matched ledger payments."""
-    matched = payment_facts(feeds, as_of).filter(F.col("has_internal") & (F.col("gateway_rows") == 1))
-    return expected_fees(matched, "gateway_amount").select(
+    matched = payment_facts(feeds, as_of).filter(IN_LEDGER)
+    return expected_fees(matched, "gateway_amount").selectExpr(
         "transaction_id",
         "payment_method",
         "expected_fee",
         "gateway_fee",
-        (F.col("gateway_fee") - F.col("expected_fee")).alias("fee_variance"),
-        (F.col("gateway_tax") - F.col("expected_tax")).alias("tax_variance"),
-        (F.col("gateway_net") - F.col("expected_net")).alias("net_variance"),
+        "gateway_fee - expected_fee AS fee_variance",
+        "gateway_tax - expected_tax AS tax_variance",
+        "gateway_net - expected_net AS net_variance",
     )

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.config import ReconciliationConfig
-from tallyweave.functions.money import AMOUNT
-from tallyweave.operators.facts import SUCCESS, payment_facts
+from tallyweave.functions.clock import days_between
+from tallyweave.functions.money import AMOUNT, TOTAL
+from tallyweave.operators.facts import IN_LEDGER, PAIRED, SUCCESS, payment_facts
 from tallyweave.operators.rules import CORE_RULES, RULES_BY_NAME, exception_signals
 from tallyweave.sources.contracts import LEGACY_CONTRACTS, UNKNOWN, typed
 from tallyweave.sources.validation import validate_legacy
@@ -23,10 +24,6 @@ END_OF_TIME = "9999-12-31T23:59:59"
 COLUMNS = ("exception_type", "transaction_id", "severity", "amount_at_risk", "exposure_kind", "reason")
 
 
-def _text(pattern: str, *values: Column) -> Column:
-    return F.format_string(pattern, *values)
-
-
 def reconcile(
     internal: DataFrame,
     gateway: DataFrame,
@@ -46,101 +43,79 @@ def reconcile(
 
 def detections(feeds: dict[str, DataFrame], config: ReconciliationConfig = ReconciliationConfig()) -> DataFrame:
     ledger = feeds["internal"]
-    for name in ("merchant_id", "payment_method"):
-        if name not in ledger.columns:
-            ledger = ledger.withColumn(name, F.lit(UNKNOWN))
+    absent = [name for name in ("merchant_id", "payment_method") if name not in ledger.columns]
+    ledger = ledger.selectExpr("*", *[f"'{UNKNOWN}' AS {name}" for name in absent])
     facts = payment_facts({**feeds, "internal": ledger}, END_OF_TIME, config)
+    signals = ", ".join(
+        f"IF({condition}, named_struct('exception_type', '{name}', "
+        f"'severity', '{RULES_BY_NAME[name].severity}', 'amount_at_risk', CAST({amount} AS {AMOUNT}), "
+        f"'exposure_kind', '{RULES_BY_NAME[name].exposure_kind}', 'reason', {reason}), NULL)"
+        for name, (condition, amount, reason) in FINDINGS.items()
+    )
+    return (
+        facts.selectExpr("transaction_id", f"inline(array({signals}))")
+        .filter("exception_type IS NOT NULL")
+        .select(*COLUMNS)
+    )
 
-    gateway_single = F.col("gateway_rows") == 1
-    bank_single = F.col("settlement_rows") == 1
-    in_both = F.col("has_internal") & gateway_single
-    ledger_status, gateway_status = F.lower("internal_status"), F.lower("gateway_status")
-    succeeded = gateway_status == SUCCESS
-    gross, captured = F.col("internal_gross"), F.col("gateway_amount")
-    delay = F.timestamp_diff("MICROSECOND", F.col("gateway_event_at"), F.col("settled_at")) / 86_400_000_000.0
-
-    # Wording of the reasons.
-    found = {
-        "duplicate_gateway": (
-            F.col("gateway_rows") > 1,
-            captured,
-            _text("%d gateway records share the same transaction_id.", F.col("gateway_rows")),
-        ),
-        "duplicate_settlement": (
-            F.col("settlement_rows") > 1,
-            F.col("bank_net"),
-            _text("%d settlement lines share the same transaction_id.", F.col("settlement_rows")),
-        ),
-        "missing_gateway": (
-            F.col("has_internal") & (F.col("gateway_rows") == 0),
-            gross,
-            F.lit("Internal payment exists but no gateway record was found."),
-        ),
-        "orphan_gateway": (
-            ~F.col("has_internal") & gateway_single,
-            captured,
-            F.lit("Gateway transaction has no matching internal payment."),
-        ),
-        "orphan_settlement": (
-            ~F.col("has_internal") & bank_single,
-            F.col("bank_net"),
-            F.lit("Settlement line has no matching internal payment."),
-        ),
-        "amount_mismatch": (
-            F.abs(F.col("ledger_gateway_gross_delta")) > F.col("amount_tolerance"),
-            F.abs(F.col("ledger_gateway_gross_delta")),
-            _text(
-                "Internal gross %s differs from gateway amount %s.",
-                gross.cast("string"),
-                captured.cast("string"),
-            ),
-        ),
-        "status_mismatch": (
-            in_both & (ledger_status != gateway_status),
-            gross,
-            _text(
-                "Internal status %s differs from gateway status %s.",
-                F.col("internal_status"),
-                F.col("gateway_status"),
-            ),
-        ),
-        "missing_settlement": (
-            in_both & (ledger_status == SUCCESS) & succeeded & (F.col("settlement_rows") == 0),
-            F.col("gateway_net"),
-            F.lit("Successful payment has no bank settlement line."),
-        ),
-        "fee_mismatch": (
-            succeeded & (F.col("fee_tax_abs_delta") > F.col("fee_tolerance")),
-            F.col("fee_tax_abs_delta"),
-            F.lit("Bank-reported fee/tax differs from gateway fee/tax."),
-        ),
-        "settlement_delay": (
-            gateway_single & bank_single & succeeded & (delay > F.col("max_settlement_days")),
-            F.col("gateway_net"),
-            _text(
-                "Settlement occurred after %.2f days; maximum allowed is %.2f.",
-                delay,
-                F.col("max_settlement_days"),
-            ),
-        ),
-    }
-    signals = []
-    for name, (condition, amount, reason) in found.items():
-        rule = RULES_BY_NAME[name]
-        signals.append(
-            F.when(
-                condition,
-                F.struct(
-                    F.lit(name).alias("exception_type"),
-                    F.lit(rule.severity).alias("severity"),
-                    amount.cast(AMOUNT).alias("amount_at_risk"),
-                    F.lit(rule.exposure_kind).alias("exposure_kind"),
-                    reason.alias("reason"),
-                ),
-            )
-        )
-    listed = facts.select("transaction_id", F.inline(F.array(*signals)))
-    return listed.filter(F.col("exception_type").isNotNull()).select(*COLUMNS)
+
+GATEWAY_SUCCEEDED = f"lower(gateway_status) = '{SUCCESS}'"
+DELAY = days_between("gateway_event_at", "settled_at")
+
+# Condition, amount and reason of each rule over one fact row.
+# Wording of the reasons.
+FINDINGS = {
+    "duplicate_gateway": (
+        "gateway_rows > 1",
+        "gateway_amount",
+        "concat(gateway_rows, ' gateway records share the same transaction_id.')",
+    ),
+    "duplicate_settlement": (
+        "settlement_rows > 1",
+        "bank_net",
+        "concat(settlement_rows, ' settlement lines share the same transaction_id.')",
+    ),
+    "missing_gateway": (
+        "has_internal AND gateway_rows = 0",
+        "internal_gross",
+        "'Internal payment exists but no gateway record was found.'",
+    ),
+    "orphan_gateway": (
+        "gateway_rows = 1 AND NOT has_internal",
+        "gateway_amount",
+        "'Gateway transaction has no matching internal payment.'",
+    ),
+    "orphan_settlement": (
+        "settlement_rows = 1 AND NOT has_internal",
+        "bank_net",
+        "'Settlement line has no matching internal payment.'",
+    ),
+    "amount_mismatch": (
+        "abs(ledger_gateway_gross_delta) > amount_tolerance",
+        "abs(ledger_gateway_gross_delta)",
+        "concat('Internal gross ', internal_gross, ' differs from gateway amount ', gateway_amount, '.')",
+    ),
+    "status_mismatch": (
+        f"{IN_LEDGER} AND lower(internal_status) != lower(gateway_status)",
+        "internal_gross",
+        "concat('Internal status ', internal_status, ' differs from gateway status ', gateway_status, '.')",
+    ),
+    "missing_settlement": (
+        f"{IN_LEDGER} AND settlement_rows = 0 AND lower(internal_status) = '{SUCCESS}' AND {GATEWAY_SUCCEEDED}",
+        "gateway_net",
+        "'Successful payment has no bank settlement line.'",
+    ),
+    "fee_mismatch": (
+        f"{GATEWAY_SUCCEEDED} AND fee_tax_abs_delta > fee_tolerance",
+        "fee_tax_abs_delta",
+        "'Bank-reported fee/tax differs from gateway fee/tax.'",
+    ),
+    "settlement_delay": (
+        f"{PAIRED} AND {GATEWAY_SUCCEEDED} AND {DELAY} > max_settlement_days",
+        "gateway_net",
+        f"format_string('Settlement occurred after %.2f days; maximum allowed is %.2f.', {DELAY}, max_settlement_days)",
+    ),
+}
 
 
 def detection_order() -> list[Column]:
@@ -160,17 +135,13 @@ def detector_differences(legacy: DataFrame, cases: DataFrame) -> DataFrame:
 
     Both sides are grouped together once; signals that both raise cancel out.
     """
-    current = exception_signals(cases).filter(F.col("exception_type").isin(*CORE_RULES))
-    sides = [
-        frame.select(
-            *[F.col(c).cast("decimal(28,2)") if c == "amount_at_risk" else F.col(c) for c in COMPARED_COLUMNS],
-            F.lit(sign).alias("_sign"),
-        )
-        for frame, sign in ((legacy, 1), (current, -1))
-    ]
-    balance = sides[0].union(sides[1]).toDF(*COMPARED_COLUMNS, "_sign").groupBy(*COMPARED_COLUMNS).agg(
-        F.sum("_sign").alias("_balance")
-    )
-    return balance.filter("_balance != 0").select(
-        *COMPARED_COLUMNS, F.when(F.col("_balance") > 0, "legacy").otherwise("current").alias("only_in")
+    core = ", ".join(f"'{name}'" for name in CORE_RULES)
+    current = exception_signals(cases).filter(f"exception_type IN ({core})")
+    compared = [f"CAST({c} AS {TOTAL}) AS {c}" if c == "amount_at_risk" else c for c in COMPARED_COLUMNS]
+    signed = legacy.selectExpr(*compared, "1 AS _sign").union(current.selectExpr(*compared, "-1 AS _sign"))
+    return (
+        signed.groupBy(*COMPARED_COLUMNS)
+        .agg(F.expr("sum(_sign) AS _balance"))
+        .filter("_balance != 0")
+        .selectExpr(*COMPARED_COLUMNS, "IF(_balance > 0, 'legacy', 'current') AS only_in")
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.functions import aggregates
 from tallyweave.operators.facts import SUCCESS
 
 KEY = "transaction_id"
@@ -20,18 +21,13 @@ def ids(feed: DataFrame) -> DataFrame:
 
 
 def repeated(feed: DataFrame) -> DataFrame:
-    return feed.groupBy(KEY).agg(F.count("*").alias("rows")).filter("rows > 1")
+    return feed.groupBy(KEY).agg(F.expr("count(*) AS rows")).filter("rows > 1")
 
 
 def single_records(feed: DataFrame) -> DataFrame:
     """Rows whose id occurs once. Any value of a one-row group is that row's value."""
-    values = [c for c in feed.columns if c != KEY]
-    return (
-        feed.groupBy(KEY)
-        .agg(F.count("*").alias("_rows"), *[F.max(c).alias(c) for c in values])
-        .filter("_rows = 1")
-        .drop("_rows")
-    )
+    values = {name: f"max({name})" for name in feed.columns if name != KEY}
+    return feed.groupBy(KEY).agg(*aggregates({"_rows": "count(*)"} | values)).filter("_rows = 1").drop("_rows")
 
 
 def without_duplicates(feed: DataFrame) -> DataFrame:
@@ -58,29 +54,32 @@ def settlement_without_internal(feeds: dict[str, DataFrame]) -> DataFrame:
 def matched_ledger_gateway(feeds: dict[str, DataFrame]) -> DataFrame:
     """One-to-one ledger and gateway pairs with their gross difference."""
     pairs = feeds["internal"].join(_gateway_singles(feeds), KEY, "inner")
-    return pairs.select(
+    return pairs.selectExpr(
         KEY,
         "internal_status",
         "gateway_status",
         "gross_amount",
         "gateway_amount",
         "gateway_net",
-        F.abs(F.col("gross_amount") - F.col("gateway_amount")).alias("gross_difference"),
+        "abs(gross_amount - gateway_amount) AS gross_difference",
     )
 
 
 def matched_gateway_settlement(feeds: dict[str, DataFrame]) -> DataFrame:
     """One-to-one gateway and bank pairs with their fee and tax difference."""
-    pairs = _gateway_singles(feeds).join(_bank_singles(feeds), KEY, "inner")
-    gap = F.abs(F.col("gateway_fee") - F.col("fee_amount")) + F.abs(F.col("gateway_tax") - F.col("tax_amount"))
-    return pairs.select(KEY, "gateway_status", "gateway_event_at", "settled_at", gap.alias("fee_tax_difference"))
+    return _gateway_singles(feeds).join(_bank_singles(feeds), KEY, "inner").selectExpr(
+        KEY,
+        "gateway_status",
+        "gateway_event_at",
+        "settled_at",
+        "abs(gateway_fee - fee_amount) + abs(gateway_tax - tax_amount) AS fee_tax_difference",
+    )
 
 
 def eligible_without_settlement(feeds: dict[str, DataFrame]) -> DataFrame:
     """Successful pairs without any bank line; repeated bank ids count as present."""
-    pairs = matched_ledger_gateway(feeds)
-    eligible = pairs.filter(
-        (F.lower("internal_status") == SUCCESS) & (F.lower("gateway_status") == SUCCESS)
+    eligible = matched_ledger_gateway(feeds).filter(
+        f"lower(internal_status) = '{SUCCESS}' AND lower(gateway_status) = '{SUCCESS}'"
     )
     return unmatched(eligible, feeds["settlement"]).select(KEY, "gateway_net")
 
@@ -90,6 +89,4 @@ def _gateway_singles(feeds: dict[str, DataFrame]) -> DataFrame:
 
 
 def _bank_singles(feeds: dict[str, DataFrame]) -> DataFrame:
-    return single_records(
-        feeds["settlement"].select(KEY, "settled_at", "net_amount", "fee_amount", "tax_amount")
-    )
+    return single_records(feeds["settlement"].select(KEY, "settled_at", "net_amount", "fee_amount", "tax_amount"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.functions.clock import MICROS_PER_DAY
+from tallyweave.functions import aggregates, named
+from tallyweave.functions.clock import MICROS_PER_DAY, micros_between
 from tallyweave.functions.money import GRAND_TOTAL, ratio
 from tallyweave.operators.durable import frozen
 from tallyweave.operators.ordering import quantiles_by_count
@@ -34,65 +35,53 @@ _COMPARED = {
 _EXPOSURES = ("financial_exposure_inr", "overdue_cash_inr", "historical_late_cash_inr")
 
 
-def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value).cast(GRAND_TOTAL), F.lit(0).cast(GRAND_TOTAL))
-
-
-def measures() -> list[Column]:
-    flagged = F.col("exception_count") > 0
-    counts = {
-        "observed_transactions": F.count("*"),
-        "internal_payments": F.count_if("has_internal"),
-        "orphan_transactions": F.count_if(~F.col("has_internal")),
-        "exception_count": F.coalesce(F.sum("exception_count"), F.lit(0)),
-        "exception_transactions": F.count_if(flagged),
-        "internal_exception_payments": F.count_if(F.col("has_internal") & flagged),
-        "matched_payments": F.count_if(F.col("reconciliation_state") == "matched"),
-        "pending_payments": F.count_if(F.col("settlement_state") == "pending"),
-        "overdue_payments": F.count_if(F.col("settlement_state") == "overdue"),
-        "ledger_gateway_comparable_payments": F.count("ledger_gateway_gross_delta"),
-        "gateway_bank_comparable_payments": F.count("gateway_bank_net_delta"),
-    }
-    money = {name: _total(F.col(column)) for name, column in _SUMMED.items()}
-    for name, delta in _COMPARED.items():
-        money[f"{name}_delta_inr"] = _total(F.col(delta))
-        money[f"{name}_abs_delta_inr"] = _total(F.abs(F.col(delta)))
-    money.update({name: _total(F.col(name)) for name in _EXPOSURES})
-    money["current_exposure_inr"] = _total(F.col("financial_exposure_inr") + F.col("overdue_cash_inr"))
-    return [value.alias(name) for name, value in (counts | money).items()]
-
-
-def with_rates(totals: DataFrame) -> DataFrame:
-    return totals.withColumns(
-        {
-            "exception_transaction_rate": ratio(F.col("exception_transactions"), F.col("observed_transactions")),
-            "internal_exception_rate": ratio(F.col("internal_exception_payments"), F.col("internal_payments")),
-        }
-    )
+def _total(value: str) -> str:
+    return f"coalesce(CAST(sum({value}) AS {GRAND_TOTAL}), CAST(0 AS {GRAND_TOTAL}))"
+
+
+FLAGGED = "exception_count > 0"
+MEASURES = {
+    "observed_transactions": "count(*)",
+    "internal_payments": "count_if(has_internal)",
+    "orphan_transactions": "count_if(NOT has_internal)",
+    "exception_count": "coalesce(sum(exception_count), 0L)",
+    "exception_transactions": f"count_if({FLAGGED})",
+    "internal_exception_payments": f"count_if(has_internal AND {FLAGGED})",
+    "matched_payments": "count_if(reconciliation_state = 'matched')",
+    "pending_payments": "count_if(settlement_state = 'pending')",
+    "overdue_payments": "count_if(settlement_state = 'overdue')",
+    "ledger_gateway_comparable_payments": "count(ledger_gateway_gross_delta)",
+    "gateway_bank_comparable_payments": "count(gateway_bank_net_delta)",
+    **{name: _total(column) for name, column in _SUMMED.items()},
+    **{f"{name}_delta_inr": _total(delta) for name, delta in _COMPARED.items()},
+    **{f"{name}_abs_delta_inr": _total(f"abs({delta})") for name, delta in _COMPARED.items()},
+    **{name: _total(name) for name in _EXPOSURES},
+    "current_exposure_inr": _total("financial_exposure_inr + overdue_cash_inr"),
+}
+RATES = {
+    "exception_transaction_rate": ratio("exception_transactions", "observed_transactions"),
+    "internal_exception_rate": ratio("internal_exception_payments", "internal_payments"),
+}
 
 
 def dimension_totals(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True) -> DataFrame:
-    """All dimensions in one scan with grouping sets.
+    """Counts, sums and rates of all dimensions in one scan with grouping sets.
 
     Partial aggregation follows the expansion inside each task, so a value such as
     'unknown' that covers most rows shuffles one row per task.
     """
     columns = [DIMENSIONS[d] for d in dimensions]
     if len(columns) == 1 and not include_all:
-        grouped = cases.groupBy(columns[0]).agg(*measures())
-        label, value = F.lit(dimensions[0]), F.col(columns[0]).cast("string")
+        grouped = cases.groupBy(columns[0]).agg(*aggregates(MEASURES))
+        label, value = f"'{dimensions[0]}'", f"CAST({columns[0]} AS STRING)"
     else:
         sets = [[F.col(c)] for c in columns] + ([[]] if include_all else [])
-        grouped = cases.groupingSets(sets, *[F.col(c) for c in columns]).agg(
-            *measures(), *[F.grouping(c).alias(f"_without_{c}") for c in columns]
-        )
-        label, value = F.lit(ALL), F.lit(ALL)
-        for dimension, column in zip(dimensions, columns):
-            used = F.col(f"_without_{column}") == 0
-            label = F.when(used, F.lit(dimension)).otherwise(label)
-            value = F.when(used, F.col(column).cast("string")).otherwise(value)
-    names = [name for name in grouped.columns if name not in columns and not name.startswith("_without_")]
-    return grouped.select(label.alias("dimension"), value.alias("dimension_value"), *names)
+        used = {f"_without_{c}": f"grouping({c})" for c in columns}
+        grouped = cases.groupingSets(sets, *columns).agg(*aggregates(MEASURES | used))
+        cases_of = [(f"_without_{c} = 0", d, f"CAST({c} AS STRING)") for d, c in zip(dimensions, columns)]
+        label = f"CASE {' '.join(f"WHEN {test} THEN '{d}'" for test, d, _ in cases_of)} ELSE '{ALL}' END"
+        value = f"CASE {' '.join(f'WHEN {test} THEN {v}' for test, _, v in cases_of)} ELSE '{ALL}' END"
+    return grouped.selectExpr(f"{label} AS dimension", f"{value} AS dimension_value", *MEASURES, *named(RATES))
 
 
 def dimension_metrics(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True) -> DataFrame:
@@ -102,22 +91,20 @@ def dimension_metrics(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_al
     dimension, at most five) are broadcast back. A window per dimension would pull all
     merchants into one task.
     """
-    totals = frozen(with_rates(dimension_totals(cases, dimensions, include_all)))
+    totals = frozen(dimension_totals(cases, dimensions, include_all))
     whole = totals.groupBy("dimension").agg(
-        F.sum("current_exposure_inr").alias("_exposure"), F.sum("exception_transactions").alias("_flagged")
+        *aggregates({"_exposure": "sum(current_exposure_inr)", "_flagged": "sum(exception_transactions)"})
+    )
+    return totals.join(F.broadcast(whole), "dimension").selectExpr(
+        "* EXCEPT (_exposure, _flagged)",
+        f"{ratio('current_exposure_inr', '_exposure')} AS exposure_share",
+        f"{ratio('exception_transactions', '_flagged')} AS exception_share",
     )
-    shared = totals.join(F.broadcast(whole), "dimension")
-    return shared.withColumns(
-        {
-            "exposure_share": ratio(F.col("current_exposure_inr"), F.col("_exposure")),
-            "exception_share": ratio(F.col("exception_transactions"), F.col("_flagged")),
-        }
-    ).drop("_exposure", "_flagged")
 
 
 def metrics_of(metrics: DataFrame, dimension: str) -> DataFrame:
     """One dimension's view of the common metric table."""
-    return metrics.filter(F.col("dimension") == dimension).drop("dimension")
+    return metrics.filter(f"dimension = '{dimension}'").drop("dimension")
 
 
 SUMMARY_COLUMNS = (
@@ -145,7 +132,11 @@ SUMMARY_COLUMNS = (
 
 def summary(cases: DataFrame) -> DataFrame:
     """Exactly one row. A global aggregate yields zero counts and null rates on no input."""
-    return with_rates(cases.agg(*measures())).select(*SUMMARY_COLUMNS)
+    return _summarised(cases.agg(*aggregates(MEASURES)))
+
+
+def _summarised(totals: DataFrame, *keys: str) -> DataFrame:
+    return totals.selectExpr(*keys, *[f"{RATES[name]} AS {name}" if name in RATES else name for name in SUMMARY_COLUMNS])
 
 
 def summary_by_cutoff(cases: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -153,10 +144,10 @@ def summary_by_cutoff(cases: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
     The grouped side has at most one row per cutoff.
     """
-    totals = cases.groupBy("as_of").agg(*measures())
-    filled = cutoffs.join(totals, "as_of", "left").na.fill(0)
-    amounts = {f.name: F.coalesce(f.name, F.lit(0).cast(f.dataType)) for f in totals.schema if f.name != "as_of"}
-    return with_rates(filled.withColumns(amounts)).select("as_of", *SUMMARY_COLUMNS)
+    totals = cases.groupBy("as_of").agg(*aggregates(MEASURES))
+    zero = {f.name: f"coalesce({f.name}, CAST(0 AS {f.dataType.simpleString()}))" for f in totals.schema}
+    del zero["as_of"]
+    return _summarised(cutoffs.join(totals, "as_of", "left").selectExpr("as_of", *named(zero)), "as_of")
 
 
 def exception_type_metrics(detected: DataFrame, cases: DataFrame) -> DataFrame:
@@ -164,20 +155,25 @@ def exception_type_metrics(detected: DataFrame, cases: DataFrame) -> DataFrame:
 
     The denominator is a scalar subquery that reads nothing but the ids.
     """
-    observed = cases.agg(F.count("*").alias("observed")).scalar()
+    observed = cases.agg(F.expr("count(*) AS observed")).scalar()
+    totals = {
+        "exception_count": "count(*)",
+        "rule_amount_at_risk_inr": "sum(amount_at_risk)",
+        "rule_financial_exposure_inr": "sum(financial_exposure_inr)",
+        "overdue_cash_inr": "sum(overdue_cash_inr)",
+        "historical_late_cash_inr": "sum(historical_late_cash_inr)",
+    }
+    rate = F.col("exception_count").cast("double") / F.nullif(observed.cast("double"), F.lit(0.0))
     return (
         detected.groupBy("exception_type", "severity", "exposure_kind")
-        .agg(
-            F.count("*").alias("exception_count"),
-            F.sum("amount_at_risk").alias("rule_amount_at_risk_inr"),
-            F.sum("financial_exposure_inr").alias("rule_financial_exposure_inr"),
-            F.sum("overdue_cash_inr").alias("overdue_cash_inr"),
-            F.sum("historical_late_cash_inr").alias("historical_late_cash_inr"),
-        )
-        .withColumn("observed_transaction_rate", ratio(F.col("exception_count"), observed))
+        .agg(*aggregates(totals))
+        .withColumn("observed_transaction_rate", rate)
     )
 
 
+LATE = "settlement_delay_days > max_settlement_days"
+
+
 def settlement_delay_metrics(cases: DataFrame, approximate: bool = False) -> DataFrame:
     """Delay statistics per gateway with exact median and 95th percentile.
 
@@ -185,41 +181,39 @@ def settlement_delay_metrics(cases: DataFrame, approximate: bool = False) -> Dat
     read from those counts, so a gateway that holds most rows never meets in one task.
     With ``approximate`` the quantiles come from ``percentile_approx`` instead.
     """
-    late = F.col("settlement_delay_days") > F.col("max_settlement_days")
     if approximate:
-        return cases.groupBy("gateway_id").agg(
-            F.count("settlement_delay_days").alias("observed_unique_settlements"),
-            F.count_if(late).alias("late_settlements"),
-            F.avg("settlement_delay_days").alias("mean_delay_days"),
-            F.percentile_approx("settlement_delay_days", 0.5).alias("median_delay_days"),
-            F.percentile_approx("settlement_delay_days", 0.95).alias("p95_delay_days"),
-            F.max("settlement_delay_days").alias("max_delay_days"),
-            F.count_if(F.col("settlement_state") == "overdue").alias("overdue_payments"),
-            F.count_if(F.col("settlement_state") == "pending").alias("pending_payments"),
-        )
-    delay = F.when(
-        F.col("settlement_delay_days").isNotNull(),
-        F.timestamp_diff("MICROSECOND", F.col("gateway_event_at"), F.col("settled_at")),
-    )
+        statistics = {
+            "observed_unique_settlements": "count(settlement_delay_days)",
+            "late_settlements": f"count_if({LATE})",
+            "mean_delay_days": "avg(settlement_delay_days)",
+            "median_delay_days": "percentile_approx(settlement_delay_days, 0.5)",
+            "p95_delay_days": "percentile_approx(settlement_delay_days, 0.95)",
+            "max_delay_days": "max(settlement_delay_days)",
+            "overdue_payments": "count_if(settlement_state = 'overdue')",
+            "pending_payments": "count_if(settlement_state = 'pending')",
+        }
+        return cases.groupBy("gateway_id").agg(*aggregates(statistics))
+    delay = f"IF(settlement_delay_days IS NULL, NULL, {micros_between('gateway_event_at', 'settled_at')})"
+    counted = {
+        "settlements": "count(settlement_delay_days)",
+        "late": f"count_if({LATE})",
+        "overdue": "count_if(settlement_state = 'overdue')",
+        "pending": "count_if(settlement_state = 'pending')",
+    }
     counts = frozen(
-        cases.withColumn("delay_micros", delay)
+        cases.selectExpr("*", f"{delay} AS delay_micros")
         .groupBy("gateway_id", "delay_micros")
-        .agg(
-            F.count("settlement_delay_days").alias("settlements"),
-            F.count_if(late).alias("late"),
-            F.count_if(F.col("settlement_state") == "overdue").alias("overdue"),
-            F.count_if(F.col("settlement_state") == "pending").alias("pending"),
-        )
-    )
-    weighted = F.col("delay_micros").cast("decimal(20,0)") * F.col("settlements")
-    basics = counts.groupBy("gateway_id").agg(
-        F.sum("settlements").alias("observed_unique_settlements"),
-        F.sum("late").alias("late_settlements"),
-        ratio(F.sum(weighted) / MICROS_PER_DAY, F.sum("settlements")).alias("mean_delay_days"),
-        (F.max("delay_micros") / float(MICROS_PER_DAY)).alias("max_delay_days"),
-        F.sum("overdue").alias("overdue_payments"),
-        F.sum("pending").alias("pending_payments"),
+        .agg(*aggregates(counted))
     )
+    weighted = "sum(CAST(delay_micros AS DECIMAL(20,0)) * settlements)"
+    basics = {
+        "observed_unique_settlements": "sum(settlements)",
+        "late_settlements": "sum(late)",
+        "mean_delay_days": f"{ratio(weighted, 'sum(settlements)')} / {MICROS_PER_DAY}",
+        "max_delay_days": f"max(delay_micros) / {MICROS_PER_DAY}",
+        "overdue_payments": "sum(overdue)",
+        "pending_payments": "sum(pending)",
+    }
     quantiles = quantiles_by_count(
         counts.filter("delay_micros IS NOT NULL").select("gateway_id", "delay_micros", "settlements"),
         group="gateway_id",
@@ -228,23 +222,28 @@ def settlement_delay_metrics(cases: DataFrame, approximate: bool = False) -> Dat
         shares={"median_micros": 0.5, "p95_micros": 0.95},
     )
     return (
-        basics.join(quantiles, "gateway_id", "left")
-        .withColumn("median_delay_days", F.col("median_micros") / float(MICROS_PER_DAY))
-        .withColumn("p95_delay_days", F.col("p95_micros") / float(MICROS_PER_DAY))
-        .drop("median_micros", "p95_micros")
+        counts.groupBy("gateway_id")
+        .agg(*aggregates(basics))
+        .join(quantiles, "gateway_id", "left")
+        .selectExpr(
+            "* EXCEPT (median_micros, p95_micros)",
+            f"median_micros / {MICROS_PER_DAY} AS median_delay_days",
+            f"p95_micros / {MICROS_PER_DAY} AS p95_delay_days",
+        )
     )
 
 
 def daily_settlements(settlement: DataFrame) -> DataFrame:
     """Bank cash by actual cash date, from raw lines with their duplicates."""
-    return settlement.groupBy(F.to_date("settled_at").alias("settlement_date")).agg(
-        F.count("*").alias("settlement_lines"),
-        F.count_distinct("transaction_id").alias("settled_transactions"),
-        F.sum("gross_amount").alias("bank_gross_inr"),
-        F.sum("fee_amount").alias("bank_fee_inr"),
-        F.sum("tax_amount").alias("bank_tax_inr"),
-        F.sum("net_amount").alias("bank_net_inr"),
-    )
+    totals = {
+        "settlement_lines": "count(*)",
+        "settled_transactions": "count(DISTINCT transaction_id)",
+        "bank_gross_inr": "sum(gross_amount)",
+        "bank_fee_inr": "sum(fee_amount)",
+        "bank_tax_inr": "sum(tax_amount)",
+        "bank_net_inr": "sum(net_amount)",
+    }
+    return settlement.groupBy(F.expr("CAST(settled_at AS DATE) AS settlement_date")).agg(*aggregates(totals))
 
 
 TIED_MEASURES = (
@@ -265,10 +264,13 @@ def dimension_tie_out(metrics: DataFrame) -> DataFrame:
 
     Works on the grouped table, brought down to five rows before it meets itself.
     """
-    sums = metrics.groupBy("dimension").agg(*[F.sum(m).cast(GRAND_TOTAL).alias(m) for m in TIED_MEASURES])
+    sums = metrics.groupBy("dimension").agg(
+        *aggregates({m: f"CAST(sum({m}) AS {GRAND_TOTAL})" for m in TIED_MEASURES})
+    )
     long = sums.unpivot("dimension", list(TIED_MEASURES), "measure", "dimension_total")
-    grand = long.filter(F.col("dimension") == ALL).select("measure", F.col("dimension_total").alias("summary_total"))
-    parts = long.filter(F.col("dimension") != ALL)
-    return parts.join(F.broadcast(grand), "measure").withColumn(
-        "ties", F.col("dimension_total") == F.col("summary_total")
+    grand = long.filter(f"dimension = '{ALL}'").selectExpr("measure", "dimension_total AS summary_total")
+    return (
+        long.filter(f"dimension != '{ALL}'")
+        .join(F.broadcast(grand), "measure")
+        .selectExpr("*", "dimension_total = summary_total AS ties")
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.functions import aggregates, named
 from tallyweave.operators.durable import frozen
 
 SLICE = "_slice"
@@ -23,11 +24,13 @@ def sliced_by(df: DataFrame, *keys: Column) -> DataFrame:
     sample and must not be drawn twice.
     """
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    numbered = ordered.withColumn("_id", F.monotonically_increasing_id())
+    numbered = ordered.selectExpr("*", "monotonically_increasing_id() AS _id")
     return frozen(
-        numbered.withColumn(SLICE, F.shiftright("_id", _POSITION_BITS))
-        .withColumn(POSITION, F.col("_id") - F.shiftleft(F.col(SLICE), _POSITION_BITS))
-        .drop("_id")
+        numbered.selectExpr(
+            "* EXCEPT (_id)",
+            f"shiftright(_id, {_POSITION_BITS}) AS {SLICE}",
+            f"_id & {(1 << _POSITION_BITS) - 1}L AS {POSITION}",
+        )
     )
 
 
@@ -38,11 +41,16 @@ def ranked(df: DataFrame, keys: list[Column], name: str) -> DataFrame:
     partition, which bounds both the window and the broadcast.
     """
     slices = sliced_by(df, *keys)
-    sizes = slices.groupBy(SLICE).agg(F.count("*").alias("_size"))
-    earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(SLICE, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    offsets = slices.groupBy(SLICE).agg(F.expr("count(*) AS _size")).selectExpr(SLICE, f"{_before(SLICE)} AS _before")
     placed = slices.join(F.broadcast(offsets), SLICE)
-    return placed.withColumn(name, F.col("_before") + F.col(POSITION) + 1).drop(SLICE, POSITION, "_before")
+    return placed.selectExpr(f"* EXCEPT ({SLICE}, {POSITION}, _before)", f"_before + {POSITION} + 1 AS {name}")
+
+
+def _before(order: str, group: str = "", size: str = "_size") -> str:
+    """Sum of the sizes ahead of a row."""
+    partition = f"PARTITION BY {group} " if group else ""
+    frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"coalesce(sum({size}) OVER ({partition}ORDER BY {order} {frame}), 0L)"
 
 
 def quantiles_by_count(counts: DataFrame, group: str, value: str, count: str, shares: dict[str, float]) -> DataFrame:
@@ -52,32 +60,27 @@ def quantiles_by_count(counts: DataFrame, group: str, value: str, count: str, sh
     of one group are chained by their totals: a group may span any number of slices.
     """
     slices = sliced_by(counts, F.col(group).asc(), F.col(value).asc())
-    totals = slices.groupBy(group, SLICE).agg(F.sum(count).alias("_size"))
-    in_order = Window.partitionBy(group).orderBy(SLICE)
-    chained = totals.select(
-        group,
-        SLICE,
-        F.coalesce(F.sum("_size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_size").over(Window.partitionBy(group)).alias("_total"),
+    chained = (
+        slices.groupBy(group, SLICE)
+        .agg(F.expr(f"sum({count}) AS _size"))
+        .selectExpr(
+            group,
+            SLICE,
+            f"{_before(SLICE, group)} AS _before",
+            f"sum(_size) OVER (PARTITION BY {group}) AS _total",
+        )
     )
-    within = Window.partitionBy(group, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = slices.join(chained, [group, SLICE]).select(
+    placed = slices.join(chained, [group, SLICE]).selectExpr(
         group,
-        F.col(value).cast("double").alias("_value"),
+        f"CAST({value} AS DOUBLE) AS _value",
         "_total",
-        (F.col("_before") + F.coalesce(F.sum(count).over(within), F.lit(0))).alias("_first"),
-        F.col(count).alias("_count"),
+        f"_before + {_before(value, f'{group}, {SLICE}', count)} AS _first",
+        f"{count} AS _count",
     )
-    picks = []
-    for name, share in shares.items():
-        place = (F.col("_total") - 1) * F.lit(float(share))
-        for end, index in ((f"_{name}_low", F.floor(place)), (f"_{name}_high", F.ceil(place))):
-            holds = (F.col("_first") <= index) & (index < F.col("_first") + F.col("_count"))
-            picks.append(F.max(F.when(holds, F.col("_value"))).alias(end))
-    ends = placed.groupBy(group).agg(F.max("_total").alias("_total"), *picks)
-    columns = []
+    picks, results = {"_total": "max(_total)"}, {}
     for name, share in shares.items():
-        place = (F.col("_total") - 1) * F.lit(float(share))
-        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        columns.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return ends.select(group, *columns)
+        place = f"((_total - 1) * {share!r}D)"
+        for end, index in (("low", f"floor({place})"), ("high", f"ceil({place})")):
+            picks[f"_{name}_{end}"] = f"max(IF(_first <= {index} AND {index} < _first + _count, _value, NULL))"
+        results[name] = f"_{name}_low + (_{name}_high - _{name}_low) * ({place} - floor({place}))"
+    return placed.groupBy(group).agg(*aggregates(picks)).selectExpr(group, *named(results))

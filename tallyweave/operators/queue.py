@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.functions import aggregates
 from tallyweave.operators.ordering import ranked
 from tallyweave.operators.rules import OPEN_REVIEW, SETTLED_LATE_REVIEW, SEVERITY_RANKS
 
@@ -18,42 +19,41 @@ AGING_BUCKETS = ((0, "0 days"), (3, "0-3 days"), (7, "3-7 days"), (14, "7-14 day
 OLDEST_BUCKET = "30+ days"
 
 
-def aging_bucket(age_days: Column) -> Column:
-    bucket = F.when(F.lit(False), F.lit(""))
-    for upper, label in AGING_BUCKETS:
-        bucket = bucket.when(age_days <= upper, label)
-    return bucket.otherwise(OLDEST_BUCKET)
+def aging_bucket(age_days: str) -> str:
+    buckets = " ".join(f"WHEN {age_days} <= {upper} THEN '{label}'" for upper, label in AGING_BUCKETS)
+    return f"CASE {buckets} ELSE '{OLDEST_BUCKET}' END"
 
 
-def priority_score(severity_rank: Column, current_exposure: Column, age_days: Column) -> Column:
-    exposure_points = F.least(current_exposure.cast("double") / RUPEES_PER_POINT, F.lit(EXPOSURE_CAP))
-    return severity_rank * SEVERITY_WEIGHT + exposure_points + F.least(age_days, F.lit(AGE_CAP))
+CURRENT_EXPOSURE = "(financial_exposure_inr + overdue_cash_inr)"
+
+# Doubles in a fixed order of operations, so that scores repeat exactly.
+PRIORITY_SCORE = (
+    f"severity_rank * {SEVERITY_WEIGHT} "
+    f"+ least(CAST({CURRENT_EXPOSURE} AS DOUBLE) / {RUPEES_PER_POINT}D, {EXPOSURE_CAP}D) "
+    f"+ least(exception_age_days, {AGE_CAP}D)"
+)
 
 
 def scored_cases(cases: DataFrame) -> DataFrame:
     """The queue without its rank: row-local, so it adds no exchange."""
-    rank = F.col("severity_rank")
-    severity = F.when(F.lit(False), F.lit(""))
-    for name, value in SEVERITY_RANKS.items():
-        severity = severity.when(rank == value, name)
-    current = F.col("financial_exposure_inr") + F.col("overdue_cash_inr")
-    return cases.filter("exception_count > 0").select(
+    severities = " ".join(f"WHEN {rank} THEN '{name}'" for name, rank in SEVERITY_RANKS.items())
+    return cases.filter("exception_count > 0").selectExpr(
         "transaction_id",
         "merchant_id",
         "payment_method",
         "gateway_id",
         "exception_types",
         "exception_count",
-        severity.alias("severity"),
-        F.when(F.col("historical_only"), SETTLED_LATE_REVIEW).otherwise(OPEN_REVIEW).alias("case_status"),
+        f"CASE severity_rank {severities} END AS severity",
+        f"IF(historical_only, '{SETTLED_LATE_REVIEW}', '{OPEN_REVIEW}') AS case_status",
         "financial_exposure_inr",
         "overdue_cash_inr",
         "historical_late_cash_inr",
-        current.alias("current_exposure_inr"),
-        F.col("exception_age_days").alias("age_days"),
+        f"{CURRENT_EXPOSURE} AS current_exposure_inr",
+        "exception_age_days AS age_days",
         "recommended_actions",
-        priority_score(rank, current, F.col("exception_age_days")).alias("priority_score"),
-        aging_bucket(F.col("exception_age_days")).alias("aging_bucket"),
+        f"{PRIORITY_SCORE} AS priority_score",
+        f"{aging_bucket('exception_age_days')} AS aging_bucket",
     )
 
 
@@ -78,14 +78,6 @@ def top_cases(cases: DataFrame, size: int) -> DataFrame:
 
 
 def aging_metrics(cases: DataFrame) -> DataFrame:
-    return (
-        scored_cases(cases)
-        .groupBy("case_status", "aging_bucket")
-        .agg(
-            F.count("*").alias("investigation_count"),
-            F.sum("financial_exposure_inr").alias("financial_exposure_inr"),
-            F.sum("overdue_cash_inr").alias("overdue_cash_inr"),
-            F.sum("current_exposure_inr").alias("current_exposure_inr"),
-            F.sum("historical_late_cash_inr").alias("historical_late_cash_inr"),
-        )
-    )
+    amounts = ("financial_exposure_inr", "overdue_cash_inr", "current_exposure_inr", "historical_late_cash_inr")
+    totals = {"investigation_count": "count(*)"} | {name: f"sum({name})" for name in amounts}
+    return scored_cases(cases).groupBy("case_status", "aging_bucket").agg(*aggregates(totals))

@@ -7,17 +7,15 @@ needed, and the work stays inside generated code.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallyweave.functions import aggregates, named, text_literal
 from tallyweave.functions.clock import days_between
 from tallyweave.functions.money import TOTAL
 from tallyweave.functions.text import joined_labels
+from tallyweave.operators.facts import IN_LEDGER, SUCCESS
 
 # Review states, exposure kinds and severity ranks.
 OPEN_REVIEW = "open_review"
@@ -44,12 +42,14 @@ NO_EXPOSURE = "none"
 
 @dataclass(frozen=True)
 class Rule:
+    """``fires`` and ``amount`` are SQL expressions over one fact row."""
+
     name: str
     severity: str
     exposure_kind: str
     reason: str
-    fires: Callable[[], Column]
-    amount: Callable[[], Column]
+    fires: str
+    amount: str
     exposure: str = FINANCIAL
     action: str = COMPARE_RECORDS
 
@@ -58,13 +58,7 @@ class Rule:
         return f"fires_{self.name}"
 
 
-def _beyond(delta: str, limit: str) -> Column:
-    return F.abs(F.col(delta)) > F.col(limit)
-
-
-def _single_orphan(rows: str) -> Column:
-    return ~F.col("has_internal") & (F.col(rows) == 1)
-
+UNSETTLED = "(settlement_eligible AND settlement_rows = 0)"
 
 # Rule names, severities, exposure kinds and reasons.
 RULES = (
@@ -73,40 +67,40 @@ RULES = (
         "critical",
         POTENTIAL_LOSS,
         "Multiple gateway records; verify duplicate capture versus repeated feed delivery.",
-        fires=lambda: F.col("gateway_rows") > 1,
-        amount=lambda: F.col("gateway_duplicate_excess"),
+        fires="gateway_rows > 1",
+        amount="gateway_duplicate_excess",
     ),
     Rule(
         "duplicate_settlement",
         "critical",
         POTENTIAL_LOSS,
         "Multiple settlement lines; verify duplicate cash movement versus repeated feed delivery.",
-        fires=lambda: F.col("settlement_rows") > 1,
-        amount=lambda: F.col("settlement_duplicate_excess"),
+        fires="settlement_rows > 1",
+        amount="settlement_duplicate_excess",
     ),
     Rule(
         "missing_gateway",
         "high",
         POTENTIAL_LOSS,
         "Internal payment has no gateway record at the reporting cutoff.",
-        fires=lambda: F.col("has_internal") & (F.col("gateway_rows") == 0),
-        amount=lambda: F.col("internal_gross"),
+        fires="has_internal AND gateway_rows = 0",
+        amount="internal_gross",
     ),
     Rule(
         "orphan_gateway",
         "high",
         POTENTIAL_LOSS,
         "Gateway record has no matching internal payment.",
-        fires=lambda: _single_orphan("gateway_rows"),
-        amount=lambda: F.col("gateway_amount"),
+        fires="gateway_rows = 1 AND NOT has_internal",
+        amount="gateway_amount",
     ),
     Rule(
         "orphan_settlement",
         "critical",
         POTENTIAL_LOSS,
         "Bank settlement has no matching internal payment.",
-        fires=lambda: _single_orphan("settlement_rows"),
-        amount=lambda: F.col("bank_net"),
+        fires="settlement_rows = 1 AND NOT has_internal",
+        amount="bank_net",
         action=FIND_OWNER,
     ),
     Rule(
@@ -114,18 +108,16 @@ RULES = (
         "high",
         POTENTIAL_LOSS,
         "Internal gross and gateway gross differ beyond tolerance.",
-        fires=lambda: _beyond("ledger_gateway_gross_delta", "amount_tolerance"),
-        amount=lambda: F.abs("ledger_gateway_gross_delta"),
+        fires="abs(ledger_gateway_gross_delta) > amount_tolerance",
+        amount="abs(ledger_gateway_gross_delta)",
     ),
     Rule(
         "status_mismatch",
         "high",
         DATA_INTEGRITY,
         "Internal and gateway statuses disagree.",
-        fires=lambda: F.col("has_internal")
-        & (F.col("gateway_rows") == 1)
-        & (F.col("internal_status") != F.col("gateway_status")),
-        amount=lambda: F.col("internal_gross"),
+        fires=f"{IN_LEDGER} AND internal_status != gateway_status",
+        amount="internal_gross",
         exposure=NO_EXPOSURE,
     ),
     Rule(
@@ -133,8 +125,8 @@ RULES = (
         "critical",
         POTENTIAL_LOSS,
         "Successful matched payment is overdue and has no bank settlement.",
-        fires=lambda: _unsettled() & (F.col("as_of") > F.col("settlement_due_at")),
-        amount=lambda: F.col("gateway_net"),
+        fires=f"{UNSETTLED} AND as_of > settlement_due_at",
+        amount="gateway_net",
         exposure=OVERDUE,
         action=REQUEST_TRACE,
     ),
@@ -143,8 +135,8 @@ RULES = (
         "medium",
         POTENTIAL_LOSS,
         "Bank fee/tax differs from gateway fee/tax.",
-        fires=lambda: (F.col("gateway_status") == "success") & _beyond("fee_tax_abs_delta", "fee_tolerance"),
-        amount=lambda: F.col("fee_tax_abs_delta"),
+        fires=f"gateway_status = '{SUCCESS}' AND fee_tax_abs_delta > fee_tolerance",
+        amount="fee_tax_abs_delta",
         action=VERIFY_FEES,
     ),
     Rule(
@@ -152,8 +144,8 @@ RULES = (
         "medium",
         CASH_TIMING,
         "Cash arrived after the settlement window; historical delay, not current outstanding cash.",
-        fires=lambda: F.col("settlement_delay_days") > F.col("max_settlement_days"),
-        amount=lambda: F.col("gateway_net"),
+        fires="settlement_delay_days > max_settlement_days",
+        amount="gateway_net",
         exposure=HISTORICAL,
         action=REVIEW_BREACH,
     ),
@@ -162,16 +154,16 @@ RULES = (
         "high",
         POTENTIAL_LOSS,
         "Bank gross and gateway gross differ beyond tolerance.",
-        fires=lambda: _beyond("gateway_bank_gross_delta", "amount_tolerance"),
-        amount=lambda: F.abs("gateway_bank_gross_delta"),
+        fires="abs(gateway_bank_gross_delta) > amount_tolerance",
+        amount="abs(gateway_bank_gross_delta)",
     ),
     Rule(
         "settlement_net_mismatch",
         "high",
         POTENTIAL_LOSS,
         "Bank net and gateway net differ beyond tolerance; may overlap fee/gross signals.",
-        fires=lambda: _beyond("gateway_bank_net_delta", "amount_tolerance"),
-        amount=lambda: F.abs("gateway_bank_net_delta"),
+        fires="abs(gateway_bank_net_delta) > amount_tolerance",
+        amount="abs(gateway_bank_net_delta)",
     ),
 )
 RULES_BY_NAME = {rule.name: rule for rule in RULES}
@@ -180,46 +172,40 @@ RULES_BY_NAME = {rule.name: rule for rule in RULES}
 CORE_RULES = tuple(r.name for r in RULES if r.name not in ("settlement_gross_mismatch", "settlement_net_mismatch"))
 
 
-def _unsettled() -> Column:
-    return F.col("settlement_eligible") & (F.col("settlement_rows") == 0)
+NOTHING = f"CAST(0 AS {TOTAL})"
+
+
+def _any(flags) -> str:
+    return f"({' OR '.join(flags)})"
 
 
-def _age_of(rule: Rule) -> Column:
+def _age_of(rule: Rule) -> str:
     """Days a signal has been open, never negative.
 
     Late cash stops ageing when it arrives; missing cash ages from its due time; any
     other signal ages from the source event.
     """
-    if rule.exposure == HISTORICAL:
-        days = F.col("settlement_delay_days") - F.col("max_settlement_days")
-    elif rule.exposure == OVERDUE:
-        days = F.col("elapsed_days") - F.col("max_settlement_days")
-    else:
-        days = days_between(F.col("activity_at"), F.col("as_of"))
-    return F.greatest(days, F.lit(0.0))
+    days = {
+        HISTORICAL: "settlement_delay_days - max_settlement_days",
+        OVERDUE: "elapsed_days - max_settlement_days",
+    }.get(rule.exposure, days_between("activity_at", "as_of"))
+    return f"greatest({days}, 0D)"
 
 
-def _financial_amount(rule: Rule) -> Column:
-    amount = rule.amount().cast(TOTAL)
+def _amount_as(rule: Rule, exposure: str) -> str:
+    """The part of a rule's amount that counts under an exposure heading."""
+    if rule.exposure != exposure:
+        return NOTHING
+    amount = f"CAST({rule.amount} AS {TOTAL})"
     if rule.name == "missing_gateway":
         # Cash that reached the bank is a data problem, not a loss.
-        return F.when(F.col("settlement_rows") > 0, _nothing()).otherwise(amount)
+        return f"IF(settlement_rows > 0, {NOTHING}, {amount})"
     return amount
 
 
-def _nothing() -> Column:
-    return F.lit(0).cast(TOTAL)
-
-
-def _amount_if(rule: Rule, exposure: str) -> Column:
-    if rule.exposure != exposure:
-        return _nothing()
-    return _financial_amount(rule) if exposure == FINANCIAL else rule.amount().cast(TOTAL)
-
-
 def with_flags(facts: DataFrame) -> DataFrame:
     """Add one never-null boolean per rule."""
-    return facts.withColumns({rule.flag: F.coalesce(rule.fires(), F.lit(False)) for rule in RULES})
+    return facts.selectExpr("*", *named({rule.flag: f"coalesce({rule.fires}, false)" for rule in RULES}))
 
 
 def case_facts(facts: DataFrame) -> DataFrame:
@@ -228,71 +214,51 @@ def case_facts(facts: DataFrame) -> DataFrame:
     Overlapping rules describe the same money, so the discrepancy of a transaction is
     the largest of its rules' amounts and never their sum.
     """
-    flagged = with_flags(facts)
-    flag = {rule.name: F.col(rule.flag) for rule in RULES}
-    by_severity = {s: [flag[r.name] for r in RULES if r.severity == s] for s in SEVERITY_RANKS}
-    severity_rank = F.lit(None).cast("int")
-    for severity, rank in sorted(SEVERITY_RANKS.items(), key=lambda item: item[1]):
-        if by_severity[severity]:
-            severity_rank = F.when(reduce(or_, by_severity[severity]), rank).otherwise(severity_rank)
-    ages = {}
-    for rule in RULES:
-        ages.setdefault(rule.exposure if rule.exposure in (HISTORICAL, OVERDUE) else FINANCIAL, []).append(rule)
-    age_days = F.greatest(
-        *[F.when(reduce(or_, [flag[r.name] for r in rules]), _age_of(rules[0])) for rules in ages.values()]
+    severities = " ".join(
+        f"WHEN {_any(flags)} THEN {rank}"
+        for severity, rank in SEVERITY_RANKS.items()
+        if (flags := [r.flag for r in RULES if r.severity == severity])
     )
-    actions = {}
+    same_age: dict[str, list[Rule]] = {}
+    same_action: dict[str, list[str]] = {}
     for rule in RULES:
-        actions.setdefault(rule.action, []).append(flag[rule.name])
-    money = {
-        exposure: F.greatest(
-            _nothing(),
-            *[F.when(flag[r.name], _amount_if(r, exposure)) for r in RULES if r.exposure == exposure],
-        )
-        for exposure in (FINANCIAL, OVERDUE, HISTORICAL)
+        same_age.setdefault(_age_of(rule), []).append(rule)
+        same_action.setdefault(rule.action, []).append(rule.flag)
+    ages = [f"IF({_any(r.flag for r in rules)}, {age}, NULL)" for age, rules in same_age.items()]
+    rolled = {
+        "exception_count": " + ".join(f"CAST({rule.flag} AS BIGINT)" for rule in RULES),
+        "exception_types": joined_labels([(rule.name, rule.flag) for rule in RULES], ", "),
+        "severity_rank": f"CASE {severities} END",
+        "exception_age_days": f"greatest({', '.join(ages)})",
+        "financial_exposure_inr": _largest(FINANCIAL),
+        "overdue_cash_inr": _largest(OVERDUE),
+        "historical_late_cash_inr": _largest(HISTORICAL),
+        "recommended_actions": joined_labels([(action, _any(flags)) for action, flags in same_action.items()], "; "),
     }
-    rolled = flagged.withColumns(
-        {
-            "exception_count": reduce(lambda a, b: a + b, [f.cast("long") for f in flag.values()]),
-            "exception_types": joined_labels(flag.items(), ", "),
-            "severity_rank": severity_rank,
-            "exception_age_days": age_days,
-            "financial_exposure_inr": money[FINANCIAL],
-            "overdue_cash_inr": money[OVERDUE],
-            "historical_late_cash_inr": money[HISTORICAL],
-            "recommended_actions": joined_labels(
-                [(action, reduce(or_, flags)) for action, flags in actions.items()], "; "
-            ),
-        }
-    )
-    return rolled.withColumns(
-        {
-            "historical_only": (F.col("exception_count") == 1) & flag["settlement_delay"],
-            "settlement_state": settlement_state(),
-            "reconciliation_state": reconciliation_state(),
-        }
-    )
+    states = {
+        "historical_only": f"exception_count = 1 AND {RULES_BY_NAME['settlement_delay'].flag}",
+        "settlement_state": SETTLEMENT_STATE,
+        "reconciliation_state": RECONCILIATION_STATE,
+    }
+    return with_flags(facts).selectExpr("*", *named(rolled)).selectExpr("*", *named(states))
 
 
-def settlement_state() -> Column:
-    due = F.col("settlement_due_at")
-    return (
-        F.when((F.col("gateway_rows") > 1) | (F.col("settlement_rows") > 1), "ambiguous_duplicate")
-        .when(_unsettled(), F.when(F.col("as_of") > due, "overdue").otherwise("pending"))
-        .when(F.col("settlement_eligible"), "settled")
-        .otherwise("not_eligible_or_unmatched")
-    )
+def _largest(exposure: str) -> str:
+    amounts = [f"IF({r.flag}, {_amount_as(r, exposure)}, NULL)" for r in RULES if r.exposure == exposure]
+    return f"greatest({NOTHING}, {', '.join(amounts)})"
 
 
-def reconciliation_state() -> Column:
-    three_way = F.col("has_internal") & (F.col("gateway_rows") == 1) & (F.col("settlement_rows") == 1)
-    return (
-        F.when(F.col("exception_count") > 0, "exception")
-        .when(_unsettled(), "pending")
-        .when(three_way, "matched")
-        .otherwise("no_exception_not_three_way")
-    )
+SETTLEMENT_STATE = f"""CASE
+    WHEN gateway_rows > 1 OR settlement_rows > 1 THEN 'ambiguous_duplicate'
+    WHEN {UNSETTLED} THEN IF(as_of > settlement_due_at, 'overdue', 'pending')
+    WHEN settlement_eligible THEN 'settled'
+    ELSE 'not_eligible_or_unmatched' END"""
 
+RECONCILIATION_STATE = f"""CASE
+    WHEN exception_count > 0 THEN 'exception'
+    WHEN {UNSETTLED} THEN 'pending'
+    WHEN {IN_LEDGER} AND settlement_rows = 1 THEN 'matched'
+    ELSE 'no_exception_not_three_way' END"""
 
 # Columns that only the queue and the signal table need.
 WORKING_COLUMNS = (
@@ -308,22 +274,22 @@ def reconciliation_facts(cases: DataFrame) -> DataFrame:
     return cases.drop(*WORKING_COLUMNS)
 
 
-def _signal(rule: Rule) -> Column:
-    status = SETTLED_LATE_REVIEW if rule.exposure == HISTORICAL else OPEN_REVIEW
+def _signal(rule: Rule) -> str:
     fields = {
-        "exception_type": F.lit(rule.name),
-        "severity": F.lit(rule.severity),
-        "amount_at_risk": rule.amount().cast(TOTAL),
-        "exposure_kind": F.lit(rule.exposure_kind),
-        "reason": F.lit(rule.reason),
-        "case_status": F.lit(status),
+        "exception_type": text_literal(rule.name),
+        "severity": text_literal(rule.severity),
+        "amount_at_risk": f"CAST({rule.amount} AS {TOTAL})",
+        "exposure_kind": text_literal(rule.exposure_kind),
+        "reason": text_literal(rule.reason),
+        "case_status": text_literal(SETTLED_LATE_REVIEW if rule.exposure == HISTORICAL else OPEN_REVIEW),
         "age_days": _age_of(rule),
-        "financial_exposure_inr": _amount_if(rule, FINANCIAL),
-        "overdue_cash_inr": _amount_if(rule, OVERDUE),
-        "historical_late_cash_inr": _amount_if(rule, HISTORICAL),
-        "recommended_action": F.lit(rule.action),
+        "financial_exposure_inr": _amount_as(rule, FINANCIAL),
+        "overdue_cash_inr": _amount_as(rule, OVERDUE),
+        "historical_late_cash_inr": _amount_as(rule, HISTORICAL),
+        "recommended_action": text_literal(rule.action),
     }
-    return F.when(F.col(rule.flag), F.struct(*[value.alias(name) for name, value in fields.items()]))
+    pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"IF({rule.flag}, named_struct({pairs}), NULL)"
 
 
 SIGNAL_COLUMNS = ("transaction_id", "exception_type", "severity", "amount_at_risk", "exposure_kind", "reason")
@@ -332,11 +298,11 @@ DIMENSION_COLUMNS = ("merchant_id", "payment_method", "gateway_id", "activity_da
 
 def detected_exceptions(cases: DataFrame) -> DataFrame:
     """One row per (transaction, rule), read off the flagged fact rows."""
-    flagged = cases.filter(reduce(or_, [F.col(rule.flag) for rule in RULES]))
-    signals = flagged.select(
-        "transaction_id", *DIMENSION_COLUMNS, F.inline(F.array(*[_signal(rule) for rule in RULES]))
+    return (
+        cases.filter(_any(rule.flag for rule in RULES))
+        .selectExpr("transaction_id", *DIMENSION_COLUMNS, f"inline(array({', '.join(map(_signal, RULES))}))")
+        .filter("exception_type IS NOT NULL")
     )
-    return signals.filter(F.col("exception_type").isNotNull())
 
 
 def exception_signals(cases: DataFrame) -> DataFrame:
@@ -346,13 +312,13 @@ def exception_signals(cases: DataFrame) -> DataFrame:
 def rule_signals(facts: DataFrame, name: str) -> DataFrame:
     """Signals of one rule only: a filter and a projection."""
     rule = RULES_BY_NAME[name]
-    return facts.filter(rule.fires()).select(
+    return facts.filter(rule.fires).selectExpr(
         "transaction_id",
-        F.lit(rule.name).alias("exception_type"),
-        F.lit(rule.severity).alias("severity"),
-        rule.amount().cast(TOTAL).alias("amount_at_risk"),
-        F.lit(rule.exposure_kind).alias("exposure_kind"),
-        F.lit(rule.reason).alias("reason"),
+        f"{text_literal(rule.name)} AS exception_type",
+        f"{text_literal(rule.severity)} AS severity",
+        f"CAST({rule.amount} AS {TOTAL}) AS amount_at_risk",
+        f"{text_literal(rule.exposure_kind)} AS exposure_kind",
+        f"{text_literal(rule.reason)} AS reason",
     )
 
 
@@ -363,20 +329,16 @@ def exception_rollup(detected: DataFrame) -> DataFrame:
     the signals are at hand. A transaction has at most one signal per rule, so the
     collected lists are bounded by the number of rules.
     """
-    ranks = F.lit(1)
-    for severity, rank in SEVERITY_RANKS.items():
-        ranks = F.when(F.col("severity") == severity, rank).otherwise(ranks)
-    return (
-        detected.groupBy("transaction_id")
-        .agg(
-            F.count("*").alias("exception_count"),
-            F.array_join(F.array_sort(F.collect_list("exception_type")), ", ").alias("exception_types"),
-            F.max(ranks).alias("severity_rank"),
-            F.max("age_days").alias("age_days"),
-            F.max("financial_exposure_inr").alias("financial_exposure_inr"),
-            F.max("overdue_cash_inr").alias("overdue_cash_inr"),
-            F.max("historical_late_cash_inr").alias("historical_late_cash_inr"),
-            F.array_join(F.array_sort(F.collect_set("recommended_action")), "; ").alias("recommended_actions"),
-            F.bool_and(F.col("case_status") == SETTLED_LATE_REVIEW).alias("historical_only"),
-        )
-    )
+    ranks = " ".join(f"WHEN '{severity}' THEN {rank}" for severity, rank in SEVERITY_RANKS.items())
+    rolled = {
+        "exception_count": "count(*)",
+        "exception_types": "array_join(array_sort(collect_list(exception_type)), ', ')",
+        "severity_rank": f"max(CASE severity {ranks} END)",
+        "age_days": "max(age_days)",
+        "financial_exposure_inr": "max(financial_exposure_inr)",
+        "overdue_cash_inr": "max(overdue_cash_inr)",
+        "historical_late_cash_inr": "max(historical_late_cash_inr)",
+        "recommended_actions": "array_join(array_sort(collect_set(recommended_action)), '; ')",
+        "historical_only": f"every(case_status = '{SETTLED_LATE_REVIEW}')",
+    }
+    return detected.groupBy("transaction_id").agg(*aggregates(rolled))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyweave.functions import named, text_literal
 from tallyweave.operators import matching, metrics
 from tallyweave.operators.audit import source_counts, table_fingerprint
 from tallyweave.operators.durable import shared_folder
@@ -73,7 +74,8 @@ class Inputs:
 
     @property
     def unfiltered(self) -> dict[str, DataFrame]:
-        return {c.name: typed(self.raw[c.name], c, lower_status=False) for c in LEGACY_CONTRACTS}
+        raw = self.raw
+        return {c.name: typed(raw[c.name], c, lower_status=False) for c in LEGACY_CONTRACTS}
 
     @property
     def facts(self) -> DataFrame:
@@ -93,26 +95,19 @@ class Inputs:
 
     @property
     def core_detected(self) -> DataFrame:
-        return self.detected.filter(F.col("exception_type").isin(*CORE_RULES))
+        return self.detected.filter(f"exception_type IN ({', '.join(map(text_literal, CORE_RULES))})")
 
 
 def presented(df: DataFrame) -> DataFrame:
     """Plain types at the query's edge: money and ratios as double, times as text."""
-    columns = []
-    for field in df.schema:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            value = value.cast("double")
-        elif isinstance(field.dataType, T.DoubleType):
-            value = F.round(value, 6)
-        elif isinstance(field.dataType, T.DateType):
-            value = value.cast("string")
-        elif isinstance(field.dataType, T.TimestampNTZType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, T.IntegerType):
-            value = value.cast("long")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+    forms = {
+        T.DecimalType: "CAST({c} AS DOUBLE)",
+        T.DoubleType: "round({c}, 6)",
+        T.DateType: "CAST({c} AS STRING)",
+        T.TimestampNTZType: "date_format({c}, 'yyyy-MM-dd HH:mm:ss')",
+        T.IntegerType: "CAST({c} AS BIGINT)",
+    }
+    return df.selectExpr(*named({f.name: forms.get(type(f.dataType), "{c}").format(c=f.name) for f in df.schema}))
 
 
 def _feed(name: str, i: Inputs) -> DataFrame:
@@ -137,12 +132,12 @@ def _top_merchants(i: Inputs) -> DataFrame:
 
 
 def _top_rules(i: Inputs) -> DataFrame:
-    counts = i.detected.groupBy("exception_type").agg(F.count("*").alias("exception_count"))
+    counts = i.detected.groupBy("exception_type").agg(F.expr("count(*) AS exception_count"))
     return reports.top_bars(counts, "exception_type", "exception_count")
 
 
 def _earliest_cohorts(i: Inputs) -> DataFrame:
-    totals = metrics.with_rates(metrics.dimension_totals(i.cases, ("day",), include_all=False))
+    totals = metrics.dimension_totals(i.cases, ("day",), include_all=False)
     return reports.daily_cohorts(totals).orderBy("dimension_value").limit(10)
 
 
@@ -155,23 +150,23 @@ def _csv_round_trip(i: Inputs) -> DataFrame:
     for contract in CONTRACTS:
         amount = contract.money[0]
         parts.append(
-            feeds[contract.name].agg(
-                F.lit(contract.name).alias("feed"),
-                F.count("*").alias("rows"),
-                F.count_distinct("transaction_id").alias("transactions"),
-                F.sum(amount).alias("amount"),
-                F.max(contract.time).alias("latest"),
+            feeds[contract.name].selectExpr(
+                f"'{contract.name}' AS feed",
+                "count(*) AS rows",
+                "count(DISTINCT transaction_id) AS transactions",
+                f"sum({amount}) AS amount",
+                f"max({contract.time}) AS latest",
             )
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _duplicates_by_feed(i: Inputs) -> DataFrame:
     parts = [
-        matching.repeated(i.unfiltered[name]).select(F.lit(name).alias("feed"), "transaction_id", "rows")
+        matching.repeated(i.unfiltered[name]).selectExpr(f"'{name}' AS feed", "transaction_id", "rows")
         for name in ("gateway", "settlement")
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _deduplicated_counts(i: Inputs) -> DataFrame:
@@ -184,30 +179,21 @@ def _deduplicated_counts(i: Inputs) -> DataFrame:
             ("anti_join", matching.without_duplicates(feed)),
         ):
             parts.append(
-                rows.agg(
-                    F.lit(name).alias("feed"),
-                    F.lit(method).alias("method"),
-                    F.count("*").alias("rows"),
-                    F.sum(amount).alias("amount"),
+                rows.selectExpr(
+                    f"'{name}' AS feed", f"'{method}' AS method", "count(*) AS rows", f"sum({amount}) AS amount"
                 )
             )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _operational_run(i: Inputs) -> DataFrame:
     """Row counts of all twelve reports from one complete run."""
     result = operations.run_operations(**i.raw, as_of=i.as_of)
     parts = [
-        table.agg(F.count("*").alias("rows")).select(F.lit(name).alias("report"), "rows")
+        table.selectExpr(f"'{name}' AS report", "count(*) AS rows")
         for name, table in result.tables.items()
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return reduce(DataFrame.unionByName, parts)
 
 
 PLANS: dict[str, Callable[[Inputs], DataFrame]] = {

@@ -49,8 +49,7 @@ def typed_feeds(feeds: dict[str, DataFrame], contracts=CONTRACTS) -> dict[str, D
 
 
 def cut_feeds(feeds: dict[str, DataFrame], as_of, contracts=CONTRACTS) -> dict[str, DataFrame]:
-    cutoff = cutoff_literal(as_of)
-    return {c.name: until(feeds[c.name], c, cutoff) for c in contracts}
+    return {c.name: until(feeds[c.name], c, as_of) for c in contracts}
 
 
 def cases_at(feeds: dict[str, DataFrame], as_of, config: ReconciliationConfig = ReconciliationConfig()) -> DataFrame:
@@ -133,7 +132,7 @@ def snapshot_comparison(
     snapshots that see it. A cutoff before all events still gets its row.
     """
     moments = sorted({parse_cutoff(c) for c in cutoffs})
-    parameters = spark.range(1).select(F.explode(F.array(*[cutoff_literal(m) for m in moments])).alias("as_of"))
+    parameters = spark.range(1).selectExpr(f"explode(array({', '.join(map(cutoff_literal, moments))})) AS as_of")
     visible = cut_feeds(typed_feeds(feeds), moments[-1])
     cases = case_facts(snapshot_facts(visible, moments, config))
     return metrics.summary_by_cutoff(cases, parameters)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyweave.functions import named, text_literal
 from tallyweave.functions.money import GRAND_TOTAL
 from tallyweave.functions.text import grouped_thousands, html_escaped, percentage
 from tallyweave.operators.audit import file_digests, fingerprints
@@ -37,36 +38,32 @@ ROWS_PER_FILE = 200_000
 
 def report_cards(summary: DataFrame) -> DataFrame:
     """Headline figures, one row per card, with display text."""
-    rows = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(label).alias("card"),
-            F.col(column).cast(GRAND_TOTAL).alias("value"),
-            _card_text(F.col(column), money).alias("display"),
-        )
+    rows = ", ".join(
+        f"named_struct('position', {position}, 'card', {text_literal(label)}, "
+        f"'value', CAST({column} AS {GRAND_TOTAL}), 'display', {_card_text(column, money)})"
         for position, (label, column, money) in enumerate(CARDS, start=1)
-    ]
-    return summary.select(F.inline(F.array(*rows)))
+    )
+    return summary.selectExpr(f"inline(array({rows}))")
 
 
-def _card_text(value: Column, money: bool) -> Column:
-    return F.concat(F.lit("₹"), grouped_thousands(value, 2)) if money else grouped_thousands(value)
+def _card_text(value: str, money: bool) -> str:
+    return f"concat('₹', {grouped_thousands(value, 2)})" if money else grouped_thousands(value)
 
 
 def rate_text(summary: DataFrame) -> DataFrame:
-    rate = F.col("exception_transaction_rate")
-    return summary.select(F.coalesce(percentage(rate), F.lit(UNDEFINED_RATE)).alias("exception_rate"))
+    return summary.selectExpr(
+        f"coalesce({percentage('exception_transaction_rate')}, '{UNDEFINED_RATE}') AS exception_rate"
+    )
 
 
 def top_bars(table: DataFrame, label: str, value: str, rows: int = BAR_ROWS) -> DataFrame:
     """The largest values with escaped labels and bar widths in percent."""
     head = table.select(label, value).orderBy(F.col(value).desc(), F.col(label).asc()).limit(rows)
-    widest = F.greatest(F.max(F.col(value).cast("double")).over(Window.partitionBy()), F.lit(1.0))
-    return head.select(
+    return head.selectExpr(
         label,
-        html_escaped(F.col(label)).alias("label_html"),
+        f"{html_escaped(label)} AS label_html",
         value,
-        (F.col(value).cast("double") / widest * 100).alias("bar_percent"),
+        f"CAST({value} AS DOUBLE) / greatest(max(CAST({value} AS DOUBLE)) OVER (), 1D) * 100 AS bar_percent",
     )
 
 
@@ -75,11 +72,11 @@ def report_sections(result: OperationalResult) -> dict[str, DataFrame]:
     tables = result.tables
     queue_head = (
         tables["investigation_queue"]
-        .filter(F.col("priority_rank") <= QUEUE_ROWS)
-        .select(
+        .filter(f"priority_rank <= {QUEUE_ROWS}")
+        .selectExpr(
             "priority_rank",
             "transaction_id",
-            html_escaped(F.col("merchant_id")).alias("merchant_id"),
+            f"{html_escaped('merchant_id')} AS merchant_id",
             "severity",
             "exception_types",
             "current_exposure_inr",
@@ -133,20 +130,14 @@ def source_controls(summary: DataFrame) -> DataFrame:
 
 def as_report_text(table: DataFrame) -> DataFrame:
     """Numbers with six decimals, ISO seconds and capitalised booleans."""
-    columns = []
-    for field in table.schema:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            value = value.cast("decimal(38,6)").cast("string")
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.format_string("%.6f", value)
-            value = F.when(F.col(field.name).isNotNull(), value)
-        elif isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
-            value = F.date_format(value.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
-        elif isinstance(field.dataType, T.BooleanType):
-            value = F.initcap(value.cast("string"))
-        columns.append(value.alias(field.name))
-    return table.select(*columns)
+    forms = {
+        T.DecimalType: "CAST(CAST({c} AS DECIMAL(38,6)) AS STRING)",
+        T.DoubleType: "IF({c} IS NULL, NULL, format_string('%.6f', {c}))",
+        T.DateType: "date_format(CAST({c} AS TIMESTAMP_NTZ), \"yyyy-MM-dd'T'HH:mm:ss\")",
+        T.TimestampNTZType: "date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss\")",
+        T.BooleanType: "initcap(CAST({c} AS STRING))",
+    }
+    return table.selectExpr(*named({f.name: forms.get(type(f.dataType), "{c}").format(c=f.name) for f in table.schema}))
 
 
 def write_csv(table: DataFrame, path: str) -> None:
@@ -155,8 +146,8 @@ def write_csv(table: DataFrame, path: str) -> None:
 
 def summary_json(summary: DataFrame) -> DataFrame:
     """The summary as one JSON document with sorted keys and explicit nulls."""
-    document = F.struct(*[F.col(name) for name in sorted(summary.columns)])
-    return summary.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
+    document = f"struct({', '.join(sorted(summary.columns))})"
+    return summary.selectExpr(f"to_json({document}, map('ignoreNullFields', 'false')) AS value")
 
 
 def write_reports(result: OperationalResult, folder: str, *, sources: dict[str, DataFrame] | None = None) -> dict:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from tallyweave.config import cutoff_literal
+from tallyweave.functions import named
 from tallyweave.functions.clock import as_utc
 from tallyweave.functions.money import as_amount
 from tallyweave.functions.text import is_blank
@@ -76,25 +77,25 @@ def typed(feed: DataFrame, contract: FeedContract, *, lower_status: bool = True)
     """
     contract.require(feed)
     types = {field.name: field.dataType for field in feed.schema}
-    columns = []
+    columns = {}
     for name in contract.text:
-        value = F.col(name).cast("string")
-        columns.append((F.lower(value) if lower_status and name == contract.status else value).alias(name))
-    columns.append(as_utc(F.col(contract.time), types[contract.time]).alias(contract.time))
-    columns.extend(as_amount(F.col(name), types[name]).alias(name) for name in contract.money)
+        value = f"CAST({name} AS STRING)"
+        columns[name] = f"lower({value})" if lower_status and name == contract.status else value
+    columns[contract.time] = as_utc(contract.time, types[contract.time])
+    columns.update({name: as_amount(name, types[name]) for name in contract.money})
     if contract.name == GATEWAY.name:
-        columns.append(provider(feed).alias("gateway_id"))
-    return feed.select(*columns)
+        columns["gateway_id"] = provider(feed)
+    return feed.selectExpr(*named(columns))
 
 
-def provider(feed: DataFrame):
+def provider(feed: DataFrame) -> str:
     """Optional provider column: absent, null and blank all mean unknown."""
     if "gateway_id" not in feed.columns:
-        return F.lit(UNKNOWN)
-    value = F.col("gateway_id").cast("string")
-    return F.when(is_blank(value), F.lit(UNKNOWN)).otherwise(value)
+        return f"'{UNKNOWN}'"
+    value = "CAST(gateway_id AS STRING)"
+    return f"IF({is_blank(value)}, '{UNKNOWN}', {value})"
 
 
-def until(feed: DataFrame, contract: FeedContract, cutoff) -> DataFrame:
+def until(feed: DataFrame, contract: FeedContract, as_of) -> DataFrame:
     """Keep events up to and including the cutoff."""
-    return feed.filter(F.col(contract.time) <= cutoff)
+    return feed.filter(f"{contract.time} <= {cutoff_literal(as_of)}")

@@ -7,11 +7,9 @@ records come from a row-local array, so no step shuffles.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tallyweave.functions import named
 from tallyweave.functions.money import AMOUNT, fee_on, fee_rate, tax_on
 
 # Case numbers of the derived feeds.
@@ -48,97 +46,102 @@ def order_feeds(orders: DataFrame) -> dict[str, DataFrame]:
 
 
 def internal_feed(orders: DataFrame) -> DataFrame:
-    payments = _payments(orders).filter(~F.col("case").isin(ORPHAN_GATEWAY, ORPHAN_SETTLEMENT, ORPHAN_BOTH))
-    return payments.select(
-        "transaction_id",
-        F.concat(F.lit("O"), "digits").alias("order_id"),
-        F.concat(F.lit("M"), F.lpad((F.col("o_custkey") % 20).cast("string"), 3, "0")).alias("merchant_id"),
-        "payment_method",
-        F.lit("INR").alias("currency"),
-        F.when(F.col("case") == BOTH_FAILED, "failed").otherwise("success").alias("internal_status"),
-        "created_at",
-        "gross_amount",
+    orphans = f"{ORPHAN_GATEWAY}, {ORPHAN_SETTLEMENT}, {ORPHAN_BOTH}"
+    return (
+        _payments(orders)
+        .filter(f"case_no NOT IN ({orphans})")
+        .selectExpr(
+            "transaction_id",
+            "concat('O', digits) AS order_id",
+            "concat('M', lpad(CAST(o_custkey % 20 AS STRING), 3, '0')) AS merchant_id",
+            "payment_method",
+            "'INR' AS currency",
+            f"IF(case_no = {BOTH_FAILED}, 'failed', 'success') AS internal_status",
+            "created_at",
+            "gross_amount",
+        )
     )
 
 
 def gateway_feed(orders: DataFrame) -> DataFrame:
-    payments = _captured(orders).filter(~F.col("case").isin(MISSING_GATEWAY, ORPHAN_SETTLEMENT))
-    copies = F.when(
-        F.col("case") == DUPLICATE_GATEWAY,
-        F.when(F.col("variant") % 3 == 0, 3).otherwise(2),
-    ).otherwise(1)
-    rows = payments.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    other_provider = (F.col("copy") == 2) & (F.col("variant") % 2 == 1)
-    return rows.select(
-        "transaction_id",
-        _record_id("G").alias("gateway_record_id"),
-        F.when(F.col("case").isin(STATUS_MISMATCH, BOTH_FAILED), "failed").otherwise("success").alias("gateway_status"),
-        "gateway_event_at",
-        "gateway_amount",
-        "gateway_fee",
-        "gateway_tax",
-        "gateway_net",
-        F.when(other_provider, "gw_x").otherwise(_pick("key", "gw_a", "gw_b", "gw_c")).alias("gateway_id"),
+    copies = f"IF(case_no = {DUPLICATE_GATEWAY}, IF(variant % 3 = 0, 3, 2), 1)"
+    return (
+        _captured(orders)
+        .filter(f"case_no NOT IN ({MISSING_GATEWAY}, {ORPHAN_SETTLEMENT})")
+        .selectExpr("*", f"explode(sequence(1, {copies})) AS copy")
+        .selectExpr(
+            "transaction_id",
+            f"{_record_id('G')} AS gateway_record_id",
+            f"IF(case_no IN ({STATUS_MISMATCH}, {BOTH_FAILED}), 'failed', 'success') AS gateway_status",
+            "gateway_event_at",
+            "gateway_amount",
+            "gateway_fee",
+            "gateway_tax",
+            "gateway_net",
+            f"IF(copy = 2 AND variant % 2 = 1, 'gw_x', {_pick('key', 'gw_a', 'gw_b', 'gw_c')}) AS gateway_id",
+        )
     )
 
 
 def settlement_feed(orders: DataFrame) -> DataFrame:
-    case = F.col("case")
-    unpaid = case.isin(MISSING_SETTLEMENT, ORPHAN_GATEWAY, BOTH_FAILED) | (
-        (case == MISSING_GATEWAY) & (F.col("variant") % 2 == 1)
-    )
-    days = F.when(case == SETTLEMENT_DELAY, 7).when(F.col("key") % 7 < 5, 1).otherwise(2)
-    lines = (
-        _captured(orders)
-        .filter(~unpaid)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(case == DUPLICATE_SETTLEMENT, 2).otherwise(1))))
-        .withColumn("settled_at", F.col("gateway_event_at") + F.make_dt_interval(days))
-    )
+    days = f"CASE WHEN case_no = {SETTLEMENT_DELAY} THEN 7 WHEN key % 7 < 5 THEN 1 ELSE 2 END"
     net = (
-        F.when(F.col("copy") == 2, F.round(F.col("gateway_net") * _rupees("0.5"), 2))
-        .when(case == FEE_MISMATCH, F.col("gateway_net") - _rupees("2.50"))
-        .when(case == NET_MISMATCH, F.col("gateway_net") - _rupees("7.25"))
-        .otherwise(F.col("gateway_net"))
+        f"CASE WHEN copy = 2 THEN round(gateway_net * 0.5, 2) WHEN case_no = {FEE_MISMATCH} THEN gateway_net - 2.50 "
+        f"WHEN case_no = {NET_MISMATCH} THEN gateway_net - 7.25 ELSE gateway_net END"
     )
-    return lines.select(
-        "transaction_id",
-        _record_id("S").alias("settlement_line_id"),
-        settlement_batch(F.col("settled_at")).alias("settlement_batch_id"),
-        "settled_at",
-        _plus("gateway_amount", case == GROSS_MISMATCH, "10.00").alias("gross_amount"),
-        _plus("gateway_fee", case == FEE_MISMATCH, "2.50").alias("fee_amount"),
-        F.col("gateway_tax").alias("tax_amount"),
-        net.cast(AMOUNT).alias("net_amount"),
+    return (
+        _captured(orders)
+        .filter(f"case_no NOT IN ({MISSING_SETTLEMENT}, {ORPHAN_GATEWAY}, {BOTH_FAILED})")
+        .filter(f"NOT (case_no = {MISSING_GATEWAY} AND variant % 2 = 1)")
+        .selectExpr(
+            "*",
+            f"gateway_event_at + make_dt_interval({days}) AS settled_at",
+            f"explode(sequence(1, IF(case_no = {DUPLICATE_SETTLEMENT}, 2, 1))) AS copy",
+        )
+        .selectExpr(
+            "transaction_id",
+            f"{_record_id('S')} AS settlement_line_id",
+            f"{settlement_batch('settled_at')} AS settlement_batch_id",
+            "settled_at",
+            f"CAST(IF(case_no = {GROSS_MISMATCH}, gateway_amount + 10.00, gateway_amount) AS {AMOUNT}) AS gross_amount",
+            f"CAST(IF(case_no = {FEE_MISMATCH}, gateway_fee + 2.50, gateway_fee) AS {AMOUNT}) AS fee_amount",
+            "gateway_tax AS tax_amount",
+            f"CAST({net} AS {AMOUNT}) AS net_amount",
+        )
     )
 
 
-def settlement_batch(settled_at: Column) -> Column:
+def settlement_batch(settled_at: str) -> str:
     """Batch label of a bank line: B followed by the cash date."""
-    return F.concat(F.lit("B"), F.date_format(settled_at, "yyyyMMdd"))
+    return f"concat('B', date_format({settled_at}, 'yyyyMMdd'))"
 
 
 def truth_labels(orders: DataFrame) -> DataFrame:
     """Intended defects with their amounts, for evaluation only."""
     amounts = {
-        MISSING_GATEWAY: ("missing_gateway", F.col("gross_amount")),
-        MISSING_SETTLEMENT: ("missing_settlement", F.col("gateway_net")),
-        AMOUNT_MISMATCH: ("amount_mismatch", _rupees("25.00")),
-        STATUS_MISMATCH: ("status_mismatch", F.col("gross_amount")),
-        DUPLICATE_GATEWAY: ("duplicate_gateway", F.col("gateway_amount")),
-        DUPLICATE_SETTLEMENT: ("duplicate_settlement", F.col("gateway_net")),
-        FEE_MISMATCH: ("fee_mismatch", _rupees("2.50")),
-        SETTLEMENT_DELAY: ("settlement_delay", F.col("gateway_net")),
-        ORPHAN_GATEWAY: ("orphan_gateway", F.col("gateway_amount")),
-        ORPHAN_SETTLEMENT: ("orphan_settlement", F.col("gateway_net")),
+        MISSING_GATEWAY: ("missing_gateway", "gross_amount"),
+        MISSING_SETTLEMENT: ("missing_settlement", "gateway_net"),
+        AMOUNT_MISMATCH: ("amount_mismatch", "25.00"),
+        STATUS_MISMATCH: ("status_mismatch", "gross_amount"),
+        DUPLICATE_GATEWAY: ("duplicate_gateway", "gateway_amount"),
+        DUPLICATE_SETTLEMENT: ("duplicate_settlement", "gateway_net"),
+        FEE_MISMATCH: ("fee_mismatch", "2.50"),
+        SETTLEMENT_DELAY: ("settlement_delay", "gateway_net"),
+        ORPHAN_GATEWAY: ("orphan_gateway", "gateway_amount"),
+        ORPHAN_SETTLEMENT: ("orphan_settlement", "gateway_net"),
     }
-    labels = [_label(F.col("case") == case, name, amount) for case, (name, amount) in amounts.items()]
-    for case in (ORPHAN_GATEWAY, ORPHAN_SETTLEMENT):
-        labels.append(_label(F.col("case") == ORPHAN_BOTH, *amounts[case]))
+    labels = [(case, *label) for case, label in amounts.items()]
+    labels += [(ORPHAN_BOTH, *amounts[case]) for case in (ORPHAN_GATEWAY, ORPHAN_SETTLEMENT)]
+    listed = ", ".join(
+        f"IF(case_no = {case}, named_struct('exception_type', '{name}', "
+        f"'reference_amount', CAST({amount} AS {AMOUNT})), NULL)"
+        for case, name, amount in labels
+    )
     return (
         _captured(orders)
-        .filter(F.col("case") <= ORPHAN_BOTH)
-        .select("transaction_id", F.inline(F.array(*labels)))
-        .filter(F.col("exception_type").isNotNull())
+        .filter(f"case_no <= {ORPHAN_BOTH}")
+        .selectExpr("transaction_id", f"inline(array({listed}))")
+        .filter("exception_type IS NOT NULL")
     )
 
 
@@ -160,72 +163,50 @@ REPEATED_KEY = 27
 
 def faulty_ledger(orders: DataFrame) -> DataFrame:
     """The ledger as text with known contract violations, to exercise validation."""
-    case = F.substring("transaction_id", -2, 2).cast("int")
-    text = internal_feed(orders)
-    text = text.select(*[F.col(name).cast("string").alias(name) for name in text.columns])
-    for number, (column, fault) in LEDGER_FAULTS.items():
-        text = text.withColumn(column, F.when(case == number, F.lit(fault)).otherwise(F.col(column)))
-    copies = F.sequence(F.lit(1), F.when(case == REPEATED_KEY, 2).otherwise(1))
-    return text.withColumn("copy", F.explode(copies)).drop("copy")
+    case = "CAST(right(transaction_id, 2) AS INT)"
+    ledger = internal_feed(orders)
+    columns = {}
+    for name in ledger.columns:
+        faults = " ".join(f"WHEN {n} THEN '{text}'" for n, (column, text) in LEDGER_FAULTS.items() if column == name)
+        columns[name] = f"CASE {case} {faults} ELSE CAST({name} AS STRING) END" if faults else f"CAST({name} AS STRING)"
+    repeats = f"explode(sequence(1, IF({case} = {REPEATED_KEY}, 2, 1))) AS copy"
+    return ledger.selectExpr(*named(columns), repeats).drop("copy")
 
 
 def _payments(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    digits = F.lpad(key.cast("string"), 9, "0")
-    return orders.select(
+    digits = "lpad(CAST(o_orderkey AS STRING), 9, '0')"
+    return orders.selectExpr(
         "o_custkey",
-        key.alias("key"),
-        (key % 100).cast("int").alias("case"),
-        F.expr("o_orderkey div 100").alias("variant"),
-        digits.alias("digits"),
-        F.concat(F.lit("T"), digits).alias("transaction_id"),
-        _pick("o_orderkey", "card", "upi", "net_banking", "wallet").alias("payment_method"),
-        F.col("o_orderdate").alias("created_at"),
-        F.col("o_totalprice").cast(AMOUNT).alias("gross_amount"),
+        "o_orderkey AS key",
+        "CAST(o_orderkey % 100 AS INT) AS case_no",
+        "o_orderkey div 100 AS variant",
+        f"{digits} AS digits",
+        f"concat('T', {digits}) AS transaction_id",
+        f"{_pick('o_orderkey', 'card', 'upi', 'net_banking', 'wallet')} AS payment_method",
+        "o_orderdate AS created_at",
+        f"CAST(o_totalprice AS {AMOUNT}) AS gross_amount",
     )
 
 
 def _captured(orders: DataFrame) -> DataFrame:
     """Payments with what the gateway would record for them."""
-    case = F.col("case")
-    amount = (
-        F.when(case == AMOUNT_MISMATCH, F.col("gross_amount") + _rupees("25.00"))
-        .when(case == TOLERANCE_BOUNDARY, F.col("gross_amount") + _rupees("0.05"))
-        .otherwise(F.col("gross_amount"))
-        .cast(AMOUNT)
-    )
-    minutes = (F.col("key") % 10 + 1).cast("int")
+    added = f"CASE case_no WHEN {AMOUNT_MISMATCH} THEN 25.00 WHEN {TOLERANCE_BOUNDARY} THEN 0.05 ELSE 0.00 END"
     return (
         _payments(orders)
-        .withColumn("gateway_event_at", F.col("created_at") + F.make_dt_interval(F.lit(0), F.lit(0), minutes))
-        .withColumn("gateway_amount", amount)
-        .withColumn("gateway_fee", fee_on(F.col("gateway_amount"), fee_rate(F.col("payment_method"))))
-        .withColumn("gateway_tax", tax_on(F.col("gateway_fee")))
-        .withColumn(
-            "gateway_net", (F.col("gateway_amount") - F.col("gateway_fee") - F.col("gateway_tax")).cast(AMOUNT)
+        .selectExpr(
+            "*",
+            "created_at + make_dt_interval(0, 0, CAST(key % 10 + 1 AS INT)) AS gateway_event_at",
+            f"CAST(gross_amount + {added} AS {AMOUNT}) AS gateway_amount",
         )
+        .selectExpr("*", f"{fee_on('gateway_amount', fee_rate('payment_method'))} AS gateway_fee")
+        .selectExpr("*", f"{tax_on('gateway_fee')} AS gateway_tax")
+        .selectExpr("*", f"CAST(gateway_amount - gateway_fee - gateway_tax AS {AMOUNT}) AS gateway_net")
     )
 
 
-def _pick(key: str, *choices: str) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (F.col(key) % len(choices) + 1).cast("int"))
-
-
-def _record_id(prefix: str) -> Column:
-    suffix = F.when(F.col("copy") > 1, F.concat(F.lit("-"), F.col("copy").cast("string"))).otherwise("")
-    return F.concat(F.lit(prefix), F.col("digits"), suffix)
+def _pick(key: str, *choices: str) -> str:
+    return f"elt(CAST({key} % {len(choices)} + 1 AS INT), {', '.join(repr(c) for c in choices)})"
 
 
-def _rupees(text: str) -> Column:
-    return F.lit(Decimal(text))
-
-
-def _plus(name: str, condition: Column, amount: str) -> Column:
-    return F.when(condition, F.col(name) + _rupees(amount)).otherwise(F.col(name)).cast(AMOUNT)
-
-
-def _label(condition: Column, name: str, amount: Column) -> Column:
-    return F.when(
-        condition,
-        F.struct(F.lit(name).alias("exception_type"), amount.cast(AMOUNT).alias("reference_amount")),
-    )
+def _record_id(prefix: str) -> str:
+    return f"concat('{prefix}', digits, IF(copy > 1, concat('-', copy), ''))"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.functions import aggregates
 from tallyweave.functions.clock import as_utc
 from tallyweave.functions.money import AMOUNT_CEILING, as_number, has_fractional_paise
 from tallyweave.functions.text import is_blank
@@ -33,21 +34,19 @@ MESSAGES = {
 }
 
 
-def checks(feed: DataFrame, contract: FeedContract) -> dict[tuple[str, str], Column]:
+def checks(feed: DataFrame, contract: FeedContract) -> dict[tuple[str, str], str]:
     """Map (check, column) to the condition that marks a bad row."""
     types = {field.name: field.dataType for field in feed.schema}
-    bad: dict[tuple[str, str], Column] = {}
-    for name in contract.text:
-        bad[BLANK_TEXT, name] = is_blank(F.col(name).cast("string"))
-    bad[INVALID_TIME, contract.time] = as_utc(F.col(contract.time), types[contract.time]).isNull()
+    bad = {(BLANK_TEXT, name): is_blank(f"CAST({name} AS STRING)") for name in contract.text}
+    bad[INVALID_TIME, contract.time] = f"({as_utc(contract.time, types[contract.time])}) IS NULL"
     for name in contract.money:
-        number = as_number(F.col(name), types[name])
-        bad[NOT_FINITE, name] = number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
-        bad[NEGATIVE, name] = number < 0
+        number = f"({as_number(name, types[name])})"
+        bad[NOT_FINITE, name] = f"{number} IS NULL OR isnan({number}) OR abs({number}) = DOUBLE('Infinity')"
+        bad[NEGATIVE, name] = f"{number} < 0"
         bad[FRACTIONAL_PAISE, name] = has_fractional_paise(number)
-        bad[TOO_LARGE, name] = number >= AMOUNT_CEILING
+        bad[TOO_LARGE, name] = f"{number} >= {AMOUNT_CEILING}"
     if "currency" in contract.text:
-        bad[FOREIGN_CURRENCY, "currency"] = F.col("currency") != CURRENCY
+        bad[FOREIGN_CURRENCY, "currency"] = f"currency != '{CURRENCY}'"
     return bad
 
 
@@ -55,17 +54,12 @@ def violations(feed: DataFrame, contract: FeedContract) -> DataFrame:
     """One row per check: feed, check, column_name, violations."""
     contract.require(feed)
     bad = checks(feed, contract)
-    counted = feed.agg(*[F.count_if(condition).alias(f"bad_{i}") for i, condition in enumerate(bad.values())])
-    rows = [
-        F.struct(
-            F.lit(contract.name).alias("feed"),
-            F.lit(check).alias("check"),
-            F.lit(column).alias("column_name"),
-            F.col(f"bad_{i}").alias("violations"),
-        )
+    counted = feed.agg(*aggregates({f"bad_{i}": f"count_if({test})" for i, test in enumerate(bad.values())}))
+    rows = ", ".join(
+        f"named_struct('feed', '{contract.name}', 'check', '{check}', 'column_name', '{column}', 'violations', bad_{i})"
         for i, (check, column) in enumerate(bad)
-    ]
-    report = counted.select(F.inline(F.array(*rows)))
+    )
+    report = counted.selectExpr(f"inline(array({rows}))")
     if contract.name == INTERNAL.name:
         report = report.unionByName(_repeated_keys(feed, contract))
     return report
@@ -73,15 +67,15 @@ def violations(feed: DataFrame, contract: FeedContract) -> DataFrame:
 
 def repeated_keys(feed: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Keys that occur more than once; repeats collapse before the shuffle."""
-    return feed.groupBy(F.col(key).cast("string").alias(key)).agg(F.count("*").alias("rows")).filter("rows > 1")
+    return feed.groupBy(F.expr(f"CAST({key} AS STRING) AS {key}")).agg(F.expr("count(*) AS rows")).filter("rows > 1")
 
 
 def _repeated_keys(feed: DataFrame, contract: FeedContract) -> DataFrame:
-    return repeated_keys(feed).agg(F.count("*").alias("violations")).select(
-        F.lit(contract.name).alias("feed"),
-        F.lit(DUPLICATE_KEY).alias("check"),
-        F.lit("transaction_id").alias("column_name"),
-        "violations",
+    return repeated_keys(feed).selectExpr(
+        f"'{contract.name}' AS feed",
+        f"'{DUPLICATE_KEY}' AS check",
+        "'transaction_id' AS column_name",
+        "count(*) AS violations",
     )
 
 
@@ -108,13 +102,13 @@ def validate_legacy(feeds: dict[str, DataFrame], contracts) -> None:
     for contract in contracts:
         contract.require(feeds[contract.name])
     null_keys = [
-        feeds[c.name].agg(F.count_if(F.col("transaction_id").isNull()).alias("bad")).withColumn(
-            "problem", F.lit(f"{c.name}.transaction_id contains null values")
+        feeds[c.name].selectExpr(
+            f"'{c.name}.transaction_id contains null values' AS problem", "count_if(transaction_id IS NULL) AS bad"
         )
         for c in contracts
     ]
-    repeats = repeated_keys(feeds[INTERNAL.name]).agg(F.count("*").alias("bad")).withColumn(
-        "problem", F.lit("internal ledger holds repeated transaction_id values")
+    repeats = repeated_keys(feeds[INTERNAL.name]).selectExpr(
+        "'internal ledger holds repeated transaction_id values' AS problem", "count(*) AS bad"
     )
     broken = reduce(DataFrame.unionByName, [*null_keys, repeats]).filter("bad > 0")
     problems = [f"{row['problem']}: {row['bad']}" for row in broken.collect()]
