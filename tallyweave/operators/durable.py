@@ -27,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def frozen(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage; survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

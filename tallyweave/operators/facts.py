@@ -18,16 +18,19 @@ from tallyweave.sources.contracts import MULTIPLE, UNKNOWN
 
 SUCCESS = "success"
 
-# Source column -> fact column, by feed. The first money column of a bank line and of a
-# ledger row share a name in the feeds and must part here.
+# Fact column -> source expression, by feed. Each feed marks its rows, because only ids are sure to
+# be present in feeds that were not validated. The gross amounts of ledger and bank share
+# a name in the feeds and part here.
 _LEDGER_COLUMNS = {
+    "ledger_row": "true",
     "merchant_id": "merchant_id",
     "payment_method": "payment_method",
     "internal_status": "internal_status",
     "created_at": "created_at",
-    "gross_amount": "internal_gross",
+    "internal_gross": "gross_amount",
 }
 _GATEWAY_COLUMNS = {
+    "gateway_row": "true",
     "gateway_id": "gateway_id",
     "gateway_status": "gateway_status",
     "gateway_event_at": "gateway_event_at",
@@ -37,16 +40,16 @@ _GATEWAY_COLUMNS = {
     "gateway_tax": "gateway_tax",
 }
 _BANK_COLUMNS = {
+    "bank_row": "true",
     "settled_at": "settled_at",
-    "gross_amount": "bank_gross",
-    "net_amount": "bank_net",
-    "fee_amount": "bank_fee",
-    "tax_amount": "bank_tax",
+    "bank_gross": "gross_amount",
+    "bank_net": "net_amount",
+    "bank_fee": "fee_amount",
+    "bank_tax": "tax_amount",
 }
 
-
 _LEDGER_AGGREGATES = {
-    "has_internal": "count(created_at) > 0",
+    "has_internal": "count(ledger_row) > 0",
     "merchant_id": f"coalesce(max(merchant_id), '{UNKNOWN}')",
     "payment_method": f"coalesce(max(payment_method), '{UNKNOWN}')",
     "internal_status": "max(internal_status)",
@@ -54,7 +57,7 @@ _LEDGER_AGGREGATES = {
     "internal_gross": "max(internal_gross)",
 }
 _GATEWAY_AGGREGATES = {
-    "gateway_rows": "count(gateway_event_at)",
+    "gateway_rows": "count(gateway_row)",
     # The only provider of a group, or the label for several; no distinct count needed.
     "gateway_id": (
         f"CASE WHEN min(gateway_id) = max(gateway_id) THEN min(gateway_id) "
@@ -71,7 +74,7 @@ _GATEWAY_AGGREGATES = {
     "gateway_duplicate_excess": "sum(gateway_amount) - max(gateway_amount)",
 }
 _BANK_AGGREGATES = {
-    "settlement_rows": "count(settled_at)",
+    "settlement_rows": "count(bank_row)",
     "settled_at": "min(settled_at)",
     "bank_gross_total": "sum(bank_gross)",
     "bank_net_total": "sum(bank_net)",
@@ -130,12 +133,12 @@ def facts_by_joins(feeds: dict[str, DataFrame], as_of, config: ReconciliationCon
         .join(gateway_rollup(feeds["gateway"]), "transaction_id", "left")
         .join(settlement_rollup(feeds["settlement"]), "transaction_id", "left")
     )
-    columns = {name: f"coalesce({name}, {defaults[name]})" if name in defaults else name for name in joined.columns}
-    return _compared(joined.selectExpr(*named(columns), "created_at IS NOT NULL AS has_internal"), config, as_of)
+    columns = {n: f"coalesce({n}, {defaults[n]})" if n in defaults else n for n in joined.columns if n != "ledger_row"}
+    return _compared(joined.selectExpr(*named(columns), "ledger_row IS NOT NULL AS has_internal"), config, as_of)
 
 
 def _renamed(feed: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return feed.selectExpr("transaction_id", *named({target: source for source, target in columns.items()}))
+    return feed.selectExpr("transaction_id", *named(columns))
 
 
 def _stacked(feeds: dict[str, DataFrame]) -> DataFrame:

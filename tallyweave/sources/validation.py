@@ -98,7 +98,7 @@ def validate(feeds: dict[str, DataFrame], contracts=CONTRACTS) -> None:
 
 
 def validate_legacy(feeds: dict[str, DataFrame], contracts) -> None:
-    """Checks of the ten-rule detector: columns, null keys and a unique ledger key."""
+    """Checks of the ten-rule detector: columns, null keys, readable times and a unique ledger key."""
     for contract in contracts:
         contract.require(feeds[contract.name])
     null_keys = [
@@ -107,10 +107,17 @@ def validate_legacy(feeds: dict[str, DataFrame], contracts) -> None:
         )
         for c in contracts
     ]
+    unreadable = [
+        feeds[c.name].selectExpr(
+            f"'{c.name}.{c.time} contains invalid timestamps' AS problem",
+            f"count_if({c.time} IS NOT NULL AND ({as_utc(c.time, feeds[c.name].schema[c.time].dataType)}) IS NULL) AS bad",
+        )
+        for c in contracts
+    ]
     repeats = repeated_keys(feeds[INTERNAL.name]).selectExpr(
         "'internal ledger holds repeated transaction_id values' AS problem", "count(*) AS bad"
     )
-    broken = reduce(DataFrame.unionByName, [*null_keys, repeats]).filter("bad > 0")
+    broken = reduce(DataFrame.unionByName, [*null_keys, *unreadable, repeats]).filter("bad > 0")
     problems = [f"{row['problem']}: {row['bad']}" for row in broken.collect()]
     if problems:
         raise ValueError("; ".join(problems))
