@@ -44,4 +44,5 @@ def grouped_thousands(value: str, decimals: int = 0) -> str:
 
 
 def percentage(value: str) -> str:
-    return f"format_string('%.2f%%', {value} * 100)"
+    """Null stays null; ``format_string`` alone would print it."""
+    return f"IF({value} IS NULL, NULL, format_string('%.2f%%', {value} * 100))"
