@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions import aggregates
 from tallyweave.operators.ordering import ranked
-from tallyweave.operators.rules import OPEN_REVIEW, SETTLED_LATE_REVIEW, SEVERITY_RANKS
+from tallyweave.operators.rules import OPEN_REVIEW, SETTLED_LATE_REVIEW, SEVERITY_RANKS, flagged_cases
 
 # Score weights and caps, and the ageing buckets with their upper ends
 # in days (each bucket includes its upper end).
@@ -37,7 +37,7 @@ PRIORITY_SCORE = (
 def scored_cases(cases: DataFrame) -> DataFrame:
     """The queue without its rank: row-local, so it adds no exchange."""
     severities = " ".join(f"WHEN {rank} THEN '{name}'" for name, rank in SEVERITY_RANKS.items())
-    return cases.filter("exception_count > 0").selectExpr(
+    return flagged_cases(cases).selectExpr(
         "transaction_id",
         "merchant_id",
         "payment_method",

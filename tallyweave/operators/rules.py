@@ -54,13 +54,29 @@ class Rule:
     action: str = COMPARE_RECORDS
 
     @property
-    def flag(self) -> str:
-        return f"fires_{self.name}"
-
+    def bit(self) -> int:
+        return 1 << RULE_NAMES.index(self.name)
+
+
+# Rule names; the position is the rule's bit in a row's signal mask.
+RULE_NAMES = (
+    "duplicate_gateway",
+    "duplicate_settlement",
+    "missing_gateway",
+    "orphan_gateway",
+    "orphan_settlement",
+    "amount_mismatch",
+    "status_mismatch",
+    "missing_settlement",
+    "fee_mismatch",
+    "settlement_delay",
+    "settlement_gross_mismatch",
+    "settlement_net_mismatch",
+)
 
 UNSETTLED = "(settlement_eligible AND settlement_rows = 0)"
 
-# Rule names, severities, exposure kinds and reasons.
+# Severities, exposure kinds and reasons.
 RULES = (
     Rule(
         "duplicate_gateway",
@@ -175,8 +191,9 @@ CORE_RULES = tuple(r.name for r in RULES if r.name not in ("settlement_gross_mis
 NOTHING = f"CAST(0 AS {TOTAL})"
 
 
-def _any(flags) -> str:
-    return f"({' OR '.join(flags)})"
+def _any(rules) -> str:
+    """True if any of these rules fired on the row."""
+    return f"(signal_mask & {sum(rule.bit for rule in rules)}) != 0"
 
 
 def _age_of(rule: Rule) -> str:
@@ -203,48 +220,58 @@ def _amount_as(rule: Rule, exposure: str) -> str:
     return amount
 
 
-def with_flags(facts: DataFrame) -> DataFrame:
-    """Add one never-null boolean per rule."""
-    return facts.selectExpr("*", *named({rule.flag: f"coalesce({rule.fires}, false)" for rule in RULES}))
+def with_mask(facts: DataFrame) -> DataFrame:
+    """Add one integer that holds a bit per fired rule; a null condition does not fire."""
+    bits = " | ".join(f"IF({rule.fires}, {rule.bit}, 0)" for rule in RULES)
+    return facts.selectExpr("*", f"{bits} AS signal_mask")
 
 
 def case_facts(facts: DataFrame) -> DataFrame:
-    """Facts with flags, the rollup of their signals and both states.
+    """Facts with their signal mask, the rollup of their signals and both states.
 
     Overlapping rules describe the same money, so the discrepancy of a transaction is
     the largest of its rules' amounts and never their sum.
     """
+    rolled = {
+        "exception_count": "CAST(bit_count(signal_mask) AS BIGINT)",
+        "exception_types": joined_labels([(rule.name, _any([rule])) for rule in RULES], ", "),
+        "financial_exposure_inr": _largest(FINANCIAL),
+        "overdue_cash_inr": _largest(OVERDUE),
+        "historical_late_cash_inr": _largest(HISTORICAL),
+        "settlement_state": SETTLEMENT_STATE,
+        "reconciliation_state": RECONCILIATION_STATE,
+    }
+    return with_mask(facts).selectExpr("*", *named(rolled))
+
+
+def flagged_cases(cases: DataFrame) -> DataFrame:
+    """Rows with signals, with what only the queue needs.
+
+    Computed here and not in ``case_facts``, because few rows have signals and because
+    the generated code of a stage must stay small enough for the JVM to compile.
+    """
     severities = " ".join(
-        f"WHEN {_any(flags)} THEN {rank}"
+        f"WHEN {_any(rules)} THEN {rank}"
         for severity, rank in SEVERITY_RANKS.items()
-        if (flags := [r.flag for r in RULES if r.severity == severity])
+        if (rules := [r for r in RULES if r.severity == severity])
     )
     same_age: dict[str, list[Rule]] = {}
-    same_action: dict[str, list[str]] = {}
+    same_action: dict[str, list[Rule]] = {}
     for rule in RULES:
         same_age.setdefault(_age_of(rule), []).append(rule)
-        same_action.setdefault(rule.action, []).append(rule.flag)
-    ages = [f"IF({_any(r.flag for r in rules)}, {age}, NULL)" for age, rules in same_age.items()]
-    rolled = {
-        "exception_count": " + ".join(f"CAST({rule.flag} AS BIGINT)" for rule in RULES),
-        "exception_types": joined_labels([(rule.name, rule.flag) for rule in RULES], ", "),
+        same_action.setdefault(rule.action, []).append(rule)
+    ages = [f"IF({_any(rules)}, {age}, NULL)" for age, rules in same_age.items()]
+    details = {
         "severity_rank": f"CASE {severities} END",
         "exception_age_days": f"greatest({', '.join(ages)})",
-        "financial_exposure_inr": _largest(FINANCIAL),
-        "overdue_cash_inr": _largest(OVERDUE),
-        "historical_late_cash_inr": _largest(HISTORICAL),
-        "recommended_actions": joined_labels([(action, _any(flags)) for action, flags in same_action.items()], "; "),
+        "recommended_actions": joined_labels([(action, _any(rules)) for action, rules in same_action.items()], "; "),
+        "historical_only": f"signal_mask = {RULES_BY_NAME['settlement_delay'].bit}",
     }
-    states = {
-        "historical_only": f"exception_count = 1 AND {RULES_BY_NAME['settlement_delay'].flag}",
-        "settlement_state": SETTLEMENT_STATE,
-        "reconciliation_state": RECONCILIATION_STATE,
-    }
-    return with_flags(facts).selectExpr("*", *named(rolled)).selectExpr("*", *named(states))
+    return cases.filter("signal_mask != 0").selectExpr("*", *named(details))
 
 
 def _largest(exposure: str) -> str:
-    amounts = [f"IF({r.flag}, {_amount_as(r, exposure)}, NULL)" for r in RULES if r.exposure == exposure]
+    amounts = [f"IF({_any([r])}, {_amount_as(r, exposure)}, NULL)" for r in RULES if r.exposure == exposure]
     return f"greatest({NOTHING}, {', '.join(amounts)})"
 
 
@@ -255,41 +282,22 @@ SETTLEMENT_STATE = f"""CASE
     ELSE 'not_eligible_or_unmatched' END"""
 
 RECONCILIATION_STATE = f"""CASE
-    WHEN exception_count > 0 THEN 'exception'
+    WHEN signal_mask != 0 THEN 'exception'
     WHEN {UNSETTLED} THEN 'pending'
     WHEN {IN_LEDGER} AND settlement_rows = 1 THEN 'matched'
     ELSE 'no_exception_not_three_way' END"""
 
-# Columns that only the queue and the signal table need.
-WORKING_COLUMNS = (
-    *[rule.flag for rule in RULES],
-    "severity_rank",
-    "exception_age_days",
-    "recommended_actions",
-    "historical_only",
-)
+def reconciliation_facts(cases: DataFrame) -> DataFrame:
+    return cases.drop("signal_mask")
 
 
-def reconciliation_facts(cases: DataFrame) -> DataFrame:
-    return cases.drop(*WORKING_COLUMNS)
-
-
-def _signal(rule: Rule) -> str:
-    fields = {
-        "exception_type": text_literal(rule.name),
-        "severity": text_literal(rule.severity),
-        "amount_at_risk": f"CAST({rule.amount} AS {TOTAL})",
-        "exposure_kind": text_literal(rule.exposure_kind),
-        "reason": text_literal(rule.reason),
-        "case_status": text_literal(SETTLED_LATE_REVIEW if rule.exposure == HISTORICAL else OPEN_REVIEW),
-        "age_days": _age_of(rule),
-        "financial_exposure_inr": _amount_as(rule, FINANCIAL),
-        "overdue_cash_inr": _amount_as(rule, OVERDUE),
-        "historical_late_cash_inr": _amount_as(rule, HISTORICAL),
-        "recommended_action": text_literal(rule.action),
-    }
-    pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
-    return f"IF({rule.flag}, named_struct({pairs}), NULL)"
+def _per_rule(value) -> str:
+    """A fixed text of each rule, looked up by the exploded rule number."""
+    return f"elt(rule_no + 1, {', '.join(text_literal(value(rule)) for rule in RULES)})"
+
+
+def _numbers(rules) -> str:
+    return ", ".join(str(RULE_NAMES.index(rule.name)) for rule in rules)
 
 
 SIGNAL_COLUMNS = ("transaction_id", "exception_type", "severity", "amount_at_risk", "exposure_kind", "reason")
@@ -298,10 +306,38 @@ DIMENSION_COLUMNS = ("merchant_id", "payment_method", "gateway_id", "activity_da
 
 def detected_exceptions(cases: DataFrame) -> DataFrame:
     """One row per (transaction, rule), read off the flagged fact rows."""
+    amounts = ", ".join(f"CAST({rule.amount} AS {TOTAL})" for rule in RULES)
+    by_exposure = {kind: [r for r in RULES if r.exposure == kind] for kind in (FINANCIAL, OVERDUE, HISTORICAL)}
+    missing_gateway = RULES_BY_NAME["missing_gateway"]
+    # Cash that reached the bank is a data problem, not a loss.
+    counts = f"rule_no IN ({_numbers(by_exposure[FINANCIAL])}) AND NOT (rule_no = {_numbers([missing_gateway])} "
+    amount_as = {
+        FINANCIAL: f"{counts} AND settlement_rows > 0)",
+        OVERDUE: f"rule_no IN ({_numbers(by_exposure[OVERDUE])})",
+        HISTORICAL: f"rule_no IN ({_numbers(by_exposure[HISTORICAL])})",
+    }
+    late, overdue = by_exposure[HISTORICAL], by_exposure[OVERDUE]
+    source_age = _age_of(by_exposure[FINANCIAL][0])
     return (
-        cases.filter(_any(rule.flag for rule in RULES))
-        .selectExpr("transaction_id", *DIMENSION_COLUMNS, f"inline(array({', '.join(map(_signal, RULES))}))")
-        .filter("exception_type IS NOT NULL")
+        cases.filter("signal_mask != 0")
+        .selectExpr("*", f"posexplode(array({amounts})) AS (rule_no, amount_at_risk)")
+        .filter("(signal_mask & shiftleft(1, rule_no)) != 0")
+        .selectExpr(
+            "transaction_id",
+            *DIMENSION_COLUMNS,
+            f"{_per_rule(lambda r: r.name)} AS exception_type",
+            f"{_per_rule(lambda r: r.severity)} AS severity",
+            "amount_at_risk",
+            f"{_per_rule(lambda r: r.exposure_kind)} AS exposure_kind",
+            f"{_per_rule(lambda r: r.reason)} AS reason",
+            f"IF(rule_no IN ({_numbers(late)}), '{SETTLED_LATE_REVIEW}', '{OPEN_REVIEW}') AS case_status",
+            f"CASE WHEN rule_no IN ({_numbers(late)}) THEN {_age_of(late[0])} "
+            f"WHEN rule_no IN ({_numbers(overdue)}) THEN {_age_of(overdue[0])} ELSE {source_age} END AS age_days",
+            f"IF({amount_as[FINANCIAL]}, amount_at_risk, {NOTHING}) AS financial_exposure_inr",
+            f"IF({amount_as[OVERDUE]}, amount_at_risk, {NOTHING}) AS overdue_cash_inr",
+            f"IF({amount_as[HISTORICAL]}, amount_at_risk, {NOTHING}) AS historical_late_cash_inr",
+            f"{_per_rule(lambda r: r.action)} AS recommended_action",
+        )
     )
 
 
@@ -325,7 +361,7 @@ def rule_signals(facts: DataFrame, name: str) -> DataFrame:
 def exception_rollup(detected: DataFrame) -> DataFrame:
     """Per-transaction rollup of a stored signal table.
 
-    ``case_facts`` computes the same values without grouping; use this one when only
+    ``case_facts`` and ``flagged_cases`` find the same values without grouping; use this one when only
     the signals are at hand. A transaction has at most one signal per rule, so the
     collected lists are bounded by the number of rules.
     """

@@ -8,7 +8,7 @@ import pytest
 from payments import Payments, by_id
 from tallyweave.operators.metrics import dimension_totals, settlement_delay_metrics, summary
 from tallyweave.operators.queue import scored_cases, top_cases
-from tallyweave.operators.rules import detected_exceptions, exception_rollup
+from tallyweave.operators.rules import detected_exceptions, exception_rollup, flagged_cases
 from tallyweave.plans.operations import cases_at
 
 AS_OF = "2026-02-10"
@@ -53,6 +53,11 @@ def facts(cases):
     return by_id(cases)
 
 
+@pytest.fixture(scope="module")
+def flagged(cases):
+    return by_id(flagged_cases(cases))
+
+
 @pytest.fixture(scope="module")
 def signals(cases):
     return by_id(detected_exceptions(cases), "transaction_id", "exception_type")
@@ -108,7 +113,7 @@ def test_current_exposure_counts_once(facts, tx, exposure):
     assert facts[tx].financial_exposure_inr + facts[tx].overdue_cash_inr == Decimal(exposure)
 
 
-def test_amounts_and_deltas(facts, signals):
+def test_amounts_and_deltas(facts, flagged, signals):
     assert signals["no_gateway_paid", "missing_gateway"].amount_at_risk == 1000
     assert facts["gross_net"].gateway_bank_gross_delta == -10
     assert facts["gross_net"].gateway_bank_net_delta == Decimal("-76.40")
@@ -117,7 +122,7 @@ def test_amounts_and_deltas(facts, signals):
     assert facts["copies"].gateway_gross_total == 3000
     assert facts["copies"].bank_net_total == Decimal("1952.80")
     assert facts["late"].historical_late_cash_inr == Decimal("976.40")
-    assert facts["late"].exception_age_days == 4
+    assert flagged["late"].exception_age_days == 4
 
 
 def test_states(facts):
@@ -147,9 +152,8 @@ def test_queue_cases(cases):
     assert queue["orphan_both"].severity == "critical"
 
 
-def test_rollup_by_grouping_equals_rollup_on_the_row(cases, facts):
+def test_rollup_by_grouping_equals_rollup_on_the_row(cases, flagged):
     grouped = by_id(exception_rollup(detected_exceptions(cases)))
-    flagged = {tx: f for tx, f in facts.items() if f.exception_count}
     assert grouped.keys() == flagged.keys()
     for tx, row in grouped.items():
         fact = flagged[tx]
@@ -195,10 +199,10 @@ def test_due_second(spark, as_of, state, overdue):
 
 def test_late_cash_is_unknown_before_it_arrives_and_stops_ageing_after(spark):
     late = [{"settled_at": "2026-01-08T01:00:00Z"}]
-    (before,) = single(spark, "2026-01-05T01:00:00Z", bank=late).collect()
+    (before,) = flagged_cases(single(spark, "2026-01-05T01:00:00Z", bank=late)).collect()
     assert (before.overdue_cash_inr, before.exception_age_days, before.bank_net_total) == (Decimal("976.40"), 1, None)
     for as_of in ("2026-01-08T01:00:00Z", "2026-03-01"):
-        (after,) = single(spark, as_of, bank=late).collect()
+        (after,) = flagged_cases(single(spark, as_of, bank=late)).collect()
         assert after.overdue_cash_inr == 0
         assert after.historical_late_cash_inr == Decimal("976.40")
         assert (after.exception_age_days, after.historical_only) == (4, True)
