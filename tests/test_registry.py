@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as registered
 from check import compare, connect
+from tallyweave.operators.durable import stored
+from tallyweave.operators.metrics import dimension_totals
+from tallyweave.operators.queue import aging_metrics, scored_cases, top_cases
 from tallyweave.plans.catalogue import PLANS, Inputs
 from tallyweave.sources.order_feeds import read_orders
 
@@ -55,6 +58,32 @@ def test_number_of_exchanges(spark, name, exchanges):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan
 
 
+JIT_LIMIT = 8000  # bytes of code above which the JVM, by default, does not compile a method
+
+
+@pytest.mark.parametrize("name", ["payment_facts", "detected_exceptions", "dimension_metrics", "summary"])
+def test_generated_code_stays_compilable(spark, name):
+    assert largest_method(spark, PLANS[name](Inputs(spark, read_orders(spark, SF)))) < JIT_LIMIT
+
+
+def test_generated_code_of_stored_runs_stays_compilable(spark):
+    inputs = Inputs(spark, read_orders(spark, SF))
+    assert largest_method(spark, inputs.cases) < JIT_LIMIT
+    cases = stored(inputs.cases, "case_facts")
+    for table in (scored_cases(cases), aging_metrics(cases), top_cases(cases, 25), dimension_totals(cases)):
+        assert largest_method(spark, table) < JIT_LIMIT
+
+
+def largest_method(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return max((int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)), default=0)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(spark, "feed_internal")
     assert "LessThanOrEqual(o_orderdate,2001-07-30T00:00)" in plan

@@ -8,9 +8,10 @@ import pytest
 
 from payments import Payments, by_id
 from tallyweave import run_operations, write_reports
+from tallyweave.__main__ import main
+from tallyweave.operators.evaluation import evaluate_detections
 from tallyweave.plans.operations import REPORTS, snapshot_comparison
 from tallyweave.plans.reports import output_digests, report_sections, summary_json, write_evaluation
-from tallyweave.operators.evaluation import evaluate_detections
 from tallyweave.sources.csv_feeds import read_text_feeds, read_truth, read_typed_feeds, write_feeds
 from tallyweave.sources.order_feeds import faulty_ledger, order_feeds, read_orders, truth_labels
 from tallyweave.sources.validation import validate
@@ -126,6 +127,20 @@ def test_typed_csv_and_evaluation_files(spark, tmp_path):
     assert {r["outcome"] for r in rows} >= {"tp"}
 
 
+def test_command_line(spark, tmp_path, capsys):
+    orders = read_orders(spark, "/root/testdata/sf0.001").filter("o_orderkey < 200")
+    write_feeds(order_feeds(orders), truth_labels(orders), f"{tmp_path}/data")
+    folders = ["--input-dir", f"{tmp_path}/data", "--output-dir"]
+    main(["operations", "--as-of", "2010-01-01", *folders, f"{tmp_path}/run"])
+    main(["evaluate", *folders, f"{tmp_path}/scores"])
+    assert read_report(f"{tmp_path}/run", "summary")[0]["observed_transactions"] == "200"
+    (document,) = glob.glob(f"{tmp_path}/scores/metrics.json/part-*")
+    with open(document, encoding="utf-8") as file:
+        assert json.load(file)["recall"] == 1
+    with pytest.raises(SystemExit):
+        main(["operations", *folders, f"{tmp_path}/none"])
+
+
 def test_truth_columns_change_nothing(spark, result):
     feeds = {
         name: df.selectExpr("*", "'X' AS truth_exception_id", "999999 AS reference_amount")
