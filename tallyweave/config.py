@@ -31,7 +31,7 @@ class ReconciliationConfig:
         return _six_decimals(self.fee_tolerance)
 
     def settlement_days(self) -> str:
-        return f"CAST({self.max_settlement_days!r} AS DOUBLE)"
+        return f"CAST('{float(self.max_settlement_days)}' AS DOUBLE)"
 
     def settlement_window(self) -> str:
         """The settlement window as a constant interval; fractions of a day count."""

@@ -48,7 +48,8 @@ def detections(feeds: dict[str, DataFrame], config: ReconciliationConfig = Recon
     facts = payment_facts({**feeds, "internal": ledger}, END_OF_TIME, config)
     signals = ", ".join(
         f"IF({condition}, named_struct('exception_type', '{name}', "
-        f"'severity', '{RULES_BY_NAME[name].severity}', 'amount_at_risk', CAST({amount} AS {AMOUNT}), "
+        f"'severity', '{RULES_BY_NAME[name].severity}', "
+        f"'amount_at_risk', CAST(IF({amount} < 0, 0, {amount}) AS {AMOUNT}), "
         f"'exposure_kind', '{RULES_BY_NAME[name].exposure_kind}', 'reason', {reason}), NULL)"
         for name, (condition, amount, reason) in FINDINGS.items()
     )

@@ -76,6 +76,17 @@ def test_dynamic_reasons_and_largest_duplicate(spark):
     }
 
 
+def test_unvalidated_amounts_never_count_below_zero(spark):
+    feeds = Payments().add("refund", ledger=[], gateway=[{"gateway_amount": "-5.00"}], bank=[]).feeds(spark)
+    (row,) = reconcile(**feeds).collect()
+    assert (row.exception_type, row.amount_at_risk) == ("orphan_gateway", 0)
+
+
+def test_records_without_event_times_still_count(spark):
+    feeds = Payments().add("timeless", ledger=[{"created_at": None}], gateway=[{}, {}]).feeds(spark)
+    assert [r.exception_type for r in reconcile(**feeds).collect()] == ["duplicate_gateway"]
+
+
 def test_legacy_contract(spark):
     feeds = Payments().add("001").feeds(spark)
     with pytest.raises(ValueError, match="repeated transaction_id"):

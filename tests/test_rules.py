@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 from payments import Payments, by_id
+from tallyweave.config import ReconciliationConfig
 from tallyweave.operators.metrics import dimension_totals, settlement_delay_metrics, summary
 from tallyweave.operators.queue import scored_cases, top_cases
 from tallyweave.operators.rules import detected_exceptions, exception_rollup, flagged_cases
@@ -197,6 +198,23 @@ def test_due_second(spark, as_of, state, overdue):
     assert row.exception_count == (state == "overdue")
 
 
+def test_fractional_window_and_tolerances(spark):
+    p = Payments()
+    p.add("on_time", bank=[{"settled_at": "2026-01-03T13:00:00"}])
+    p.add("late", bank=[{"settled_at": "2026-01-03T13:00:01"}])
+    p.add("gross", gateway=[{"gateway_amount": "1000.50"}], bank=[{"gross_amount": "1000.50"}])
+    p.add("fee", bank=[{"fee_amount": "20.02"}])
+    config = ReconciliationConfig(amount_tolerance=0.5, fee_tolerance=0.015, max_settlement_days=2.5)
+    rows = by_id(cases_at(p.feeds(spark), AS_OF, config))
+    assert {tx: row.exception_types for tx, row in rows.items()} == {
+        "on_time": "",
+        "late": "settlement_delay",
+        "gross": "",
+        "fee": "fee_mismatch",
+    }
+    assert rows["late"].settlement_due_at == datetime(2026, 1, 3, 13)
+
+
 def test_late_cash_is_unknown_before_it_arrives_and_stops_ageing_after(spark):
     late = [{"settled_at": "2026-01-08T01:00:00Z"}]
     (before,) = flagged_cases(single(spark, "2026-01-05T01:00:00Z", bank=late)).collect()
