@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyweave.config import cutoff_literal
+from tallyweave.functions import aggregates, named
 from tallyweave.functions.clock import as_utc
 from tallyweave.sources.contracts import CONTRACTS
 
@@ -29,14 +30,23 @@ def source_counts(feeds: dict[str, DataFrame], as_of) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def table_fingerprint(table: DataFrame, name: str) -> DataFrame:
-    """Order-insensitive content hash and row count of a table, in one pass."""
+def _fingerprint(table: DataFrame) -> dict[str, str]:
+    """Row count and a content hash that does not depend on row order."""
     row_hash = f"CAST(xxhash64({', '.join(sorted(table.columns))}) AS DECIMAL(38,0))"
-    return table.selectExpr(
-        f"'{name}' AS table_name",
-        "count(*) AS rows",
-        f"CAST(coalesce(sum({row_hash}), 0) AS STRING) AS content_hash",
-    )
+    return {"rows": "count(*)", "content_hash": f"CAST(coalesce(sum({row_hash}), 0) AS STRING)"}
+
+
+def table_fingerprint(table: DataFrame, name: str) -> DataFrame:
+    return table.selectExpr(f"'{name}' AS table_name", *named(_fingerprint(table)))
+
+
+def watched(table: DataFrame) -> tuple[DataFrame, Observation]:
+    """The table and its fingerprint, which fills when the table is next written.
+
+    The fingerprint rides on that job, so a large report is not computed twice.
+    """
+    observation = Observation()
+    return table.observe(observation, *aggregates(_fingerprint(table))), observation
 
 
 def fingerprints(tables: dict[str, DataFrame]) -> DataFrame:

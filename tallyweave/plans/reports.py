@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tallyweave.functions import named, text_literal
 from tallyweave.functions.money import GRAND_TOTAL
 from tallyweave.functions.text import grouped_thousands, html_escaped, percentage
-from tallyweave.operators.audit import file_digests, fingerprints
+from tallyweave.operators.audit import file_digests, fingerprints, watched
 from tallyweave.operators.evaluation import EvaluationResult
 from tallyweave.operators.legacy import detection_order
 from tallyweave.plans.operations import OperationalResult, in_report_order
@@ -157,15 +157,19 @@ def write_reports(result: OperationalResult, folder: str, *, sources: dict[str,
     so two runs over the same data give the same manifest. It returns what it wrote.
     """
     spark = result.tables["summary"].sparkSession
+    outputs = {}
     for name, table in result.tables.items():
-        write_csv(in_report_order(name, table), f"{folder}/{name}.csv")
+        # Watched above the sort: sorting samples its input, which must not be counted.
+        report, observation = watched(in_report_order(name, table))
+        write_csv(report, f"{folder}/{name}.csv")
+        outputs[name] = observation.get
     summary_json(result.tables["summary"]).write.text(f"{folder}/summary.json")
     for name, section in report_sections(result).items():
         write_csv(section, f"{folder}/sections/{name}.csv")
     manifest = {
         **result.metadata,
         "spark_version": spark.version,
-        "outputs": _recorded(fingerprints(result.tables)),
+        "outputs": outputs,
         "sources": _recorded(fingerprints(sources)) if sources else {},
     }
     manifest_table(spark, manifest).write.text(f"{folder}/manifest.json")

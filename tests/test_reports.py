@@ -9,6 +9,7 @@ import pytest
 from payments import Payments, by_id
 from tallyweave import run_operations, write_reports
 from tallyweave.__main__ import main
+from tallyweave.operators.audit import table_fingerprint
 from tallyweave.operators.evaluation import evaluate_detections
 from tallyweave.plans.operations import REPORTS, snapshot_comparison
 from tallyweave.plans.reports import output_digests, report_sections, summary_json, write_evaluation
@@ -60,6 +61,9 @@ def test_files_repeat_and_keep_keys(spark, result, tmp_path):
     again = run_operations(**payments().feeds(spark), as_of=AS_OF)
     second = write_reports(again, f"{tmp_path}/b", sources=payments().feeds(spark))
     assert first == second
+    for name, table in result.tables.items():
+        (row,) = table_fingerprint(table, name).collect()
+        assert first["outputs"][name] == {"rows": row.rows, "content_hash": row.content_hash}
     assert set(first["sources"]) == {"internal", "gateway", "settlement"}
     for name in REPORTS:
         assert read_report(f"{tmp_path}/a", name) == read_report(f"{tmp_path}/b", name)
@@ -91,7 +95,7 @@ def test_sections(result):
     assert sections["queue_head"].count() == 2
 
 
-def test_empty_run(spark):
+def test_empty_run(spark, tmp_path):
     feeds = {name: df.limit(0) for name, df in payments().feeds(spark).items()}
     result = run_operations(**feeds, as_of=AS_OF)
     rows = {name: table.count() for name, table in result.tables.items()}
@@ -100,6 +104,8 @@ def test_empty_run(spark):
     assert report_sections(result)["exception_rate"].collect()[0].exception_rate == "undefined (no observations)"
     (document,) = summary_json(result.tables["summary"]).collect()
     assert json.loads(document.value)["exception_transaction_rate"] is None
+    written = write_reports(result, f"{tmp_path}/empty")["outputs"]
+    assert {name for name, found in written.items() if found["rows"]} == {"summary"}
 
 
 def test_csv_feeds_ignore_a_broken_truth_file(spark, tmp_path):
