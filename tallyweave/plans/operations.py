@@ -17,6 +17,7 @@ from tallyweave.operators.rules import case_facts, detected_exceptions, reconcil
 from tallyweave.sources.contracts import CONTRACTS, CURRENCY, typed, until
 from tallyweave.sources.validation import validate
 
+# Fixed value: version label of the manifest.
 SCHEMA_VERSION = "phase2-v1"
 
 # Report names, and the key that puts each report in a repeatable order.
