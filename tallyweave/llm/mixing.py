@@ -2,7 +2,9 @@
 
 Every source is a queue of its documents in an order shuffled by hash, served up to EPOCHS times
 over. A copy's virtual finish time is the number of its source's tokens up to its end, divided
-by the source's weight. The mix is the copies in order of finish time, truncated at the budget.
+by the source's weight. The mix is the copies in order of finish time, truncated at the budget:
+a copy is in if half of it is through when the budget ends, so that a source is at most about half
+a document away from its target.
 A source whose copies are used up leaves its share to the others, which is how fair queueing
 reshares by itself; `targets` gives the shares that come out of this in closed form.
 
@@ -80,17 +82,22 @@ def _finish(epoch: str) -> str:
     return f"((CAST({epoch} AS BIGINT) * source_size + __end) / weight)"
 
 
+def _due(epoch: str) -> str:
+    """The finish time less half of the copy's own service time."""
+    return f"((CAST({epoch} AS BIGINT) * source_size + __end - __size / 2D) / weight)"
+
+
 def cut_time(queue: DataFrame, share: float = 1.0) -> float:
-    """The finish time up to which copies are taken, below all of them when nothing is.
+    """The virtual time at which the budget ends, below that of any copy when nothing is taken.
 
     Tokens are counted by step of virtual time first, and only the step in which the budget ends
     is sorted. Virtual time runs as fast as tokens are served, so a step is a fixed share of the
     mix. The copies at which the budget ends are taken if half of their tokens lie within it.
     """
     copies = queue.where("__size > 0").selectExpr(
-        "__size", "level", f"explode(transform(sequence(0, {EPOCHS - 1}), e -> {_finish('e')})) AS finish"
+        "__size", "level", f"explode(transform(sequence(0, {EPOCHS - 1}), e -> {_due('e')})) AS due"
     )
-    stepped = copies.withColumn("step", F.expr(f"CAST(least(floor(finish / level * {TIME_STEPS}), {2 * TIME_STEPS}) AS INT)"))
+    stepped = copies.withColumn("step", F.expr(f"CAST(least(floor(due / level * {TIME_STEPS}), {2 * TIME_STEPS}) AS INT)"))
     counts = stepped.groupBy("step").agg(F.sum("__size").alias("in_step"))
     running = counts.selectExpr(
         "step", "sum(in_step) OVER (ORDER BY step) - in_step AS before", "in_step",
@@ -98,9 +105,9 @@ def cut_time(queue: DataFrame, share: float = 1.0) -> float:
     )
     ending = running.where("before < budget AND budget <= before + in_step").drop("in_step")
     inside = stepped.join(F.broadcast(ending), "step")
-    times = inside.groupBy("finish").agg(F.sum("__size").alias("tokens"), F.first("before").alias("before"), F.first("budget").alias("budget"))
-    ordered = times.selectExpr("finish", "budget", "tokens", "before + sum(tokens) OVER (ORDER BY finish) AS upto", "min(finish) OVER () AS first")
-    taken = "max(IF(upto - tokens / 2 <= budget, finish, NULL))"
+    times = inside.groupBy("due").agg(F.sum("__size").alias("tokens"), F.first("before").alias("before"), F.first("budget").alias("budget"))
+    ordered = times.selectExpr("due", "budget", "tokens", "before + sum(tokens) OVER (ORDER BY due) AS upto", "min(due) OVER () AS first")
+    taken = "max(IF(upto - tokens / 2 <= budget, due, NULL))"
     cut = ordered.agg(F.expr(f"coalesce({taken}, min(first) - 1) AS cut")).first()["cut"]
     return -1.0 if cut is None else cut
 
@@ -109,7 +116,7 @@ def mixed(docs: DataFrame, keep: list[str], share: float = 1.0) -> DataFrame:
     """keep with size, source_size, target and finishes, the virtual finish times of the copies that the mix takes."""
     queue = queued(docs, keep, share)
     cut = cut_time(queue, share)
-    times = f"filter(transform(sequence(0, {EPOCHS - 1}), e -> {_finish('e')}), t -> __size > 0 AND t <= {cut!r}D)"
+    times = f"transform(filter(sequence(0, {EPOCHS - 1}), e -> __size > 0 AND {_due('e')} <= {cut!r}D), e -> {_finish('e')})"
     return queue.selectExpr(
         *keep, "__source", "__size AS size", "source_size", "target", f"{times} AS finishes", f"size({times}) * __size AS taken"
     )
