@@ -60,13 +60,13 @@ def targets(totals: DataFrame, share: float = 1.0) -> DataFrame:
 
 
 def queued(docs: DataFrame, keep: list[str], share: float = 1.0) -> DataFrame:
-    """keep and source, __size, __end (tokens of the source up to the row's end), with the source's target.
+    """From sized documents keep, __source, __size, __end (tokens of the source up to the row's end), with the source's target.
 
     The queue order is a hash of the document. A hot source is no single group: its queue is dealt
     to parts by the hash, the parts' totals are summed first, and each part is summed by itself.
     """
     queue = "IF(source IS NULL, 'none', concat('source ', source)) AS __queue"
-    narrow = sized(docs).selectExpr(*keep, "source AS __source", queue, "__size", "xxhash64(doc_id, source, 17) AS __key")
+    narrow = docs.selectExpr(*dict.fromkeys(["doc_id", *keep]), "source AS __source", queue, "__size", "xxhash64(doc_id, source, 17) AS __key")
     rows = stored(narrow.withColumn("__part", F.expr(f"CAST(pmod(__key, {QUEUE_PARTS}) AS INT)")))
     parts = stored(rows.groupBy("__queue", "__source", "__part").agg(F.sum("__size").alias("__sum")))
     totals = parts.groupBy("__queue", F.col("__source").alias("source")).agg(F.sum("__sum").alias("source_size"))
@@ -113,7 +113,7 @@ def cut_time(queue: DataFrame, share: float = 1.0) -> float:
 
 
 def mixed(docs: DataFrame, keep: list[str], share: float = 1.0) -> DataFrame:
-    """keep with size, source_size, target and finishes, the virtual finish times of the copies that the mix takes."""
+    """From sized documents keep with size, source_size, target and finishes, the virtual finish times of the copies that the mix takes."""
     queue = queued(docs, keep, share)
     cut = cut_time(queue, share)
     times = f"transform(filter(sequence(0, {EPOCHS - 1}), e -> __size > 0 AND {_due('e')} <= {cut!r}D), e -> {_finish('e')})"
@@ -123,8 +123,16 @@ def mixed(docs: DataFrame, keep: list[str], share: float = 1.0) -> DataFrame:
 
 
 def stream(docs: DataFrame, share: float = 1.0) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken, range-sorted by finish time."""
+    """The mix itself: the rows of docs, each as often as it is taken, range-sorted by finish time.
+
+    Only narrow rows are queued. They find their texts again by doc_id, a digest of the whole row
+    and a number among rows that agree in both.
+    """
     columns = [f"`{c}`" for c in docs.columns]
-    whole = mixed(docs.select("*", F.struct(*columns).alias("__row")), ["__row", "doc_id"], share)
-    copies = whole.selectExpr("__row.*", "explode(finishes) AS __finish")
+    key = ["__id", "__digest", "__copy"]
+    number = F.row_number().over(Window.partitionBy("__id", "__digest").orderBy("__digest"))
+    known = docs.withColumn("__id", F.expr("coalesce(CAST(doc_id AS STRING), '')")).withColumn("__digest", F.xxhash64(*columns))
+    narrow = sized(known).select("doc_id", "source", "__size", "__id", "__digest").withColumn("__copy", number)
+    taken = mixed(narrow, key, share).where("size(finishes) > 0").select(*key, "finishes")
+    copies = known.withColumn("__copy", number).join(taken, key).selectExpr(*columns, "explode(finishes) AS __finish")
     return copies.repartitionByRange("__finish", "doc_id").sortWithinPartitions("__finish", "doc_id").select(*columns)

@@ -79,7 +79,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mix = mixing.mixed(table(spark, folder, "documents"), ["doc_id"])
+    mix = mixing.mixed(mixing.sized(table(spark, folder, "documents")), ["doc_id"])
     return mix.selectExpr("doc_id", "size", "source_size", "target", "taken", "get(finishes, 0) AS first_finish")
 
 
