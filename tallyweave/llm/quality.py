@@ -34,7 +34,7 @@ LABELLERS = (
     ("repeats", "distinct_lines >= 0.9 * lines AND distinct_words >= 0.3 * words", "distinct_lines < 0.7 * lines OR distinct_words < 0.15 * words"),
     ("ends", "text RLIKE '[.!?\"]\\\\s*$'", "NOT text RLIKE '[.!?\"]\\\\s*$' AND words < 40"),
 )
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 BUCKETS = 1 << 14
 RESULTS = ("posterior", "score", "kept")
 
@@ -101,7 +101,7 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield bucket, weight / max(np.sqrt((weight**2).sum()), 1e-9)
 
 
-def trained(texts: list[str], labels: np.ndarray, rounds: int = 12) -> np.ndarray:
+def trained(texts: list[str], labels: np.ndarray, rounds: int = 8) -> np.ndarray:
     """Weights of the buckets and the bias, by AdaGrad on the log loss of soft labels."""
     rows = list(features(pa.array(texts, pa.string())))
     weights, squares = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-3)
