@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.relations import AS_OF, CORE, COUNTS, RULE_TESTS, SUMS, relations
+from oracle.relations import AS_OF, CORE, COUNTS, RULE_NAMES, SUMS, relations
 
 FACT_COLUMNS = (
     "transaction_id has_internal merchant_id payment_method gateway_id t:activity_at t:created_at internal_status "
@@ -137,6 +137,21 @@ _SCORES = """
       / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 6), 0) AS f1"""
 
 
+def _fingerprint() -> str:
+    """Rows and the sum of 60-bit row hashes over name=value texts in order of name."""
+    forms = {"r": "CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)", "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"}
+    cells = []
+    for item in sorted(FACT_COLUMNS.split(), key=lambda x: x.rpartition(":")[2]):
+        kind, _, name = item.rpartition(":")
+        text = forms.get(kind, "CAST({c} AS VARCHAR)").format(c=name)
+        cells.append(f"'{name}=' || ifnull('v' || {text}, 'null')")
+    row = f"CAST('0x' || left(md5({' || chr(124) || '.join(cells)}), 15) AS BIGINT)"
+    return (
+        f"{relations()} SELECT 'payment_facts' AS table_name, count(*) AS rows, "
+        f"CAST(CAST(ifnull(sum({row}), 0) AS HUGEINT) AS VARCHAR) AS content_hash FROM facts"
+    )
+
+
 def _snapshots() -> str:
     """Each cutoff on its own, from the start."""
     one_by_one = []
@@ -343,19 +358,20 @@ def statements() -> dict[str, str]:
         "gateway_rollup": _select(
             "transaction_id gateway_rows gateway_id t:gateway_event_at gateway_status m:gateway_gross_total "
             "m:gateway_net_total m:gateway_amount m:gateway_net m:gateway_fee m:gateway_tax m:gateway_duplicate_excess",
-            "(SELECT *, gateway_gross_total - gateway_amount AS gateway_duplicate_excess FROM g)",
+            "g",
         ),
         "settlement_rollup": _select(
             "transaction_id settlement_rows t:settled_at m:bank_gross_total m:bank_net_total m:bank_gross m:bank_net "
             "m:bank_fee m:bank_tax m:settlement_duplicate_excess",
-            "(SELECT *, bank_net_total - bank_net AS settlement_duplicate_excess FROM s)",
+            "s",
         ),
         "payment_facts": _select(FACT_COLUMNS, "facts"),
+        "table_fingerprint": _fingerprint(),
         "facts_by_joins": _select(FACT_COLUMNS, "facts"),
         "exception_signals": _select(SIGNAL_COLUMNS, "detected"),
         **{
             f"signals_{name}": _select(SIGNAL_COLUMNS, "detected", f"WHERE exception_type = '{name}'")
-            for name in RULE_TESTS
+            for name in RULE_NAMES
         },
         "detected_exceptions": _select(f"{detected} recommended_action", "detected"),
         "exception_rollup": _select(
