@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Shape of acceptable timestamp text. A full calendar date is required,
-# because Spark reads '12:30' as a time today and '2026' as a year.
-FULL_DATE = r"^\s*\d{4}-\d{2}-\d{2}([T ]|\s*$)"
-ZONE_SUFFIX = r":\d{2}(\.\d+)?\s*([Zz]|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
+# Shape of acceptable timestamp text, as a whole. A full calendar date is
+# required, because Spark reads '12:30' as a time today and '2026' as a year. A zone is Z,
+# UTC, GMT or an offset of two-digit hours and minutes; any other suffix makes the text
+# invalid, because Spark would take the clock time and ignore what it cannot read.
+CLOCK = r"\s*\d{4}-\d{2}-\d{2}[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?"
+ZONE = r"\s*([Zz]|UTC|GMT|[+-]\d{2}(:?\d{2})?)"
+ZONED_TEXT = rf"^{CLOCK}{ZONE}\s*$"
+LOCAL_TEXT = rf"^({CLOCK}|\s*\d{{4}}-\d{{2}}-\d{{2}})\s*$"
 
 MICROS_PER_DAY = "86400000000D"
 
@@ -23,8 +27,8 @@ def as_utc(name: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
         zoned = _instant_as_utc(f"try_cast({name} AS TIMESTAMP)")
         return (
-            f"CASE WHEN regexp_like({name}, r'{FULL_DATE}') THEN "
-            f"IF(regexp_like({name}, r'{ZONE_SUFFIX}'), {zoned}, try_cast({name} AS TIMESTAMP_NTZ)) END"
+            f"CASE WHEN regexp_like({name}, r'{ZONED_TEXT}') THEN {zoned} "
+            f"WHEN regexp_like({name}, r'{LOCAL_TEXT}') THEN try_cast({name} AS TIMESTAMP_NTZ) END"
         )
     raise ValueError(f"a {dtype.simpleString()} column cannot hold event times")
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from tallyweave.config import cutoff_literal
-from tallyweave.functions import aggregates, named
+from tallyweave.functions import aggregates, named, text_literal
 from tallyweave.functions.clock import as_utc
 from tallyweave.sources.contracts import CONTRACTS
 
@@ -30,9 +31,24 @@ def source_counts(feeds: dict[str, DataFrame], as_of) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _canonical(field: T.StructField) -> str:
+    """A value as text that any engine can repeat; null differs from every text."""
+    forms = {
+        T.DoubleType: "CAST(CAST({c} AS DECIMAL(38,6)) AS STRING)",
+        T.TimestampNTZType: "date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    }
+    text = forms.get(type(field.dataType), "CAST({c} AS STRING)").format(c=f"`{field.name}`")
+    return f"concat({text_literal(field.name + '=')}, coalesce(concat('v', {text}), 'null'))"
+
+
 def _fingerprint(table: DataFrame) -> dict[str, str]:
-    """Row count and a content hash that does not depend on row order."""
-    row_hash = f"CAST(xxhash64({', '.join(sorted(table.columns))}) AS DECIMAL(38,0))"
+    """Row count and a content hash that depends on names and values, not on row order.
+
+    A row hashes to the first 60 bits of the MD5 of its values with their column names, so a
+    value that moves to another column changes it. Row hashes are summed as decimals.
+    """
+    row = f"concat_ws('|', {', '.join(_canonical(f) for f in sorted(table.schema, key=lambda f: f.name))})"
+    row_hash = f"CAST(conv(left(md5({row}), 15), 16, 10) AS DECIMAL(38,0))"
     return {"rows": "count(*)", "content_hash": f"CAST(coalesce(sum({row_hash}), 0) AS STRING)"}
 
 

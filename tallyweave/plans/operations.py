@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import asdict, dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +43,26 @@ REPORTS = tuple(REPORT_KEYS)
 
 @dataclass(frozen=True)
 class OperationalResult:
-    tables: dict[str, DataFrame]
+    tables: Mapping[str, DataFrame]
     metadata: dict
 
 
+class Reports(Mapping):
+    """Named reports, each built on first access and kept."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = {name: cache(build) for name, build in builders.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def typed_feeds(feeds: dict[str, DataFrame], contracts=CONTRACTS) -> dict[str, DataFrame]:
     return {c.name: typed(feeds[c.name], c) for c in contracts}
 
@@ -65,19 +83,17 @@ def run_operations(
     *,
     as_of,
     config: ReconciliationConfig = ReconciliationConfig(),
-    checked: bool = True,
     folder: str | None = None,
 ) -> OperationalResult:
     """Reconcile three feeds as of an explicit, inclusive event-time cutoff.
 
     Case facts are written once to shared storage (``folder``, or the session's
-    checkpoint folder) and every report reads only the columns it needs from there.
-    ``checked=False`` skips contract validation for feeds that were validated upstream.
+    checkpoint folder) and every report reads only the columns it needs from there. A report
+    is planned, with whatever jobs that takes, when it is first asked for.
     """
     cutoff = parse_cutoff(as_of)
     feeds = dict(zip((c.name for c in CONTRACTS), (internal, gateway, settlement)))
-    if checked:
-        validate(feeds)
+    validate(feeds)
     visible = cut_feeds(typed_feeds(feeds), cutoff)
     cases = stored(case_facts(payment_facts(visible, cutoff, config)), "case_facts", folder)
     counts = {
@@ -96,24 +112,26 @@ def run_operations(
     )
 
 
-def report_tables(cases: DataFrame, settlement: DataFrame) -> dict[str, DataFrame]:
+def report_tables(cases: DataFrame, settlement: DataFrame) -> Reports:
     """The twelve reports over stored case facts and visible bank lines."""
-    detected = detected_exceptions(cases)
-    dimensions = metrics.dimension_metrics(cases)
-    return {
-        "reconciliation_facts": reconciliation_facts(cases),
-        "detected_exceptions": detected,
-        "investigation_queue": investigation_queue(cases),
-        "summary": metrics.summary(cases),
-        "merchant_metrics": metrics.metrics_of(dimensions, "merchant"),
-        "daily_metrics": metrics.metrics_of(dimensions, "day"),
-        "payment_method_metrics": metrics.metrics_of(dimensions, "payment_method"),
-        "gateway_metrics": metrics.metrics_of(dimensions, "gateway"),
-        "exception_type_metrics": metrics.exception_type_metrics(detected, cases),
-        "aging_metrics": aging_metrics(cases),
-        "settlement_delay_metrics": metrics.settlement_delay_metrics(cases),
-        "daily_settlements": metrics.daily_settlements(settlement),
-    }
+    detected = cache(lambda: detected_exceptions(cases))
+    dimensions = cache(lambda: metrics.dimension_metrics(cases))
+    return Reports(
+        {
+            "reconciliation_facts": lambda: reconciliation_facts(cases),
+            "detected_exceptions": detected,
+            "investigation_queue": lambda: investigation_queue(cases),
+            "summary": lambda: metrics.summary(cases),
+            "merchant_metrics": lambda: metrics.metrics_of(dimensions(), "merchant"),
+            "daily_metrics": lambda: metrics.metrics_of(dimensions(), "day"),
+            "payment_method_metrics": lambda: metrics.metrics_of(dimensions(), "payment_method"),
+            "gateway_metrics": lambda: metrics.metrics_of(dimensions(), "gateway"),
+            "exception_type_metrics": lambda: metrics.exception_type_metrics(detected(), cases),
+            "aging_metrics": lambda: aging_metrics(cases),
+            "settlement_delay_metrics": lambda: metrics.settlement_delay_metrics(cases),
+            "daily_settlements": lambda: metrics.daily_settlements(settlement),
+        }
+    )
 
 
 def in_report_order(name: str, table: DataFrame) -> DataFrame:

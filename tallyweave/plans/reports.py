@@ -140,8 +140,9 @@ def as_report_text(table: DataFrame) -> DataFrame:
     return table.selectExpr(*named({f.name: forms.get(type(f.dataType), "{c}").format(c=f.name) for f in table.schema}))
 
 
-def write_csv(table: DataFrame, path: str) -> None:
-    as_report_text(table).write.options(**CSV_DIALECT, emptyValue="", maxRecordsPerFile=ROWS_PER_FILE).csv(path)
+def write_csv(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    options = {**CSV_DIALECT, "emptyValue": "", "maxRecordsPerFile": ROWS_PER_FILE}
+    as_report_text(table).write.mode(mode).options(**options).csv(path)
 
 
 def summary_json(summary: DataFrame) -> DataFrame:
@@ -150,29 +151,34 @@ def summary_json(summary: DataFrame) -> DataFrame:
     return summary.selectExpr(f"to_json({document}, map('ignoreNullFields', 'false')) AS value")
 
 
-def write_reports(result: OperationalResult, folder: str, *, sources: dict[str, DataFrame] | None = None) -> dict:
+def write_reports(
+    result: OperationalResult, folder: str, *, sources: dict[str, DataFrame] | None = None, overwrite: bool = False
+) -> dict:
     """Write reports as partitioned CSV, the summary as JSON and a manifest.
 
     The manifest holds run parameters, row counts and order-insensitive fingerprints,
     so two runs over the same data give the same manifest. It returns what it wrote.
+    The manifest is written last: a folder without one is unfinished. With overwrite, an
+    earlier run's files are replaced one by one.
     """
+    mode = "overwrite" if overwrite else "errorifexists"
     spark = result.tables["summary"].sparkSession
     outputs = {}
     for name, table in result.tables.items():
         # Watched above the sort: sorting samples its input, which must not be counted.
         report, observation = watched(in_report_order(name, table))
-        write_csv(report, f"{folder}/{name}.csv")
+        write_csv(report, f"{folder}/{name}.csv", mode)
         outputs[name] = observation.get
-    summary_json(result.tables["summary"]).write.text(f"{folder}/summary.json")
+    summary_json(result.tables["summary"]).write.mode(mode).text(f"{folder}/summary.json")
     for name, section in report_sections(result).items():
-        write_csv(section, f"{folder}/sections/{name}.csv")
+        write_csv(section, f"{folder}/sections/{name}.csv", mode)
     manifest = {
         **result.metadata,
         "spark_version": spark.version,
         "outputs": outputs,
         "sources": _recorded(fingerprints(sources)) if sources else {},
     }
-    manifest_table(spark, manifest).write.text(f"{folder}/manifest.json")
+    manifest_table(spark, manifest).write.mode(mode).text(f"{folder}/manifest.json")
     return manifest
 
 
@@ -190,9 +196,10 @@ def output_digests(spark: SparkSession, folder: str) -> DataFrame:
     return file_digests(spark, folder).filter(F.col("file").startswith("part-"))
 
 
-def write_evaluation(detected: DataFrame, result: EvaluationResult, folder: str) -> None:
+def write_evaluation(detected: DataFrame, result: EvaluationResult, folder: str, *, overwrite: bool = False) -> None:
     """Benchmark outputs: detections, scores by type, label comparison and metrics."""
-    write_csv(detected.orderBy(*detection_order()), f"{folder}/detected_exceptions.csv")
-    write_csv(result.by_type.orderBy("exception_type"), f"{folder}/metrics_by_type.csv")
-    write_csv(result.comparison.orderBy("exception_type", "transaction_id"), f"{folder}/truth_vs_detection.csv")
-    summary_json(result.summary).write.text(f"{folder}/metrics.json")
+    mode = "overwrite" if overwrite else "errorifexists"
+    write_csv(detected.orderBy(*detection_order()), f"{folder}/detected_exceptions.csv", mode)
+    write_csv(result.by_type.orderBy("exception_type"), f"{folder}/metrics_by_type.csv", mode)
+    write_csv(result.comparison.orderBy("exception_type", "transaction_id"), f"{folder}/truth_vs_detection.csv", mode)
+    summary_json(result.summary).write.mode(mode).text(f"{folder}/metrics.json")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyweave.sources.contracts import CONTRACTS, FeedContract
+from tallyweave.sources.contracts import CONTRACTS, typed
+from tallyweave.sources.validation import validate
 
 # File name of each feed. Nothing else in the folder is opened.
 FEED_FILES = {
@@ -15,8 +16,18 @@ FEED_FILES = {
 }
 TRUTH_FILE = "truth_exceptions.csv"
 
-# Quotes inside a field are doubled, and an empty field stays empty.
-CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+# Quotes inside a field are doubled, an empty field stays empty, and blanks around a field
+# belong to it.
+CSV_DIALECT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# A record with more or fewer fields than the header, or a part file with another header, ends the
+# read with an error, also when only some columns are asked for.
+STRICT = {"mode": "FAILFAST", "enforceSchema": "false", "columnPruning": "false"}
 
 
 def read_text_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -24,16 +35,19 @@ def read_text_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_text(spark, f"{folder}/{file}") for name, file in FEED_FILES.items()}
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**CSV_DIALECT, inferSchema="false").csv(path)
+def read_text(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
+    """Every field as text, none dropped or moved. With multiline, quoted fields may hold line breaks."""
+    lines = {"multiLine": "true"} if multiline else {}
+    header = spark.read.options(**CSV_DIALECT, **lines, inferSchema="false").csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    return spark.read.options(**CSV_DIALECT, **STRICT, **lines).schema(schema).csv(path)
 
 
 def read_typed_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Typed scan with an explicit schema, for feeds that were written by this package."""
-    return {
-        contract.name: _read_typed(spark, f"{folder}/{FEED_FILES[contract.name]}", contract)
-        for contract in CONTRACTS
-    }
+    """Feeds typed by their contracts; raises ValueError if a value cannot be read as its type."""
+    feeds = read_text_feeds(spark, folder)
+    validate(feeds)
+    return {contract.name: typed(feeds[contract.name], contract) for contract in CONTRACTS}
 
 
 def read_truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,13 +55,6 @@ def read_truth(spark: SparkSession, folder: str) -> DataFrame:
     return truth.withColumn("reference_amount", truth["reference_amount"].cast("decimal(18,2)"))
 
 
-def _read_typed(spark: SparkSession, path: str, contract: FeedContract) -> DataFrame:
-    kinds = {contract.time: T.TimestampNTZType(), **{name: T.DecimalType(18, 2) for name in contract.money}}
-    header = read_text(spark, path).columns
-    schema = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
-    return spark.read.options(**CSV_DIALECT).schema(schema).csv(path)
-
-
 def write_feeds(feeds: dict[str, DataFrame], truth: DataFrame | None, folder: str) -> dict[str, str]:
     """Write a feed set, and its truth if there is one, one CSV folder each."""
     frames = {FEED_FILES[name]: frame for name, frame in feeds.items()}

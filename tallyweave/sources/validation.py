@@ -98,7 +98,7 @@ def validate(feeds: dict[str, DataFrame], contracts=CONTRACTS) -> None:
 
 
 def validate_legacy(feeds: dict[str, DataFrame], contracts) -> None:
-    """Checks of the ten-rule detector: columns, null keys, readable times and a unique ledger key."""
+    """Checks of the ten-rule detector: columns, null keys, readable times and money, a unique ledger key."""
     for contract in contracts:
         contract.require(feeds[contract.name])
     null_keys = [
@@ -114,6 +114,15 @@ def validate_legacy(feeds: dict[str, DataFrame], contracts) -> None:
         )
         for c in contracts
     ]
+    for c in contracts:
+        for name in c.money:
+            number = f"({as_number(name, feeds[c.name].schema[name].dataType)})"
+            unreadable.append(
+                feeds[c.name].selectExpr(
+                    f"'{c.name}.{name} {MESSAGES[NOT_FINITE]}' AS problem",
+                    f"count_if({name} IS NOT NULL AND ({number} IS NULL OR isnan({number}) OR abs({number}) = DOUBLE('Infinity'))) AS bad",
+                )
+            )
     repeats = repeated_keys(feeds[INTERNAL.name]).selectExpr(
         "'internal ledger holds repeated transaction_id values' AS problem", "count(*) AS bad"
     )

@@ -125,7 +125,7 @@ def test_typed_csv_and_evaluation_files(spark, tmp_path):
     write_feeds(order_feeds(orders), truth_labels(orders), f"{tmp_path}/data")
     typed = read_typed_feeds(spark, f"{tmp_path}/data")
     for name, df in order_feeds(orders).items():
-        assert sorted(typed[name].select(*df.columns).collect()) == sorted(df.collect())
+        assert sorted(typed[name].collect()) == sorted(df.select(*typed[name].columns).collect())
     truth = read_truth(spark, f"{tmp_path}/data")
     detected = run_operations(**typed, as_of="2010-01-01").tables["detected_exceptions"]
     write_evaluation(detected, evaluate_detections(truth, detected), f"{tmp_path}/scores")
