@@ -87,6 +87,8 @@ class Model:
 
     def __init__(self, langs: np.ndarray, runs: np.ndarray, n: np.ndarray):
         self.langs = sorted(set(langs))
+        if not self.langs:
+            return
         alphabet = np.unique(np.concatenate([(runs >> np.uint32(8 * k)) & _mask(1) for k in range(ORDER + 1)]))
         self.width = len(alphabet) + 1
         self.place = np.full(256, len(alphabet), np.int32)
@@ -143,7 +145,7 @@ class Model:
         out = np.zeros((len(column), len(self.langs)))
         for first, last in chunks(starts):
             begin, end = starts[first], starts[last]
-            if end - begin <= 2 * CHUNK_BYTES:
+            if last - first > 1 or end - begin <= 2 * CHUNK_BYTES:
                 out[first:last] = self._spelled(data[begin:end], starts[first:last] - begin)
                 continue
             for at in range(begin, end, CHUNK_BYTES):  # one long text, piece by piece

@@ -1,0 +1,299 @@
+"""Operators on documents against brute force over the smallest tables, and on odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tallyweave.llm import language_id, minhash_dedup, mixing, packing, quality, queries, secret_scan, sharding
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return {r.doc_id: r for r in queries.table(spark, sf, "documents").collect()}
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_languages_of_held_out_documents(docs, found):
+    rows = found("op1")
+    assert len(rows) == len(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
+    tested = [r.lang_pred == docs[r.doc_id].lang for r in rows if r.held_out]
+    assert np.mean(tested) > 0.95
+
+
+def test_a_code_length_is_the_sum_of_the_costs_of_its_bytes(spark, docs):
+    rows = spark.createDataFrame([(k, r.text, r.lang) for k, r in docs.items()], "doc_id long, text string, lang string")
+    model = language_id.learnt(rows)
+    import pyarrow as pa
+
+    texts = [docs[k].text for k in list(docs)[:5]]
+    whole = model.code_lengths(pa.array(texts))
+    language_id.CHUNK_BYTES, before = 50, language_id.CHUNK_BYTES
+    try:
+        pieces = np.concatenate([model.code_lengths(pa.array([t])) for t in texts])  # the same, cut into small pieces
+    finally:
+        language_id.CHUNK_BYTES = before
+    assert np.allclose(whole, pieces) and (whole > 0).all()
+    probabilities = np.exp2(-model.costs.reshape(-1, model.width, len(model.langs)).astype(float))
+    assert (probabilities.sum(1) < 1 + 256 / 256 + 1e-3).all() and (probabilities > 0).all()
+
+
+def test_odd_rows_keep_their_columns_and_get_a_language(odd, none):
+    model = language_id.learnt(odd)
+    rows = language_id.identify(odd, model).collect()
+    assert len(rows) == 15 and rows[0].__fields__[:4] == odd.columns[:4]
+    assert {r.lang_pred for r in rows if not re.search(r"[^\W\d_]", r.text or "")} == {"und"}
+    assert language_id.identify(none, language_id.learnt(none)).count() == 0
+    assert {r.lang_pred for r in language_id.identify(odd, language_id.learnt(none)).collect()} == {"und"}
+
+
+def secrets(text):
+    spans = [(m.start(), 0, m.end()) for m in re.finditer(secret_scan.ASSIGN, text, re.A) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
+
+
+def test_base_spans_equal_plain_patterns(docs, found):
+    for r in found("op2"):
+        assert r.base_sha256 == hashlib.sha256(secrets(docs[r.doc_id].text or "").encode()).hexdigest()
+
+
+def test_entropy_spans_and_the_allow_list(spark):
+    hot = "q7Zt0Lw9XkP2vRb4NcY8sHd3"
+    texts = {
+        1: f"é a key {hot} here", 2: "see 123e4567-e89b-12d3-a456-426614174000 there", 3: "a-long-file-name-of-2024-01-31-and-words",
+        4: "aaaaaaaaaaaaaaaaaaaaaaaaaaaa1", 5: "ABCDEFGHIJKLMNOPQRSTUVWXYZ012", 6: f"secret={hot}", 7: "0123456789" * 4,
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.with_spans(rows).select("doc_id", secret_scan.written("secret_spans").alias("spans")).collect()}
+    assert got == {1: "entropy:8:32", 2: "", 3: "", 4: "", 5: "", 6: f"assign:0:{7 + len(hot)}", 7: "hex:0:40"}
+
+    def brute(s):
+        counts = [Counter(s[k : k + 20]) for k in range(len(s) - 19)]
+        return max(-sum(n / 20 * np.log2(n / 20) for n in c.values()) for c in counts)
+
+    assert brute(hot) > 3.7 > brute("aaaaaaaaaaaaaaaaaaaaaaaaaaaa1")
+
+
+def test_redaction(odd, none):
+    rows = secret_scan.redacted(odd)
+    assert rows.columns == odd.columns and rows.count() == 15
+    assert {r.text for r in rows.where("doc_id = 12").collect()} == {"[secret]' and [secret]"}
+    assert rows.where("doc_id = 1").first().text is None
+    assert secret_scan.redacted(none).count() == 0
+
+
+def test_shards_obey_the_key_law(docs, found):
+    rows, slots = found("op5"), defaultdict(list)
+    for r in rows:
+        data = (docs[r.doc_id].text or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 8, zlib.crc32(data), "key")
+        assert r.grown_shard in (r.shard, 24) and 0 <= r.shard < 24
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_movement_stays_in_the_subtree_whose_weight_changed(spark):
+    keys = spark.range(4000).withColumnRenamed("id", "k")
+    tree = sharding.even_topology()
+    added = [*tree, sharding.Shard(1, 1, 24, 2.0)]
+    both = sharding.placed(sharding.placed(keys, "k", tree, "old"), "k", added, "new").collect()
+    where = {s.shard: s for s in added}
+    moved = [r for r in both if r.old != r.new]
+    assert moved and all(where[r.new].region == 1 for r in moved)
+    inside = [r for r in moved if where[r.old].region == 1]
+    assert all(where[r.new].rack == 1 for r in inside)
+    assert all(r.new == 24 for r in inside if where[r.old].rack == 1)
+    share = sum(r.new == 24 for r in both) / len(both)
+    assert 0.05 < share < 0.11  # 2 of 26
+
+
+def test_sharding_of_odd_rows(odd, none):
+    tree = sharding.even_topology(1, 1, 2)
+    rows = sharding.with_slots(sharding.placed(odd, "doc_id", tree), "shard", ["doc_id"])
+    assert rows.count() == 15 and rows.select("shard", "slot").distinct().count() == 15
+    assert sharding.with_slots(sharding.placed(none, "doc_id", tree), "shard", ["doc_id"]).count() == 0
+
+
+def shingles(text, n):
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", w)
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+
+
+def brute_components(texts, n):
+    sets, parent = {k: shingles(t, n) for k, t in texts.items()}, {k: k for k in texts}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {k: (len(sets[k]), root(k)) for k in ids}
+
+
+def test_near_duplicates_equal_brute_force(docs, found):
+    expected = brute_components({k: r.text for k, r in docs.items()}, 4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found("op7")} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found("op7"))
+
+
+def test_near_duplicates_of_a_star_and_a_chain(spark):
+    base = [f"b{k}" for k in range(200)]
+    texts = {k: " ".join(base[:p] + [f"x{k}"] * 8 + base[p + 8 :]) for k, p in enumerate(range(3, 180, 5), start=10)}
+    texts[99] = " ".join(base)  # close to all, which are far from one another
+    chain = [f"c{k}" for k in range(400)]
+    texts |= {200 + k: " ".join(chain[8 * k : 200 + 8 * k]) for k in range(20)}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(rows, 4).collect()}
+    assert got == brute_components(texts, 4)
+
+
+def test_near_duplicates_of_odd_rows(odd, none):
+    rows = minhash_dedup.near_duplicates(odd).collect()
+    by = defaultdict(set)
+    for r in rows:
+        by[r.doc_id].add((r.n_shingles, r.component_id))
+    assert len(rows) == 15 and by[1] == {(0, 1)} and by[2] == {(0, 2)} and by[3] == {(0, 3)} and by[8] == {(1, 8)}
+    assert by[5] == by[6] == {(8, 5)} and by[7] == {(9, 5)} and {c for _, c in by[10]} == {9}
+    assert by[None] == {(8, None), (0, None)}
+    assert minhash_dedup.near_duplicates(none).count() == 0
+
+
+def test_packing_is_an_exact_round_trip(docs, found):
+    from tokenizers import Tokenizer
+
+    tokenizer, pieces, sequences = Tokenizer.from_file(queries.tokenizer()), defaultdict(dict), defaultdict(list)
+    for r in found("op8"):
+        pieces[r.doc_id][r.piece] = (r.start, r.length, r.ids_crc32)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for k, r in docs.items():
+        ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4")
+        cut = {n: (a, len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes())) for n, a in enumerate(range(0, len(ids), 2048))}
+        assert pieces[k] == cut
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    total = sum(n for places in sequences.values() for _, n in places)
+    assert len(sequences) <= 1.03 * total / 2048 + 1
+
+
+def test_unusual_words_are_read_like_the_tokenizer_reads_them():
+    from tokenizers import Tokenizer
+
+    tokenizer, memory = Tokenizer.from_file(queries.tokenizer()), packing.Words(queries.tokenizer())
+    texts = ["It's 3.14, don't! ÀÉß ªº²³¼", "x\x1cy z\xa0w", "<|endoftext|> a<|startoftext|>b", "é Σίσυφος İ 漢字 🙂", "", " \n", "'S 'LL 're—ok"]
+    for text in texts:
+        ids = packing.ids_of(text.encode(), memory).tolist()
+        assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_the_genetic_steps_keep_every_piece_once():
+    import random
+
+    draw = random.Random(1)
+    sizes = [draw.randrange(1, 2048) for _ in range(300)]
+    one, two = (packing.best_fit(sizes, 2048, draw.sample(range(300), 300)) for _ in range(2))
+    for packed in (packing.crossed(one, two, sizes, 2048, draw), packing.mutated(one, sizes, 2048, draw), packing.evolved(sizes, 2048, 3, [one, two])):
+        assert sorted(i for held in packed for i in held) == list(range(300))
+        assert max(sum(sizes[i] for i in held) for held in packed) <= 2048
+    assert len(packing.evolved(sizes, 2048, 0, [])) <= min(len(one), len(two))
+
+
+def test_packing_of_odd_rows(odd, none):
+    rows = packing.packed(packing.pieces(odd, queries.tokenizer(), ["doc_id", "size"])).collect()
+    assert sum(r.length == 1 for r in rows) >= 4 and sum(r.piece == 0 for r in rows) == 15
+    assert packing.packed(packing.pieces(none, queries.tokenizer(), ["doc_id"])).count() == 0
+
+
+def expected_targets(sizes, share=1.0):
+    names = sorted(sizes, key=lambda x: (x is None, (x or "").encode()))
+    weight, full, budget = {s: k % 3 + 1 for k, s in enumerate(names)}, set(), share * sum(sizes.values())
+    while True:
+        rest = [s for s in names if s not in full]
+        level = (budget - sum(3 * sizes[s] for s in full)) / sum(weight[s] for s in rest) if rest else 0
+        over = {s for s in rest if level * weight[s] > 3 * sizes[s]}
+        if not over:
+            return {s: 3 * sizes[s] if s in full else level * weight[s] for s in names}
+        full |= over
+
+
+def test_the_mix_meets_its_targets(docs, found):
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for r in docs.values():
+        sizes[r.source] += len(words(r.text))
+        largest[r.source] = max(largest[r.source], len(words(r.text)))
+    goal = expected_targets(sizes)
+    for r in found("op9"):
+        source = docs[r.doc_id].source
+        assert r.size == len(words(docs[r.doc_id].text)) and r.taken <= 3 * r.size and r.source_size == sizes[source]
+        assert r.target == pytest.approx(goal[source])
+        taken[source] += r.taken
+    assert all(abs(taken[s] - goal[s]) <= largest[s] for s in goal)
+
+
+def test_full_sources_leave_their_share_to_others(spark):
+    rows = [(k, "a b c d", "big" if k < 200 else "small" if k < 204 else None) for k in range(210)] + [(900, None, "void")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(mixing.sized(df), ["doc_id"]).collect()
+    goal = expected_targets({"big": 800, "small": 16, None: 24, "void": 0})
+    names = {k: s for k, _, s in rows}
+    taken = Counter()
+    for r in got:
+        assert r.target == pytest.approx(goal[names[r.doc_id]])
+        taken[names[r.doc_id]] += r.taken
+    assert taken["small"] == 48 and taken[None] == 72 and taken["void"] == 0 and abs(taken["big"] - goal["big"]) <= 4
+    stream = mixing.stream(df)
+    assert stream.columns == df.columns and stream.count() == sum(taken.values()) / 4
+
+
+def test_the_mix_of_odd_rows(odd, none):
+    rows = mixing.stream(odd)
+    assert rows.columns == odd.columns and rows.where("text IS NULL OR trim(text) = ''").count() == 0
+    assert mixing.mixed(mixing.sized(odd), ["doc_id"]).count() == 15
+    assert mixing.stream(none).count() == 0
+
+
+def test_quality_finds_labellers_and_scores(spark, sf, docs, found, odd, none):
+    counts = {"gg": 70, "bb": 20, "gb": 5, "bg": 5}
+    posterior = quality.pattern_posteriors(counts)
+    assert posterior["gg"] > 0.9 > 0.1 > posterior["bb"]
+    rows = {r.doc_id: r for r in found("op4")}
+    assert len(rows) == len(docs)
+    labels = [(rows[r.doc_id].posterior + rows[r.doc_id].score, r.quality) for r in queries.table(spark, sf, "labels").collect()]
+    good, bad = ([s for s, q in labels if q == k] for k in (1, 0))
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.85
+    scored = quality.scored(odd, ["doc_id", "size"], quality.learnt(odd)).collect()
+    assert len(scored) == 15 and all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in scored)
+    assert quality.scored(none, ["doc_id"], quality.learnt(none)).count() == 0
+
+
+def test_pipeline_stages(spark, sf, odd, none):
+    import corpus_pipeline
+
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_dedup", "secret_scan", "mixing", "packing"]
+    for start in (odd, none):
+        docs = start
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, sf)
+            assert name == "packing" or docs.columns == start.columns
+        rows = docs.collect()
+        assert (len(rows) > 0) == (start is odd)
