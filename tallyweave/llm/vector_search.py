@@ -31,7 +31,7 @@ LENGTH = 32
 PART = 2048
 QUERIES = 512
 #: Share of a part's vectors that the ranges of all trees must hold together; vectors may be in several ranges.
-ENOUGH = 0.65
+ENOUGH = 1.5
 
 
 def planes(dim: int) -> np.ndarray:
