@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.storage import stored
+from tallyweave.llm.storage import stored, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -34,10 +34,10 @@ def components(edges: DataFrame, first: str, second: str) -> DataFrame:
     joins with them can be split where a node has very many edges.
     """
     high, low = F.greatest(first, second).alias("high"), F.least(first, second).alias("low")
-    current = stored(edges.where(F.col(first) != F.col(second)).select(high, low).distinct())
+    current = written(edges.where(F.col(first) != F.col(second)).select(high, low).distinct())
     mark = _mark(current)
     while mark[0]:
-        current = stored(_small_star(stored(_large_star(current))))
+        current = written(_small_star(stored(_large_star(current))))
         before, mark = mark, _mark(current)
         if before == mark:
             break

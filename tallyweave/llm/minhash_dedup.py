@@ -5,8 +5,9 @@ class and go on as one. A class's sketch is its SKETCH smallest hashes. Inverted
 retained values that several classes hold generate candidate pairs, without writing out all pairs
 of a list: every member meets the list's leader, which is the member whose values are the most
 widespread, and its predecessor when the list is sorted by the values that follow in the sketches.
-Long lists are cut by those following values. Two rounds are run: pairs with leaders, then pairs of
-list neighbours that no common leader has linked yet. The sketch of the union, which both
+Long lists are cut by those following values. Three rounds are run: pairs with leaders, then pairs of
+list neighbours that no common leader has linked yet, then pairs of different components that
+stand within REACH places of each other in several lists. The sketch of the union, which both
 sketches give, estimates the similarity and drops pairs that are far from it; what is left
 is confirmed on the full sets of the whole texts. Components come from the confirmed links.
 
@@ -39,6 +40,10 @@ SKETCH = 32
 LEAST_SHARED = 0.375
 #: Lists longer than this are cut by the next retained value, and ones longer than LONG by the next two.
 LIST, LONG = 256, 4096
+#: In the last round members up to REACH places apart in MEETINGS lists are a candidate pair.
+REACH, MEETINGS = 8, 2
+#: Rows of (rep, digest) that are sent to every executor, 16 bytes each; more are joined by a shuffle.
+SMALL_ROWS = 200_000
 
 
 def _sketched(words: int, sketch: int) -> Callable:
@@ -112,37 +117,70 @@ def _leader_pairs(postings: DataFrame) -> DataFrame:
     return met.selectExpr("leader AS a", "rep AS b").distinct()
 
 
+#: The part of a list in which a member's neighbours are sought.
+_CUT = f"CASE WHEN size > {LONG} THEN xxhash64(one, two) WHEN size > {LIST} THEN xxhash64(one) ELSE 0L END AS cut"
+_PLACE = "OVER (PARTITION BY value, cut ORDER BY one, two, rep)"
+
+
 def _neighbour_pairs(postings: DataFrame) -> DataFrame:
-    cut = f"CASE WHEN size > {LONG} THEN xxhash64(one, two) WHEN size > {LIST} THEN xxhash64(one) ELSE 0L END"
-    before = "lag(rep) OVER (PARTITION BY value, cut ORDER BY one, two, rep)"
-    met = postings.withColumn("cut", F.expr(cut)).selectExpr("rep", f"{before} AS other").where("other IS NOT NULL")
+    met = postings.selectExpr("*", _CUT).selectExpr("rep", f"lag(rep) {_PLACE} AS other").where("other IS NOT NULL")
     return met.selectExpr("least(rep, other) AS a", "greatest(rep, other) AS b").distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes (rep, digest, sketch) that their candidates allow."""
+def _pairs_across(postings: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of different components that stand near each other in several lists.
+
+    Near copies are in one component by now, so few pairs are left however large a group is. A
+    list whose members are all of one component is left out before any sorting. Members that
+    agree in the following values are shuffled anew in every list, so that any two of a family meet.
+    """
+    own = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
+        "value", "rep", "one", "two", "coalesce(component, rep) AS component", _CUT
+    )
+    several = own.groupBy("value", "cut").agg(F.expr("min(component) <> max(component) AS several"))
+    mixed_lists = own.join(stored(several.where("several").drop("several")), ["value", "cut"])
+    place = "OVER (PARTITION BY value, cut ORDER BY one, two, xxhash64(rep, value), rep)"
+    before = ", ".join(f"lag(struct(rep AS other, component AS beside), {k}) {place}" for k in range(1, REACH + 1))
+    met = mixed_lists.selectExpr("rep", "component", f"array({before}) AS others")
+    apart = met.selectExpr("rep", "component", "inline(filter(others, o -> o.beside <> component))")
+    pairs = apart.groupBy(F.expr("least(rep, other) AS a"), F.expr("greatest(rep, other) AS b")).agg(F.count("*").alias("lists"))
+    return pairs.where(f"lists >= {MEETINGS}").select("a", "b")
+
+
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rep, text) for the ends of pairs (a, b)."""
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    wanted = stored(classes.select("rep", "digest").join(ends, "rep"))
+    if wanted.count() <= SMALL_ROWS:
+        wanted = F.broadcast(wanted)
+    whole = docs.selectExpr("doc_id AS rep", "xxhash64(text) AS digest", "text")
+    return stored(whole.join(wanted, ["rep", "digest"]).dropDuplicates(["rep", "digest"]).select("rep", "text"))
+
+
+def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of classes (rep, digest, sketch) by confirmed links between candidates."""
     postings = _postings(classes)
     sketches = classes.select("rep", "sketch")
 
     def likely(pairs: DataFrame) -> DataFrame:
         return stored(_with_both(stored(pairs), sketches, "sketch").mapInArrow(_near(LEAST_SHARED), "a long, b long"))
 
-    led, beside = likely(_leader_pairs(postings)), likely(_neighbour_pairs(postings))
-    ends = led.union(beside)
-    wanted = ends.select(F.col("a").alias("rep")).union(ends.select("b")).distinct()
-    wanted = stored(classes.select("rep", "digest").join(wanted, "rep"))
-    whole = docs.selectExpr("doc_id AS rep", "xxhash64(text) AS digest", "text")
-    texts = stored(whole.join(wanted, ["rep", "digest"]).dropDuplicates(["rep", "digest"]).select("rep", "text"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return stored(_with_both(pairs, texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long"))
 
-    first = confirmed(led)
+    led, beside = likely(_leader_pairs(postings)), likely(_neighbour_pairs(postings))
+    texts = _texts(docs, classes, led.union(beside))
+    first = confirmed(led, texts)
     # Neighbours that the same leader has linked are in one component already.
     leader = stored(first.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("leader")))
     named = beside.join(leader.selectExpr("rep AS a", "leader AS la"), "a", "left").join(leader.selectExpr("rep AS b", "leader AS lb"), "b", "left")
     rest = stored(named.where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"))
-    return first.union(confirmed(rest))
+    found = stored(components(first.union(confirmed(rest, texts)), "a", "b"))
+    across = likely(_pairs_across(postings, found))
+    more = confirmed(across, _texts(docs, classes, across))
+    if more.isEmpty():
+        return found
+    return components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -157,7 +195,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # A doc_id that repeats with another text stands for one class only: the least.
     least = own.groupBy("rep").agg(F.min(F.struct("class", "digest", "sketch")).alias("least"))
     classes = stored(least.select("rep", "least.digest", "least.sketch"))
-    found = components(links(docs, classes, words, percent), "a", "b")
+    found = linked(docs, classes, words, percent)
     placed = groups.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("class", "coalesce(component, rep) AS component")
     joined = rows.select("doc_id", "n_shingles", "class").join(stored(placed), "class", "left")
     component = "IF(doc_id IS NULL, NULL, coalesce(component, doc_id))"

@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
+def _folder(df: DataFrame) -> str:
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return spark.sparkContext.getCheckpointDir()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of df, written once to the shared checkpoint folder and read back from there.
 
     The folder is the one named by spark.checkpoint.dir. Where that is unset, as in tests, it is
     a folder of the SQL warehouse, which all executors share as well.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    _folder(df)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows of df as a Parquet table of the shared checkpoint folder.
+
+    A checkpoint keeps the size estimate of the plan behind it, and a join's estimate is the product
+    of its sides. In a loop the estimate's digits multiply until planning takes longer than the
+    work; a table's size is that of its files.
+    """
+    path = f"{_folder(df)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

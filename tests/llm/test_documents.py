@@ -1,6 +1,7 @@
 """Operators on documents against brute force over the smallest tables, and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 
 from tallyweave.llm import language_id, minhash_dedup, mixing, packing, quality, queries, secret_scan, sharding
+from tallyweave.llm.components import components
 
 
 @pytest.fixture(scope="module")
@@ -164,6 +166,35 @@ def test_near_duplicates_of_a_star_and_a_chain(spark):
     assert got == brute_components(texts, 4)
 
 
+def test_no_link_of_families_at_the_threshold_is_lost(spark):
+    """Copies of copies, most pairs of which lie close to the threshold, and unlike texts that share a passage."""
+    rng = random.Random(5)
+    some = [f"w{k}" for k in range(3000)]
+    texts, passage = [], rng.choices(some, k=40)
+    for _ in range(25):
+        size = rng.choice([30, 60, 120, 300])
+        family = [rng.choices(some, k=size)]
+        for _ in range(rng.choice([3, 10, 40])):
+            copy = list(rng.choice(family if rng.random() < 0.6 else family[:1]))
+            for _ in range(max(1, int(size * rng.choice([0.005, 0.01, 0.02, 0.03])))):
+                copy[rng.randrange(size)] = rng.choice(some)
+            family.append(copy)
+        texts += [" ".join(t) for t in family]
+    texts += [" ".join(passage + rng.choices(some, k=30)) for _ in range(80)]
+    rng.shuffle(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(rows, 4).collect()}
+    assert got == brute_components(dict(enumerate(texts)), 4)
+
+
+def test_components_of_a_long_path(spark):
+    """Many rounds, whose planning must not grow."""
+    order = list(range(300))
+    random.Random(3).shuffle(order)
+    path = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+    assert {tuple(r) for r in components(path, "a", "b").collect()} == {(n, 0) for n in order}
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     rows = minhash_dedup.near_duplicates(odd).collect()
     by = defaultdict(set)
