@@ -494,4 +494,11 @@ def statements() -> dict[str, str]:
         "FROM totals",
         "operational_run": _report_rows(),
     }
-    return found
+    # What a file holds is what the table holds.
+    of_table = {
+        "queue_file": "investigation_queue",
+        "summary_file": "summary",
+        "evaluation_file": "evaluation_comparison",
+        "manifest_file": "operational_run",
+    }
+    return found | {name: found[table] for name, table in of_table.items()}

@@ -43,6 +43,12 @@ def grouped_thousands(value: str, decimals: int = 0) -> str:
     return f"format_number({value}, {decimals})"
 
 
-def percentage(value: str) -> str:
-    """Null stays null; ``format_string`` alone would print it."""
-    return f"IF({value} IS NULL, NULL, format_string('%.2f%%', {value} * 100))"
+def two_decimals(numerator, denominator) -> str:
+    """The exact ratio of two whole numbers as text with two decimals; ties go to the even digit."""
+    ratio = f"CAST({numerator} AS DECIMAL(19,0)) / CAST({denominator} AS DECIMAL(19,0))"
+    return f"CAST(bround({ratio}, 2) AS STRING)"
+
+
+def percentage(part: str, whole: str) -> str:
+    """A share of counts in percent; null where there is nothing to share."""
+    return f"IF({whole} = 0, NULL, concat({two_decimals(f'{part} * 100', whole)}, '%'))"

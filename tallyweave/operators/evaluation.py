@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions import aggregates, named
 from tallyweave.functions.money import GRAND_TOTAL, ratio_or_zero
+from tallyweave.operators.durable import stored
 
 KEYS = ["exception_type", "transaction_id"]
 
@@ -44,9 +45,10 @@ def comparison(truth: DataFrame, detected: DataFrame) -> DataFrame:
 
     Truth may repeat a key and is kept whole. The join is written as a left join plus
     the detections without a label: a left join lets Spark split a hot truth key over
-    tasks, which it cannot do for a full outer join.
+    tasks, which it cannot do for a full outer join. Both joins read the detections from
+    storage, so that they are found once.
     """
-    found = distinct_detections(detected).selectExpr("*", "true AS _found")
+    found = stored(distinct_detections(detected), "detections").selectExpr("*", "true AS _found")
     labels = truth.select(*KEYS, "reference_amount")
     labelled = labels.join(found, KEYS, "left").selectExpr(
         "* EXCEPT (_found)",

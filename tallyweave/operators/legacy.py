@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.config import ReconciliationConfig
-from tallyweave.functions.clock import days_between
+from tallyweave.functions.clock import MICROS_PER_DAY, days_between, micros_between
 from tallyweave.functions.money import AMOUNT, TOTAL
+from tallyweave.functions.text import two_decimals
 from tallyweave.operators.facts import IN_LEDGER, PAIRED, SUCCESS, payment_facts
 from tallyweave.operators.rules import CORE_RULES, RULES_BY_NAME, exception_signals
 from tallyweave.sources.contracts import LEGACY_CONTRACTS, UNKNOWN, typed
@@ -53,8 +54,10 @@ def detections(feeds: dict[str, DataFrame], config: ReconciliationConfig = Recon
         f"'exposure_kind', '{RULES_BY_NAME[name].exposure_kind}', 'reason', {reason}), NULL)"
         for name, (condition, amount, reason) in FINDINGS.items()
     )
+    # Most facts raise nothing and build no detections.
     return (
-        facts.selectExpr("transaction_id", f"inline(array({signals}))")
+        facts.filter(" OR ".join(f"({condition})" for condition, _, _ in FINDINGS.values()))
+        .selectExpr("transaction_id", f"inline(array({signals}))")
         .filter("exception_type IS NOT NULL")
         .select(*COLUMNS)
     )
@@ -62,6 +65,7 @@ def detections(feeds: dict[str, DataFrame], config: ReconciliationConfig = Recon
 
 GATEWAY_SUCCEEDED = f"lower(gateway_status) = '{SUCCESS}'"
 DELAY = days_between("gateway_event_at", "settled_at")
+MICROS = MICROS_PER_DAY.rstrip("D")
 
 # Condition, amount and reason of each rule over one fact row.
 # Wording of the reasons.
@@ -114,7 +118,8 @@ FINDINGS = {
     "settlement_delay": (
         f"{PAIRED} AND {GATEWAY_SUCCEEDED} AND {DELAY} > max_settlement_days",
         "gateway_net",
-        f"format_string('Settlement occurred after %.2f days; maximum allowed is %.2f.', {DELAY}, max_settlement_days)",
+        f"concat('Settlement occurred after ', {two_decimals(micros_between('gateway_event_at', 'settled_at'), MICROS)}, "
+        f"' days; maximum allowed is ', {two_decimals('max_settlement_days * 1000000', 1_000_000)}, '.')",
     ),
 }
 

@@ -16,12 +16,14 @@ from tallyweave.operators.audit import source_counts, table_fingerprint
 from tallyweave.operators.durable import shared_folder
 from tallyweave.operators.evaluation import (
     comparison,
+    evaluate_detections,
     evaluation_by_type,
     evaluation_summary,
     outcome_counts,
 )
 from tallyweave.operators.facts import facts_by_joins, gateway_rollup, payment_facts, settlement_rollup
 from tallyweave.operators.fees import expected_fees, fee_variance
+from tallyweave.operators.legacy import COLUMNS as DETECTION_COLUMNS
 from tallyweave.operators.legacy import detections, detector_differences
 from tallyweave.operators.queue import aging_metrics, investigation_queue, top_cases
 from tallyweave.operators.rules import (
@@ -36,7 +38,7 @@ from tallyweave.operators.rules import (
 )
 from tallyweave.plans import operations, reports
 from tallyweave.sources.contracts import CONTRACTS, INTERNAL, LEGACY_CONTRACTS, typed
-from tallyweave.sources.csv_feeds import read_text_feeds, write_feeds
+from tallyweave.sources.csv_feeds import read_text, read_text_feeds, write_feeds
 from tallyweave.sources.order_feeds import (
     DEFAULT_AS_OF,
     EARLIER_AS_OF,
@@ -196,6 +198,47 @@ def _operational_run(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _read_back(i: Inputs, path: str, like: DataFrame) -> DataFrame:
+    """A written CSV report with the types of the table that it was written from."""
+    text = read_text(i.spark, path)
+    return text.selectExpr(*named({f.name: f"CAST({f.name} AS {f.dataType.simpleString()})" for f in like.schema}))
+
+
+def _scratch(i: Inputs) -> str:
+    return f"{shared_folder(i.spark)}/tallyweave-{uuid.uuid4().hex}"
+
+
+def _queue_file(i: Inputs) -> DataFrame:
+    """The ranked queue as its CSV report holds it."""
+    queue, path = investigation_queue(i.cases), f"{_scratch(i)}/investigation_queue.csv"
+    reports.write_csv(operations.in_report_order("investigation_queue", queue), path)
+    return _read_back(i, path, queue)
+
+
+def _summary_file(i: Inputs) -> DataFrame:
+    """The summary as its JSON document holds it."""
+    summary, path = metrics.summary(i.cases), f"{_scratch(i)}/summary.json"
+    reports.summary_json(summary).write.text(path)
+    return i.spark.read.schema(summary.schema).json(path)
+
+
+def _evaluation_file(i: Inputs) -> DataFrame:
+    """The comparison with labels as its CSV file holds it."""
+    folder, detected = _scratch(i), i.core_detected
+    result = evaluate_detections(i.truth, detected)
+    reports.write_evaluation(detected.select(*DETECTION_COLUMNS), result, folder)
+    return _read_back(i, f"{folder}/truth_vs_detection.csv", result.comparison)
+
+
+def _manifest_file(i: Inputs) -> DataFrame:
+    """Rows of every report as the manifest of a complete, written run holds them."""
+    folder = _scratch(i)
+    reports.write_reports(operations.run_operations(**i.raw, as_of=i.as_of), folder)
+    entries = "from_json(get_json_object(value, '$.outputs'), 'MAP<STRING, STRUCT<rows: BIGINT>>')"
+    written = i.spark.read.text(f"{folder}/manifest.json").selectExpr(f"explode({entries}) AS (report, entry)")
+    return written.selectExpr("report", "entry.rows AS rows")
+
+
 PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "feed_internal": partial(_feed, "internal"),
     "feed_gateway": partial(_feed, "gateway"),
@@ -257,6 +300,10 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "exception_rate_text": lambda i: reports.rate_text(metrics.summary(i.cases)),
     "table_fingerprint": lambda i: table_fingerprint(i.facts, "payment_facts"),
     "operational_run": _operational_run,
+    "queue_file": _queue_file,
+    "summary_file": _summary_file,
+    "evaluation_file": _evaluation_file,
+    "manifest_file": _manifest_file,
 }
 
 

@@ -52,7 +52,7 @@ def _card_text(value: str, money: bool) -> str:
 
 def rate_text(summary: DataFrame) -> DataFrame:
     return summary.selectExpr(
-        f"coalesce({percentage('exception_transaction_rate')}, '{UNDEFINED_RATE}') AS exception_rate"
+        f"coalesce({percentage('exception_transactions', 'observed_transactions')}, '{UNDEFINED_RATE}') AS exception_rate"
     )
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from payments import Payments
+from tallyweave.functions.text import percentage, two_decimals
 from tallyweave.functions.clock import as_utc
 from tallyweave.operators.audit import table_fingerprint
 from tallyweave.plans.operations import Reports, run_operations
@@ -99,3 +100,18 @@ def test_a_second_run_into_the_same_folder(spark, tmp_path):
     with pytest.raises(Exception, match="FAILED_READ_FILE|PATH_ALREADY_EXISTS"):
         write_reports(result, str(tmp_path / "out"))
     assert write_reports(result, str(tmp_path / "out"), overwrite=True) == first
+
+
+def test_two_decimals_are_exact_and_ties_go_to_the_even_digit(spark):
+    day = 86_400_000_000
+    shown = {
+        (3 * day + 3 * 3_600_000_000, day): "3.12",  # 3.125 days
+        (3 * day + 9 * 3_600_000_000, day): "3.38",  # 3.375 days
+        (-3 * 3_600_000_000, day): "-0.12",
+        (3 * day, day): "3.00",
+        (3 * day + 3 * 3_600_000_000 + 1, day): "3.13",
+    }
+    for (part, whole), text in shown.items():
+        assert spark.sql(f"SELECT {two_decimals(part, whole)}").first()[0] == text
+    assert spark.sql(f"SELECT {percentage('1L', '800L')}").first()[0] == "0.12%"
+    assert spark.sql(f"SELECT {percentage('0L', '0L')}").first()[0] is None
