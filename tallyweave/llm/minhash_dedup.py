@@ -11,8 +11,13 @@ stand within REACH places of each other in several lists. The sketch of the unio
 sketches give, estimates the similarity and drops pairs that are far from it; what is left
 is confirmed on the full sets of the whole texts. Components come from the confirmed links.
 
-A pair of similarity s shares no retained value with probability (1 - s) ** SKETCH or less, and
-the estimate drops a true link with a probability below 1e-6 (see LEAST_SHARED).
+These rounds join what is easily joined; a last one finds every link that is left between
+components. It takes the documents that share enough retained values with other components for the estimate to
+pass, orders their full sets by one order of all shingles, rare ones first, and lets documents meet
+in the first shingle that they have in common, as far as what follows it can still reach the similarity (a
+positional prefix filter). The order decides the work only, so it comes from a sample.
+
+The estimate drops a true link with a probability below 1e-6 (see LEAST_SHARED), and nothing else does.
 
 Edge cases: null texts and texts without words have empty sets, which link with nothing; a text with
 fewer words than a shingle is one shingle; copies, in any number, form one class by a
@@ -42,6 +47,10 @@ LEAST_SHARED = 0.375
 LIST, LONG = 256, 4096
 #: In the last round members up to REACH places apart in MEETINGS lists are a candidate pair.
 REACH, MEETINGS = 8, 2
+#: In the exact round a shingle's documents meet in blocks of about BLOCK by BLOCK.
+BLOCK = 1024
+#: Documents that the order of shingles is counted on, and shingles that it ranks as common.
+ORDER_DOCS, COMMON = 32_768, 65_536
 #: Rows of (rep, digest) that are sent to every executor, 16 bytes each; more are joined by a shuffle.
 SMALL_ROWS = 200_000
 
@@ -89,6 +98,35 @@ def _confirmed(words: int, percent: int) -> Callable:
     return run
 
 
+def _shingles(words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in shingle_sets(batch.column(0), words):
+                yield pa.RecordBatch.from_pydict({"value": pa.array(found.view(np.int64))})
+
+    return run
+
+
+def _prefixes(words: int, percent: int, shared) -> Callable:
+    """(rep, component, n, prefix): the first shingles of a set by the common order, one of which any similar set holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, often = shared.value
+        for batch in batches:
+            sizes, prefixes = [], []
+            for found in shingle_sets(batch.column(2), words):
+                place = np.searchsorted(common, found)
+                weight = np.where(common[place] == found, often[place], 0)
+                least = -(-percent * len(found) // 100)
+                sizes.append(len(found))
+                prefixes.append(found[np.argsort(weight, kind="stable")][: len(found) - least + 1].view(np.int64))
+            yield pa.RecordBatch.from_pydict({
+                "rep": batch.column(0), "component": batch.column(1), "n": pa.array(sizes, pa.int64()), "prefix": pa.array(prefixes, pa.list_(pa.int64())),
+            })
+
+    return run
+
+
 def _with_both(pairs: DataFrame, facts: DataFrame, value: str) -> DataFrame:
     """pairs with the value of a and of b, from facts (rep, value)."""
     a = facts.selectExpr("rep AS a", f"{value} AS {value}_a")
@@ -147,6 +185,57 @@ def _pairs_across(postings: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.where(f"lists >= {MEETINGS}").select("a", "b")
 
 
+def _unsettled(postings: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, component) of classes with enough values in lists of several components to pass the estimate with one of another."""
+    own = postings.select("value", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
+        "value", "rep", "coalesce(component, rep) AS component"
+    )
+    mixed = own.groupBy("value").agg(F.expr("min(component) <> max(component) AS several")).where("several").select("value")
+    held = own.join(mixed, "value").groupBy("rep", "component").agg(F.count("*").alias("held"))
+    kept = classes.selectExpr("rep", "size(sketch) AS kept")
+    return stored(held.join(kept, "rep").where(f"held >= {LEAST_SHARED}D * kept").select("rep", "component"))
+
+
+def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample hold, in order, and how many do; led and closed by values that none holds."""
+    share = min(1.0, ORDER_DOCS / max(1, texts.count()))
+    drawn = texts.where(f"pmod(xxhash64(rep), 1000003) < {share}D * 1000003").select("text").mapInArrow(_shingles(words), "value long")
+    counts = drawn.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n")).limit(COMMON).toPandas()
+    values, often = counts["value"].to_numpy(np.int64).view(np.uint64), counts["n"].to_numpy(np.int64)
+    order = values.argsort()
+    # The last place takes what lies above all common values.
+    return np.append(values[order], np.uint64(2**64 - 1)), np.append(often[order], 0)
+
+
+def _exact_pairs(unsettled: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Every pair of different components whose sets can reach the similarity, by a prefix filter over the full sets.
+
+    Two sets of m <= n shingles need percent / (100 + percent) * (m + n) in common, and the first common
+    one stands at most so far from the end in both. So shingles that stand late in the common order,
+    such as those of a template, bring no documents together.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_common_shingles(texts, words))
+    sets = texts.join(unsettled, "rep").select("rep", "component", "text")
+    first = sets.mapInArrow(_prefixes(words, percent, shared), "rep long, component long, n long, prefix array<long>")
+    each = stored(first.selectExpr("rep", "component", "n", "posexplode(prefix) AS (at, value)"))
+    shorter = f"(n - at) * {100 + percent} >= {2 * percent} * n"
+    lists = each.groupBy("value").agg(
+        F.expr(f"CAST(ceil(count_if({shorter}) / {BLOCK}) AS INT) AS homes"),
+        F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT) AS guests"),
+        F.expr("min(component) <> max(component) AS several"),
+    )
+    met = stored(each.join(lists.where("several AND homes > 0").drop("several"), "value"))
+    dealt = "CAST(pmod(xxhash64(rep), {}) AS INT) AS {}"
+    spread = "explode(sequence(0, {} - 1)) AS {}"
+    facts = "rep AS {0}, component AS component_{0}, n AS n_{0}, n - at AS rest_{0}"
+    a, b = (["value", *facts.format(side).split(", ")] for side in "ab")
+    a = met.where(shorter).selectExpr(*a, dealt.format("homes", "h"), spread.format("guests", "g"))
+    b = met.selectExpr(*b, dealt.format("guests", "g"), spread.format("homes", "h"))
+    reached = f"least(rest_a, rest_b) * {100 + percent} >= {percent} * (n_a + n_b)"
+    able = f"component_a <> component_b AND (n_a < n_b OR n_a = n_b AND a < b) AND {reached}"
+    return a.join(b, ["value", "h", "g"]).where(able).select("a", "b").distinct()
+
+
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(rep, text) for the ends of pairs (a, b)."""
     ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
@@ -177,10 +266,18 @@ def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     rest = stored(named.where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"))
     found = stored(components(first.union(confirmed(rest, texts)), "a", "b"))
     across = likely(_pairs_across(postings, found))
-    more = confirmed(across, _texts(docs, classes, across))
-    if more.isEmpty():
+
+    def with_more(found: DataFrame, more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            return found
+        return stored(components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b"))
+
+    found = with_more(found, confirmed(across, _texts(docs, classes, across)))
+    unsettled = _unsettled(postings, classes, found)
+    if unsettled.isEmpty():
         return found
-    return components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b")
+    texts = _texts(docs, classes, unsettled.selectExpr("rep AS a", "rep AS b"))
+    return with_more(found, confirmed(likely(_exact_pairs(unsettled, texts, words, percent)), texts))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

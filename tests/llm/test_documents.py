@@ -187,6 +187,19 @@ def test_no_link_of_families_at_the_threshold_is_lost(spark):
     assert got == brute_components(dict(enumerate(texts)), 4)
 
 
+def test_links_by_a_small_tail_beside_a_large_template(spark):
+    template = " ".join(f"t{k}" for k in range(170))
+    rows, tails = [], 120
+    for k in range(2400):
+        pair = f"p{k // 2}" if k < 2 * tails else f"a{k}"
+        rows.append((k, " ".join([template, *(f"{pair}x{i}" for i in range(9)), *(f"own{k}x{i}" for i in range(21))])))
+    one, two, three = (shingles(rows[k][1], 4) for k in (0, 1, 2))
+    assert len(one & two) / len(one | two) >= 0.8 > len(one & three) / len(one | three)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df, words=4).collect()}
+    assert got == {k: k // 2 * 2 if k < 2 * tails else k for k, _ in rows}
+
+
 def test_components_of_a_long_path(spark):
     """Many rounds, whose planning must not grow."""
     order = list(range(300))
