@@ -5,7 +5,8 @@ long hexadecimal runs. A fourth kind, `entropy`, is found by method: candidate s
 into sliding windows of WINDOW characters, and the Shannon entropy of the characters of each
 window is kept up by counts that change by one character in and one out. Windows above the
 threshold of the candidate's character class are united to spans, unless an allow-list names the
-candidate harmless. Entropy spans that touch a base span are left out; base spans always stay.
+candidate harmless or half of the window is an alphabet in order. Entropy spans that lie within a base span are left
+out, those that reach beyond it stay whole; base spans always stay.
 
 Positions are code points, ends exclusive. A null text is an empty one. Rows are handled one by
 one, so ties, repeated rows, empty tables and further columns change nothing.
@@ -29,14 +30,15 @@ ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 #: Bits a character that a window must exceed, by class; a class is the first whose pattern is the whole candidate.
 CLASSES = (("hex", r"[0-9a-fA-F]+", 3.2), ("alnum", r"[A-Za-z0-9]+", 3.7), ("base64", r"[A-Za-z0-9+/_=-]+", 3.9))
-#: Candidates that are never secrets: no digit or no letter, UUIDs, words joined by signs, dates, alphabets in order.
+#: Candidates that are never secrets: no digit or no letter, UUIDs, words joined by signs, dates.
 ALLOWED = (
     r"[^0-9]+",
     r"[^A-Za-z]+",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"([A-Za-z]+|[0-9]{1,4})([+/_=-]+([A-Za-z]+|[0-9]{1,4}))*[+/_=-]*",
-    r".*(0123456789|abcdefghijkl|ABCDEFGHIJKL).*",
 )
+#: A window that holds half its length of an alphabet in order is no secret; what is joined to the alphabet may be one.
+ORDERED = "|".join(a[k : k + WINDOW // 2] for a in (ALPHABET[:10], ALPHABET[10:36], ALPHABET[36:62]) for k in range(len(a) - WINDOW // 2 + 1))
 
 
 def _q(pattern: str) -> str:
@@ -82,7 +84,7 @@ def _entropy_spans() -> str:
         f" + IF(i > {WINDOW}, {term.format(f'({touched_out} - 1)')} - {term.format(touched_out)}, 0D))"
     )
     moved = f"named_struct('counts', {counted}, 'bits', {bits}, 'spans', s.spans)"
-    hot = f"i >= {WINDOW} AND log2({WINDOW}) - t.bits / {WINDOW} > {limit}"
+    hot = f"i >= {WINDOW} AND log2({WINDOW}) - t.bits / {WINDOW} > {limit} AND NOT substring(c.found, i - {WINDOW - 1}, {WINDOW}) RLIKE '{ORDERED}'"
     start = f"c.start + i - {WINDOW}"
     one = f"named_struct('start', {start}, 'stop', c.start + i, 'kind', 3)"
     joined = f"concat(slice(t.spans, 1, size(t.spans) - 1), array(named_struct('start', element_at(t.spans, -1).start, 'stop', c.start + i, 'kind', 3)))"
@@ -102,7 +104,7 @@ def with_spans(docs: DataFrame, name: str = "secret_spans") -> DataFrame:
     text = docs.withColumn("__text", F.expr("coalesce(text, '')"))
     assign = f"IF(__text RLIKE {_q(ASSIGN_HINT)}, {_spans(ASSIGN, 0, _long_enough())}, CAST(array() AS array<{_SPAN}>))"
     base = text.withColumn("__base", F.expr(f"concat({assign}, {_spans(ACCESS, 1)}, {_spans(HEX, 2)})"))
-    extra = f"filter({_entropy_spans()}, e -> NOT exists(__base, b -> b.start < e.stop AND e.start < b.stop))"
+    extra = f"filter({_entropy_spans()}, e -> NOT exists(__base, b -> b.start <= e.start AND e.stop <= b.stop))"
     order = "(l, r) -> CASE WHEN l.start < r.start THEN -1 WHEN l.start > r.start THEN 1 WHEN l.kind < r.kind THEN -1 WHEN l.kind > r.kind THEN 1 ELSE 0 END"
     return base.withColumn(name, F.expr(f"array_sort(concat(__base, {extra}), {order})")).drop("__text", "__base")
 
