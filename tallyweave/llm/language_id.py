@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from tallyweave.llm.word_hashes import CHUNK_BYTES, LOWER, chunks, text_buffers
 
 ORDER = 3
+#: A language of so many rows is learnt from as many at least, however long they are.
+FEW = 8
 #: Expected bytes of whole texts that a language's model is learnt from: the bound of the sample.
 SAMPLE_BYTES = 1_000_000
 #: Longer contexts than the empty one are kept if the sample holds them this often.
@@ -45,13 +47,26 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def bounded_sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
-    """Whole texts, about sample_bytes a language, each drawn by a hash with the same chance."""
-    sizes = rows.groupBy("lang").agg(F.sum(F.expr("octet_length(text)")).alias("total"))
-    shares = {r["lang"]: min(1.0, sample_bytes / r["total"]) for r in sizes.collect() if r["total"]}
+    """Whole texts, about sample_bytes a language, each drawn by a hash with the same chance; the first FEW by hash always."""
+    able = rows.where("text <> ''")
+    sizes = able.groupBy("lang").agg(F.sum(F.expr("octet_length(text)")).alias("total"), F.count("*").alias("n")).collect()
+    shares = {r["lang"]: min(1.0, sample_bytes / r["total"]) for r in sizes}
     if not shares:
         return rows.where("false").select("lang", "text")
-    chance = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
-    return rows.where(F.expr("pmod(xxhash64(doc_id, text), 1000003) / 1000003D") < chance).select("lang", "text")
+
+    def at(chances: dict):
+        return F.create_map(*[F.lit(x) for pair in chances.items() for x in pair])[F.col("lang")]
+
+    place = F.expr("pmod(xxhash64(doc_id, text), 1000003) / 1000003D")
+    # Where few rows are to be expected, the first ones are sought among some more.
+    rare = {r["lang"]: min(1.0, 16 * FEW / r["n"]) for r in sizes if shares[r["lang"]] < 1 and shares[r["lang"]] * r["n"] < 8 * FEW}
+    if rare:
+        first: dict = {lang: [] for lang in rare}
+        for r in able.select("lang", place.alias("place")).where(F.col("place") < at(rare)).collect():
+            first[r["lang"]].append(r["place"])
+        for lang, places in first.items():
+            shares[lang] = max(shares[lang], *(p + 1e-7 for p in sorted(places)[:FEW]))
+    return able.where(place < at(shares)).select("lang", "text")
 
 
 def _mask(n_bytes: int) -> np.uint32:

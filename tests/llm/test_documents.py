@@ -48,6 +48,15 @@ def test_a_code_length_is_the_sum_of_the_costs_of_its_bytes(spark, docs):
     assert (probabilities.sum(1) < 1 + 256 / 256 + 1e-3).all() and (probabilities > 0).all()
 
 
+def test_every_language_has_rows_in_the_sample(spark):
+    rows = [(k, f"few{n}", f"word {k} of {n}") for n in range(12) for k in range(15)] + [(99, f"few{n}", f"long{n} " * 200_000) for n in range(12)]
+    rows += [(k, "tiny", "one text") for k in range(3)] + [(4, "empty", "")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    drawn = Counter(r.lang for r in language_id.bounded_sample(df, 50_000).collect())
+    assert set(drawn) == {f"few{n}" for n in range(12)} | {"tiny"} and drawn["tiny"] == 3
+    assert all(drawn[f"few{n}"] >= language_id.FEW for n in range(12))
+
+
 def test_odd_rows_keep_their_columns_and_get_a_language(odd, none):
     model = language_id.learnt(odd)
     rows = language_id.identify(odd, model).collect()
