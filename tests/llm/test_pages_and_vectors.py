@@ -23,6 +23,20 @@ def test_lines_of_a_page():
     assert [x.text for x in html_text.lines_of("plain <b>text")] == ["plain text"]
 
 
+def test_only_real_marks_drop_an_element():
+    kept = [
+        '<body style="overflow:hidden">', '<main style="overflow-x: hidden">', '<a href="/hidden-gems" title="The hidden valley">', '<body class="has-sidebar">',
+        '<main class="site-main has-sidebar">', '<div class="content no-comments">', '<div class="post category-social">', '<div class="post-header">',
+        '<section class="related-work">', '<article class="post header">', '<main id="search">', '<div hidden="until-found">', '<div title="display:none">',
+    ]
+    gone = [
+        "<div hidden>", '<div hidden="">', '<p style="color:red; display: none">', '<div style="visibility:hidden">', '<div class="x sidebar">', '<div role="navigation">',
+        '<div class="site-header">', '<div id="comments_list">', '<div class="ad-300x250">', '<article hidden>', '<div class="top_nav">',
+    ]
+    assert [x for x in kept if [line.text for line in html_text.lines_of(x + "Text of it")] != ["Text of it"]] == []
+    assert [x for x in gone if html_text.lines_of(x + "Text of it")] == []
+
+
 def test_longest_common_subsequences():
     draw = random.Random(3)
 
