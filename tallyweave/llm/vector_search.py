@@ -3,8 +3,8 @@
 A vector's hash string in a tree is LENGTH bits: on which side of as many random planes it lies. A tree
 is the sorted array of the strings of its vectors, so vectors with a common prefix stand together.
 A query descends each tree to its longest matching prefix by binary search. Then all trees ascend
-together, one bit at a time, until the ranges under the query's prefixes hold enough candidates;
-distances to these are computed exactly, in double precision.
+together, one bit at a time, until the ranges under the query's prefixes hold enough candidates,
+and enough different ones besides the query's own rows; distances to these are computed exactly, in double precision.
 
 The forest is kept in parts of PART vectors each, dealt by hash, and every block of queries asks
 every part: parts and query blocks have a fixed size, so a task's memory does not grow with the
@@ -61,8 +61,8 @@ class Forest:
         high = np.stack([np.searchsorted(s, q | free, "right") for s, q in zip(self.sorted, strings)])
         return low, high
 
-    def candidates(self, queries: np.ndarray, enough: int) -> list[np.ndarray]:
-        """Places of the candidates of each query."""
+    def candidates(self, queries: np.ndarray, enough: int, others: np.ndarray, least: int) -> list[np.ndarray]:
+        """Places of the candidates of each query: at least least of its row of others, or all of them."""
         strings = hash_strings(queries, self.centre)
         found: list[np.ndarray] = [np.zeros(0, int)] * len(queries)
         climbing = np.arange(len(queries))
@@ -70,10 +70,15 @@ class Forest:
             low, high = self.ranges(strings[:, climbing], length)
             done = (high - low).sum(0) >= enough if length else np.ones(len(climbing), bool)
             for k in np.flatnonzero(done):
+                if not length:
+                    found[climbing[k]] = np.flatnonzero(others[climbing[k]])
+                    continue
                 inside = np.zeros(self.n, bool)
                 for tree in range(TREES):
                     inside[self.order[tree, low[tree, k] : high[tree, k]]] = True
+                inside &= others[climbing[k]]
                 found[climbing[k]] = np.flatnonzero(inside)
+                done[k] = inside.sum() >= min(least, others[climbing[k]].sum())
             climbing = climbing[~done]
             if not len(climbing):
                 break
@@ -90,8 +95,8 @@ def _answered(nearest: int, share: float) -> Callable:
             y, asked = matrix(queries["embedding"]), queries["vec_id"].to_numpy()
             forest = Forest(x, x.mean(0))
             enough = min(TREES * len(x), max(int(share * len(x)), 4 * nearest))
-            for query, vector, places in zip(asked, y, forest.candidates(y, enough)):
-                places = places[ids[places] != query]
+            others = ids[None] != asked[:, None]
+            for query, vector, places in zip(asked, y, forest.candidates(y, enough, others, 4 * nearest)):
                 distance = np.sqrt(((x[places] - vector) ** 2).sum(1))
                 best = np.lexsort((ids[places], distance))[:nearest]
                 out.append(pd.DataFrame({"query_id": query, "vec_id": ids[places[best]], "score": distance[best]}))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 
 from tallyweave.llm import html_text, queries, vector_dedup, vector_search
 from tallyweave.llm.components import components
@@ -131,6 +132,14 @@ def test_vector_links_equal_brute_force(spark):
     assert vector_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_small_tables_answer_with_all_there_is():
+    draw = np.random.default_rng(4)
+    for n in range(3, 31):
+        frame = pd.DataFrame({"vec_id": range(n), "embedding": list(draw.standard_normal((n, 64))), "asks": False})
+        out = vector_search._answered(10, vector_search.ENOUGH)((0, 0), pd.concat([frame, frame.assign(asks=True)]))
+        assert (out.groupby("query_id").size() == min(10, n - 1)).all() and out["query_id"].nunique() == n
+
+
 def test_nearest_vectors(spark, sf, found):
     rows, df = vectors(spark)
     able = [x for x in usable(rows) if len(x[1]) == 16]
