@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm.components import components
 from tallyweave.llm.storage import stored
-from tallyweave.llm.vector_blocks import matrix, valid
+from tallyweave.llm.vector_blocks import VALID, matrix, valid
 
 WORDS = 8
 CODEBOOK_ROWS = 4096
@@ -209,5 +209,6 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, words: int = WORDS
     smallest = stored(facts.groupBy("component").agg(F.min("least").alias("component_id")))
     facts = stored(facts.join(smallest, "component").select("label", "embedding", "n_links", "component_id"))
     placed = able.select("vec_id", "label", "embedding").join(facts, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
-    unable = every.join(able.select("vec_id").distinct(), "vec_id", "left_anti").selectExpr("vec_id", "0L AS n_links", "vec_id AS component_id")
+    usable = f"label IS NOT NULL AND {VALID.format(v='embedding')}"
+    unable = every.where(f"NOT coalesce({usable}, false)").selectExpr("vec_id", "0L AS n_links", "vec_id AS component_id")
     return placed.union(unable).selectExpr("vec_id", "n_links", "component_id", "coalesce(vec_id = component_id, true) AS kept")

@@ -132,6 +132,13 @@ def test_vector_links_equal_brute_force(spark):
     assert vector_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_a_repeated_vec_id_keeps_its_unusable_row(spark):
+    rows = [(1, [1.0, 2.0], 0), (1, None, 0), (1, [0.0, 0.0], 0), (1, [1.0, 2.0], None), (2, [1.0, 2.0], 0), (3, [float("nan"), 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links) for r in vector_dedup.near_duplicates(df).collect())
+    assert got == [(1, 0), (1, 0), (1, 0), (1, 1), (2, 1), (3, 0)]
+
+
 def test_small_tables_answer_with_all_there_is():
     draw = np.random.default_rng(4)
     for n in range(3, 31):
