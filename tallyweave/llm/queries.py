@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm import (
+    conversation_repair,
     html_text,
     language_id,
+    merkle,
     minhash_dedup,
     mixing,
     packing,
@@ -87,10 +89,24 @@ def op10_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.nearest(table(spark, folder, "embeddings"), "vec_id % 100 = 0")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = [c if c != "text" else f"translate(text, '{upper}', '{upper.lower()}')" for c in docs.columns]
+    tampered = f"IF(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 0, {merkle.leaf_digest(lowered)}, NULL)"
+    return merkle.verified(merkle.manifest(docs, tampered=tampered))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_language_id, op2_secret_scan, op3_html_text, op4_quality, op5_sharding, op6_vector_dedup,
         op7_minhash_dedup, op8_packing, op9_mixing, op10_vector_search,
+        op11_conversation_repair, op13_merkle_manifest,
     )
     return {f.__name__: f for f in operators}
 

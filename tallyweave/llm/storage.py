@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def _folder(df: DataFrame) -> str:
+def shared_folder(df: DataFrame) -> str:
+    """The folder named by spark.checkpoint.dir, or one of the SQL warehouse where that is unset, as in tests."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -16,12 +17,8 @@ def _folder(df: DataFrame) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows of df, written once to the shared checkpoint folder and read back from there.
-
-    The folder is the one named by spark.checkpoint.dir. Where that is unset, as in tests, it is
-    a folder of the SQL warehouse, which all executors share as well.
-    """
-    _folder(df)
+    """The rows of df, written once to the shared checkpoint folder and read back from there."""
+    shared_folder(df)
     return df.checkpoint()
 
 
@@ -32,6 +29,6 @@ def written(df: DataFrame) -> DataFrame:
     of its sides. In a loop the estimate's digits multiply until planning takes longer than the
     work; a table's size is that of its files.
     """
-    path = f"{_folder(df)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
