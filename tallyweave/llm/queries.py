@@ -17,6 +17,7 @@ from tallyweave.llm import (
     mixing,
     packing,
     quality,
+    repeated_passages,
     secret_scan,
     sharding,
     vector_dedup,
@@ -94,6 +95,11 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
 
 
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_passages.repeats(table(spark, folder, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -106,7 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_language_id, op2_secret_scan, op3_html_text, op4_quality, op5_sharding, op6_vector_dedup,
         op7_minhash_dedup, op8_packing, op9_mixing, op10_vector_search,
-        op11_conversation_repair, op13_merkle_manifest,
+        op11_conversation_repair, op12_suffix_dedup, op13_merkle_manifest,
     )
     return {f.__name__: f for f in operators}
 
