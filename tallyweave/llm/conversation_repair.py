@@ -161,27 +161,32 @@ _SOLVED = pa.schema([
 ])
 
 
-def faults(rows: DataFrame) -> DataFrame:
-    """rows (conv_id, turn, role, text) with conv, at, text and role without nulls, and blank, duplicate, truncated: a row's first fault."""
+def placed(rows: DataFrame) -> DataFrame:
+    """rows (conv_id, turn, role, text) with conv and at, their conversation and place in it, and role and text without nulls."""
     conv = "IF(conv_id IS NULL, '', concat('1', CAST(conv_id AS STRING))) AS conv"
     clean = rows.selectExpr("*", conv).drop("conv_id").withColumns({c: F.expr(f"coalesce({c}, ' ')") for c in ("role", "text")})
-    placed = stored(numbered(clean, "conv", ["turn", "role", "text"], "at").withColumn("same", F.expr("sha2(concat(length(role), ':', role, text), 256)")))
-    firsts = placed.groupBy("conv", "same").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
-    met = placed.join(firsts, ["conv", "same"], "left")
-    signs = r"text NOT RLIKE '[^\\x20\\x09-\\x0D]' AS blank"
-    ends = r"text RLIKE '[.!?][\\x20\\x09-\\x0D]*\\z' AS ended"
-    judged = met.selectExpr("*", signs, ends, "coalesce(first < at, false) AS again")
+    return numbered(clean, "conv", ["turn", "role", "text"], "at")
+
+
+def faults(ordered: DataFrame) -> DataFrame:
+    """(conv, at, turn, initial) of placed rows and blank, duplicate, truncated: a row's first fault. Texts stay behind."""
+    narrow = ordered.selectExpr(
+        "conv", "at", "turn", "left(role, 1) AS initial", "sha2(concat(length(role), ':', role, text), 256) AS same",
+        r"text NOT RLIKE '[^\\x20\\x09-\\x0D]' AS blank", r"text RLIKE '[.!?][\\x20\\x09-\\x0D]*\\z' AS ended",
+    )
+    firsts = narrow.groupBy("conv", "same").agg(F.min("at").alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
+    judged = narrow.join(firsts, ["conv", "same"], "left").withColumn("again", F.expr("coalesce(first < at, false)"))
     return judged.selectExpr(
-        "conv", "at", "turn", "role", "text", "blank", "NOT blank AND again AS duplicate", "NOT blank AND NOT again AND NOT ended AS truncated"
+        "conv", "at", "turn", "initial", "blank", "NOT blank AND again AS duplicate", "NOT blank AND NOT again AND NOT ended AS truncated"
     )
 
 
 def solved(judged: DataFrame) -> DataFrame:
     """(conv, cost, audit, illegal, steps, end, rows) by conversation; steps are cut by segment."""
-    initial = f"coalesce(nullif(locate(left(role, 1), '{INITIALS}'), 0) - 1, 3)"
+    initial = f"coalesce(nullif(locate(initial, '{INITIALS}'), 0) - 1, 3)"
     fault = f"CASE WHEN blank OR duplicate THEN {FAULTY} WHEN truncated THEN {TRUNCATED} ELSE {SOUND} END"
     # An empty role is found at the first place by locate.
-    code = f"substring('{CODES}', IF(role = '', 3, {initial}) * 3 + {fault} + 1, 1) AS code"
+    code = f"substring('{CODES}', IF(initial = '', 3, {initial}) * 3 + {fault} + 1, 1) AS code"
     coded = judged.selectExpr("conv", "at", f"at div {SEGMENT} AS seg", code)
     joined = "array_join(transform(array_sort(collect_list(struct(at, code))), c -> c.code), '') AS codes"
     segments = coded.groupBy("conv", "seg").agg(F.expr(joined))
@@ -190,10 +195,10 @@ def solved(judged: DataFrame) -> DataFrame:
     return stored(whole.mapInArrow(_solved, schema))
 
 
-def lines(judged: DataFrame, repairs: DataFrame) -> DataFrame:
+def lines(ordered: DataFrame, repairs: DataFrame) -> DataFrame:
     """The repaired rows: (conv, at, place, turn, role, text), in order of at and place; inserted rows have no turn and no text."""
     by_segment = repairs.selectExpr("conv", "posexplode(steps) AS (seg, edits)").selectExpr("conv", "CAST(seg AS BIGINT) AS seg", "edits")
-    edited = judged.withColumn("seg", F.expr(f"at div {SEGMENT}")).join(by_segment, ["conv", "seg"]).selectExpr(
+    edited = ordered.withColumn("seg", F.expr(f"at div {SEGMENT}")).join(by_segment, ["conv", "seg"]).selectExpr(
         "conv", "at", "turn", "role", "text", f"locate(substring(edits, CAST(at % {SEGMENT} AS INT) + 1, 1), '{STEPS}') - 1 AS step",
         "true AS own",
     )
@@ -244,13 +249,14 @@ def damaged(conversations: DataFrame) -> DataFrame:
 
 def report(conversations: DataFrame, rows: DataFrame) -> DataFrame:
     """One row for each conv_id of conversations on the repair of rows, which are conversations or what became of them."""
-    judged = stored(faults(rows.select("conv_id", "turn", "role", "text")))
+    ordered = placed(rows.select("conv_id", "turn", "role", "text"))
+    judged = stored(faults(ordered))
     repairs = solved(judged)
     counts = judged.groupBy("conv").agg(
         F.expr("coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0L) AS gaps"),
         *[F.expr(f"count_if({fault}) AS {fault}") for fault in ("blank", "duplicate", "truncated")],
     )
-    found = stored(counts).join(repairs.select("conv", "illegal", "cost", "audit"), "conv").join(stored(digests(lines(judged, repairs))), "conv", "left")
+    found = stored(counts).join(repairs.select("conv", "illegal", "cost", "audit"), "conv").join(stored(digests(lines(ordered, repairs))), "conv", "left")
     every = conversations.select("conv_id").distinct().selectExpr("conv_id", "IF(conv_id IS NULL, '', concat('1', CAST(conv_id AS STRING))) AS conv")
     numbers = [f"coalesce({c}, 0L) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return every.join(found, "conv", "left").selectExpr(

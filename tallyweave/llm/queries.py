@@ -115,8 +115,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op11_conversation_repair, op12_suffix_dedup, op13_merkle_manifest,
     )
     return {f.__name__: f for f in operators}
-
-
-def statements() -> dict[str, str]:
-    """Oracle SQL where DuckDB can express a query."""
-    return {}
