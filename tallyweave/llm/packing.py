@@ -9,28 +9,32 @@ best packing of every island moves on to the next island of its group, and after
 best of all is taken. Bins that a group could not fill well are opened again and their pieces
 are packed once more in new groups, so that a group's leftovers meet those of others.
 
-Words repeat far more often than they differ, so a worker remembers the ids of the words it has
-met. Edge cases: null and empty texts are a piece of the closing id 0 alone; documents longer than a
+Words repeat far more often than they differ: the words of a slice of texts are hashed, each distinct word is looked
+up once among those that a worker remembers, and the ids of the slice are gathered in one step. Slices and memory are
+bounded in bytes, so neither large batches nor long texts add to them (a single text is read whole). Edge cases: null and empty texts are a piece of the closing id 0 alone; documents longer than a
 sequence are cut; repeated rows are packed each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
 import random
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.llm.storage import stored
+from tallyweave.llm.word_hashes import chunks, text_buffers, words_in
 
 SEQUENCE = 2048
 GROUP = 2048
@@ -40,79 +44,150 @@ POPULATION = 4
 GENERATIONS = 5
 #: Bins filled less than this are opened again after the first packing.
 WELL_FILLED = 0.995
-#: Words that a worker remembers the ids of; a bound of memory, without effect on results.
-REMEMBERED = 700_000
+#: Words that a worker remembers the ids of, about 40 bytes each, and parts of words, about 250 bytes each: bounds of
+#: memory, without effect on results.
+REMEMBERED, REMEMBERED_PIECES = 2_000_000, 150_000
 
-#: Fixed pattern of the vocabulary's pieces, for words of the characters below U+0100.
-PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\\sa-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+#: Fixed pattern of the vocabulary's pieces, for words of the characters below U+0100; words stand one a line.
+PIECE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\\sa-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
 #: Words that the tokenizer itself must read: characters from U+0100, controls, other spaces, special tokens.
-UNUSUAL = re.compile("[^\x21-\x7e\xa1-\xff]|<\\|")
+UNUSUAL = re.compile("[^\n\x21-\x7e\xa1-\xff]|<\\|")
 
 
-class Words(dict):
-    """Ids of white-space separated words; a word's ids do not depend on its neighbours."""
+#: The vocabulary's own settings that the patterns above restate. Any other vocabulary file reads whole texts by itself.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+class Words:
+    """Ids of white-space separated words, by hash; a word's ids do not depend on its neighbours."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, tuple] = {}
+        settings = json.loads(self.tokenizer.to_str())
+        normalizers = [n["type"] for n in (settings["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (settings["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_word = normalizers == NORMALIZERS and splits[:1] == [SPLIT] and settings["model"]["type"] == "BPE"
+        self.model = self.tokenizer.model
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(printed)]
         self.shown = {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-    def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.pieces.clear()
-        text = word.decode("utf-8")
-        if UNUSUAL.search(text):
-            ids = tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            found = PIECE.findall(text.lower())
-            ids = self.piece(found[0]) if len(found) == 1 else sum(map(self.piece, found), ())
-        self[word] = ids
-        return ids
-
-    def piece(self, piece: str) -> tuple:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            shown = piece if piece.isascii() else "".join(self.shown[b] for b in piece.encode("utf-8"))
-            ids = self.pieces[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(shown))
-        return ids
-
-
+        self.forget()
+
+    def forget(self) -> None:
+        """Known words: their hashes in order, where the ids of each begin, and how many they are."""
+        self.hashes, self.first, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.pieces = array("I"), {}
+
+    def piece(self, piece: str) -> list[int]:
+        shown = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.shown)
+        return list(map(_ID, self.model.tokenize(shown)))
+
+    def ids(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word."""
+        joined = b"\n".join(words).decode("utf-8")
+        if UNUSUAL.search(joined):
+            return self.mixed(words)
+        found, current, pieces = [], [], self.pieces
+        if len(pieces) > REMEMBERED_PIECES:
+            pieces.clear()
+        for piece in PIECE.findall(joined.lower()):
+            if piece == "\n":
+                found.append(current)
+                current = []
+                continue
+            ids = pieces.get(piece)
+            if ids is None:
+                ids = pieces[piece] = self.piece(piece)
+            current += ids
+        return [*found, current]
+
+    def mixed(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of words some of which the tokenizer itself must read."""
+        texts = [word.decode("utf-8") for word in words]
+        odd = [UNUSUAL.search(text) is not None for text in texts]
+        plain = iter(self.ids([word for word, is_odd in zip(words, odd) if not is_odd]) if not all(odd) else ())
+        return [self.tokenizer.encode(text, add_special_tokens=False).ids if is_odd else next(plain) for text, is_odd in zip(texts, odd)]
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Remember the ids of words whose hashes, in ascending order, are not known yet."""
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        counts = []
+        begin = len(self.pool)
+        for k in range(0, len(words), 500):
+            for ids in self.ids(words[k : k + 500]):
+                self.pool.extend(ids)
+                counts.append(len(ids))
+        counts = np.array(counts, np.int32)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.first = np.insert(self.first, at, begin + np.cumsum(counts) - counts)
+        self.counts = np.insert(self.counts, at, counts)
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        return self.hashes[at] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
+
+    def texts(self, part: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each text of part, with the closing 0."""
+        if not self.by_word:
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                yield np.array([*self.tokenizer.encode(part[a:b].tobytes().decode("utf-8"), add_special_tokens=False).ids, 0], "<u4")
+            return
+        hashes, begins, ends = words_in(part, bounds)
+        unique, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        new = self.missing(unique)
+        if new.any():
+            raw = part.tobytes()
+            self.learn(unique[new], [raw[a:b] for a, b in zip(begins[sample[new]].tolist(), ends[sample[new]].tolist())])
+            # All are known now, unless the memory was full and has been emptied.
+            again = self.missing(unique)
+            if again.any():
+                self.learn(unique[again], [raw[a:b] for a, b in zip(begins[sample[again]].tolist(), ends[sample[again]].tolist())])
+        places = np.searchsorted(self.hashes, unique)[inverse]
+        counts = self.counts[places]
+        upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+        pool = np.frombuffer(self.pool, "<u4") if len(self.pool) else np.zeros(0, "<u4")
+        ids = pool[np.repeat(self.first[places] - upto[:-1], counts) + np.arange(upto[-1])]
+        # The pool cannot grow while it is looked at.
+        del pool
+        edges = upto[np.searchsorted(begins, bounds)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield np.append(ids[a:b], np.uint32(0)).astype("<u4", copy=False)
+
+
+_ID = attrgetter("id")
 _WORDS: dict[str, Words] = {}
 
 
 def ids_of(text: bytes, words: Words) -> np.ndarray:
     """The ids of a text and the closing 0."""
-    flat: list[int] = []
-    for ids in map(words.__getitem__, text.split()):
-        flat += ids
-    flat.append(0)
-    return np.array(flat, "<u4")
+    return next(words.texts(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
 
 
 def _cut(path: str, sequence: int, columns: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WORDS.setdefault(path, None) or Words(path)
-        _WORDS[path] = words
+        if path not in _WORDS:
+            _WORDS[path] = Words(path)
         for batch in batches:
-            rows, piece, start, length, crc = [], [], [], [], []
-            for k, text in enumerate(pc.fill_null(batch.column("__text").cast(pa.large_binary()), b"").to_pylist()):
-                ids = ids_of(text, words)
-                for number, at in enumerate(range(0, len(ids), sequence)):
-                    part = ids[at : at + sequence]
-                    rows.append(k)
-                    piece.append(number)
-                    start.append(at)
-                    length.append(len(part))
-                    crc.append(zlib.crc32(part.tobytes()))
-            at = pa.array(rows, pa.int64())
-            numbers = [pa.array(x, pa.int64()) for x in (piece, start, length, crc)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in columns), *numbers], [*columns, *PIECE_COLUMNS])
+            data, starts = text_buffers(batch.column("__text"))
+            for begin, end in chunks(starts):
+                rows, piece, start, length, crc = [], [], [], [], []
+                local = starts[begin : end + 1] - starts[begin]
+                for k, ids in enumerate(_WORDS[path].texts(data[starts[begin] : starts[end]], local), begin):
+                    for number, at in enumerate(range(0, len(ids), sequence)):
+                        part = ids[at : at + sequence]
+                        rows.append(k)
+                        piece.append(number)
+                        start.append(at)
+                        length.append(len(part))
+                        crc.append(zlib.crc32(part.tobytes()))
+                at = pa.array(rows, pa.int64())
+                numbers = [pa.array(x, pa.int64()) for x in (piece, start, length, crc)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in columns), *numbers], [*columns, *PIECE_COLUMNS])
 
     return run
 

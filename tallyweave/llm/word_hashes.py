@@ -49,30 +49,33 @@ def chunks(starts: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def words_in(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and end position of every word of part; no word crosses one of bounds."""
+    if not len(part):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    space = _SPACE[part]
+    edge = np.zeros(len(part) + 1, dtype=bool)
+    edge[bounds] = True
+    begins = np.flatnonzero(~space & (edge[:-1] | np.concatenate(([True], space[:-1]))))
+    ends = np.flatnonzero(~space & (edge[1:] | np.concatenate((space[1:], [True])))) + 1
+    with np.errstate(over="ignore"):
+        powers = np.full(len(part) + 1, _BASE)
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_CODES[part] * powers[:-1], out=sums[1:])
+        powers[:] = _BASE_INVERSE
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        return mixed((sums[ends] - sums[begins]) * powers[begins]), begins, ends
+
+
 def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For runs of texts: the first text's position, the hashes of all words, and where each text's words begin."""
     data, starts = text_buffers(column)
     for first, last in chunks(starts):
         local = starts[first : last + 1] - starts[first]
-        part = LOWER[data[starts[first] : starts[last]]]
-        if not len(part):
-            yield first, np.zeros(0, np.uint64), np.zeros(last - first + 1, np.int64)
-            continue
-        space = _SPACE[part]
-        edge = np.zeros(len(part) + 1, dtype=bool)
-        edge[local] = True
-        begins = np.flatnonzero(~space & (edge[:-1] | np.concatenate(([True], space[:-1]))))
-        ends = np.flatnonzero(~space & (edge[1:] | np.concatenate((space[1:], [True])))) + 1
-        with np.errstate(over="ignore"):
-            powers = np.full(len(part) + 1, _BASE)
-            powers[0] = 1
-            np.multiply.accumulate(powers, out=powers)
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_CODES[part] * powers[:-1], out=sums[1:])
-            powers[:] = _BASE_INVERSE
-            powers[0] = 1
-            np.multiply.accumulate(powers, out=powers)
-            hashes = mixed((sums[ends] - sums[begins]) * powers[begins])
+        hashes, begins, _ = words_in(LOWER[data[starts[first] : starts[last]]], local)
         yield first, hashes, np.searchsorted(begins, local)
 
 
