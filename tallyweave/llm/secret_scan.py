@@ -35,8 +35,10 @@ ALLOWED = (
     r"[^0-9]+",
     r"[^A-Za-z]+",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"([A-Za-z]+|[0-9]{1,4})([+/_=-]+([A-Za-z]+|[0-9]{1,4}))*[+/_=-]*",
 )
+JOINED_PART = r"^([A-Za-z]+|[0-9]{1,4})?$"
+#: Windows of a candidate that are counted in one go, and matches of a text that are placed in one go.
+STRETCH, BLOCK = 256, 64
 #: A window that holds half its length of an alphabet in order is no secret; what is joined to the alphabet may be one.
 ORDERED = "|".join(a[k : k + WINDOW // 2] for a in (ALPHABET[:10], ALPHABET[10:36], ALPHABET[36:62]) for k in range(len(a) - WINDOW // 2 + 1))
 
@@ -47,18 +49,27 @@ def _q(pattern: str) -> str:
 
 
 def _starts(pattern: str) -> str:
-    """The matches of a pattern in __text with their first positions, as an array of (start, found)."""
+    """The matches of a pattern in __text with their first positions, as an array of (start, found).
+
+    Positions are sums of lengths, formed by block of BLOCK matches first, so that many matches in one text cost little more than few.
+    """
     gaps, found = f"split(__text, {_q(pattern)})", f"regexp_extract_all(__text, {_q(pattern)}, 0)"
-    placed = (
-        f"aggregate(zip_with({found}, slice({gaps}, 1, size({gaps}) - 1), (f, g) -> named_struct('found', f, 'gap', g)), "
-        "named_struct('at', 0, 'out', CAST(array() AS array<struct<start:int,found:string>>)), "
-        "(s, m) -> named_struct('at', s.at + length(m.gap) + length(m.found), "
-        "'out', concat(s.out, array(named_struct('start', s.at + length(m.gap), 'found', m.found)))), s -> s.out)"
+    parts = f"zip_with({found}, slice({gaps}, 1, size({gaps}) - 1), (f, g) -> named_struct('found', f, 'gap', length(g), 'all', length(g) + length(f)))"
+    blocks = f"transform(array({parts}), a -> transform(sequence(0, (size(a) - 1) div {BLOCK}), b -> slice(a, b * {BLOCK} + 1, {BLOCK})))[0]"
+    none = "CAST(array() AS array<struct<at:int,parts:array<struct<found:string,gap:int,all:int>>>>)"
+    offsets = (
+        f"aggregate({blocks}, named_struct('at', 0, 'out', {none}), (s, b) -> named_struct('at', s.at + aggregate(b, 0, (n, m) -> n + m.all), "
+        "'out', concat(s.out, array(named_struct('at', s.at, 'parts', b)))), s -> s.out)"
+    )
+    inside = (
+        "aggregate(b.parts, named_struct('at', b.at, 'out', CAST(array() AS array<struct<start:int,found:string>>)), "
+        "(s, m) -> named_struct('at', s.at + m.all, 'out', concat(s.out, array(named_struct('start', s.at + m.gap, 'found', m.found)))), s -> s.out)"
     )
-    return f"IF(__text RLIKE {_q(pattern)}, {placed}, CAST(array() AS array<struct<start:int,found:string>>))"
+    return f"IF(__text RLIKE {_q(pattern)}, flatten(transform({offsets}, b -> {inside})), CAST(array() AS array<struct<start:int,found:string>>))"
 
 
 _SPAN = "struct<start:int,stop:int,kind:int>"
+_NO_SPANS = f"CAST(array() AS array<{_SPAN}>)"
 
 
 def _spans(pattern: str, kind: int, keep: str = "true") -> str:
@@ -66,33 +77,45 @@ def _spans(pattern: str, kind: int, keep: str = "true") -> str:
     return f"transform(filter({_starts(pattern)}, m -> {keep}), m -> {span})"
 
 
+def _allowed() -> str:
+    """Whether a candidate is on the allow-list. Words joined by signs are told part by part: a repeated group would recurse once a part."""
+    words = f"(c.found RLIKE '^[A-Za-z0-9]' AND forall(split(c.found, '[+/_=-]+'), p -> p RLIKE {_q(JOINED_PART)}))"
+    return " OR ".join([f"c.found RLIKE {_q(f'^({p})$')}" for p in ALLOWED] + [words])
+
+
 def _entropy_spans() -> str:
-    """Unions of the windows of a candidate whose entropy exceeds its class's threshold."""
+    """Unions of the windows of a candidate whose entropy exceeds its class's threshold.
+
+    A candidate is cut into stretches that overlap by a window less one character, so every window lies in one
+    stretch and the work grows with the length of a candidate, not with its square.
+    """
     limit = "CASE " + " ".join(f"WHEN c.found RLIKE {_q(f'^{p}$')} THEN {x}D" for _, p, x in CLASSES) + " ELSE 99D END"
-    allowed = " OR ".join(f"c.found RLIKE {_q(f'^({p})$')}" for p in ALLOWED)
-    place = f"locate(substring(c.found, {{}}, 1), '{ALPHABET}')"
-    # counts[k]: how often the k-th sign stands in the window; bits: sum of n log2 n over the counts.
+    cut = f"named_struct('start', c.start, 'limit', {limit}, 'pieces', regexp_extract_all(c.found, '.{{1,{STRETCH}}}', 0))"
+    text = f"concat(c.pieces[k], coalesce(left(get(c.pieces, k + 1), {WINDOW - 1}), ''))"
+    stretch = f"transform(array({text}), x -> named_struct('start', c.start + k * {STRETCH}, 'limit', c.limit, 'text', x, 'signs', split(x, ''), 'ordered', x RLIKE '{ORDERED}'))[0]"
+    stretches = f"flatten(transform(transform(filter({_starts(CANDIDATE)}, c -> NOT ({_allowed()})), c -> {cut}), c -> transform(sequence(0, size(c.pieces) - 1), k -> {stretch})))"
+    # One sign goes into the window and one out, and only the counts of these two change; bits is the sum of n log2 n over the counts.
+    into, out = "c.signs[i - 1]", f"c.signs[i - {WINDOW + 1}]"
+    window = f"substring(c.text, greatest(1, i - {WINDOW}), least({WINDOW}, i - 1))"
+    count = "(length(w) - length(replace(w, {})))"
     term = "IF({0} > 0, {0} * log2({0}), 0D)"
-    into, out = place.format("i"), place.format(f"i - {WINDOW}")
-    counted = (
-        f"transform(s.counts, (n, k) -> n + IF(k + 1 = {into}, 1, 0) - IF(i > {WINDOW} AND k + 1 = {out}, 1, 0))"
-    )
-    touched_in, touched_out = f"element_at(s.counts, {into})", f"element_at(s.counts, {out})"
-    same = f"i > {WINDOW} AND {into} = {out}"
-    bits = (
-        f"s.bits + IF({same}, 0D, {term.format(f'({touched_in} + 1)')} - {term.format(touched_in)}"
-        f" + IF(i > {WINDOW}, {term.format(f'({touched_out} - 1)')} - {term.format(touched_out)}, 0D))"
-    )
-    moved = f"named_struct('counts', {counted}, 'bits', {bits}, 'spans', s.spans)"
-    hot = f"i >= {WINDOW} AND log2({WINDOW}) - t.bits / {WINDOW} > {limit} AND NOT substring(c.found, i - {WINDOW - 1}, {WINDOW}) RLIKE '{ORDERED}'"
-    start = f"c.start + i - {WINDOW}"
-    one = f"named_struct('start', {start}, 'stop', c.start + i, 'kind', 3)"
-    joined = f"concat(slice(t.spans, 1, size(t.spans) - 1), array(named_struct('start', element_at(t.spans, -1).start, 'stop', c.start + i, 'kind', 3)))"
-    grown = f"CASE WHEN NOT ({hot}) THEN t.spans WHEN size(t.spans) > 0 AND element_at(t.spans, -1).stop >= {start} THEN {joined} ELSE concat(t.spans, array({one})) END"
-    step = f"element_at(transform(array({moved}), t -> named_struct('counts', t.counts, 'bits', t.bits, 'spans', {grown})), 1)"
-    zero = f"named_struct('counts', array_repeat(0, {len(ALPHABET)}), 'bits', 0D, 'spans', CAST(array() AS array<{_SPAN}>))"
-    each = f"aggregate(sequence(1, length(c.found)), {zero}, (s, i) -> {step}, s -> s.spans)"
-    return f"flatten(transform(filter({_starts(CANDIDATE)}, c -> NOT ({allowed})), c -> {each}))"
+    entered = f"transform(array({count.format(into)}), n -> {term.format('(n + 1)')} - {term.format('n')})[0]"
+    left = f"transform(array({count.format(out)}), n -> {term.format('(n - 1)')} - {term.format('n')})[0]"
+    change = f"CASE WHEN i <= {WINDOW} THEN {entered} WHEN {into} = {out} THEN 0D ELSE {entered} + {left} END"
+    moved = f"named_struct('bits', s.bits + transform(array({window}), w -> {change})[0], 'spans', s.spans)"
+    hot = f"i >= {WINDOW} AND log2({WINDOW}) - t.bits / {WINDOW} > c.limit AND NOT (c.ordered AND substring(c.text, i - {WINDOW - 1}, {WINDOW}) RLIKE '{ORDERED}')"
+    one = f"named_struct('start', c.start + i - {WINDOW}, 'stop', c.start + i, 'kind', 3)"
+    step = f"element_at(transform(array({moved}), t -> named_struct('bits', t.bits, 'spans', IF({hot}, {_united('t.spans', one)}, t.spans))), 1)"
+    zero = f"named_struct('bits', 0D, 'spans', {_NO_SPANS})"
+    each = f"aggregate(sequence(1, length(c.text)), {zero}, (s, i) -> {step}, s -> s.spans)"
+    return f"aggregate(flatten(transform({stretches}, c -> {each})), {_NO_SPANS}, (u, w) -> {_united('u', 'w')})"
+
+
+def _united(spans: str, more: str) -> str:
+    """spans and one that does not begin before them, which prolongs the last one if they touch."""
+    last = f"element_at({spans}, -1)"
+    grown = f"concat(slice({spans}, 1, size({spans}) - 1), array(named_struct('start', {last}.start, 'stop', {more}.stop, 'kind', 3)))"
+    return f"CASE WHEN size({spans}) > 0 AND {last}.stop >= {more}.start THEN {grown} ELSE concat({spans}, array({more})) END"
 
 
 def _long_enough() -> str:
