@@ -5,10 +5,10 @@ class and go on as one. A class's sketch is its SKETCH smallest hashes. Inverted
 retained values that several classes hold generate candidate pairs, without writing out all pairs
 of a list: every member meets the list's leader, which is the member whose values are the most
 widespread, and its predecessor when the list is sorted by the values that follow in the sketches.
-Long lists are cut by those following values. Three rounds are run: pairs with leaders, then pairs of
-list neighbours that no common leader has linked yet, then pairs of different components that
+Long lists are cut by those following values. Rounds are run: pairs with the most similar leader, then pairs with other
+leaders and of list neighbours that are not linked yet, then pairs of different components that
 stand within REACH places of each other in several lists. The sketch of the union, which both
-sketches give, estimates the similarity and drops pairs that are far from it; what is left
+sketches give, estimates the similarity and drops pairs that are far from it, as the sizes of the sets do; what is left
 is confirmed on the full sets of the whole texts. Components come from the confirmed links.
 
 These rounds join what is easily joined; a last one finds every link that is left between
@@ -72,16 +72,19 @@ def _sketched(words: int, sketch: int) -> Callable:
 
 
 def _near(share: float) -> Callable:
+    """(a, b, score) of pairs whose union sketch holds at least this share of common values."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
+            scores = []
             for a, b in zip(batch.column("sketch_a").to_numpy(zero_copy_only=False), batch.column("sketch_b").to_numpy(zero_copy_only=False)):
                 a, b = a.view(np.uint64), b.view(np.uint64)
                 union = np.union1d(a, b)[:SKETCH]
                 both = np.intersect1d(a, b, assume_unique=True)
-                near.append(np.isin(union, both, assume_unique=True).sum() >= share * len(union))
-            kept = batch.filter(pa.array(near, pa.bool_()))
-            yield kept.select(["a", "b"])
+                scores.append(np.isin(union, both, assume_unique=True).sum() / max(1, len(union)))
+            scores = np.array(scores, np.float64)
+            kept = batch.select(["a", "b"]).append_column("score", pa.array(scores))
+            yield kept.filter(pa.array(scores >= share))
 
     return run
 
@@ -127,13 +130,20 @@ def _prefixes(words: int, percent: int, shared) -> Callable:
     return run
 
 
-def _with_both(pairs: DataFrame, facts: DataFrame, value: str) -> DataFrame:
-    """pairs with the value of a and of b, from facts (rep, value)."""
-    a = facts.selectExpr("rep AS a", f"{value} AS {value}_a")
-    b = facts.selectExpr("rep AS b", f"{value} AS {value}_b")
+def _with_both(pairs: DataFrame, facts: DataFrame, *values: str) -> DataFrame:
+    """pairs with the values of a and of b, from facts (rep, values)."""
+    a, b = (facts.selectExpr(f"rep AS {side}", *(f"{value} AS {value}_{side}" for value in values)) for side in "ab")
     return pairs.join(a, "a").join(b, "b")
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one component yet."""
+    named = pairs
+    for side in "ab":
+        named = named.join(found.selectExpr(f"node AS {side}", f"component AS c{side}"), side, "left")
+    return stored(named.where("coalesce(ca, a) <> coalesce(cb, b)").select(*pairs.columns))
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """(value, rep, size, one, two, spread): retained values that several classes hold, with the next two values.
 
@@ -247,31 +257,33 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) of classes (rep, digest, sketch) by confirmed links between candidates."""
+    """(node, component) of classes (rep, digest, n_shingles, sketch) by confirmed links between candidates."""
     postings = _postings(classes)
-    sketches = classes.select("rep", "sketch")
+    sketches = classes.select("rep", "n_shingles", "sketch")
+    # Sets of too different sizes cannot be so similar; the sizes decide before anything else is compared.
+    sizes = f"100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
 
     def likely(pairs: DataFrame) -> DataFrame:
-        return stored(_with_both(stored(pairs), sketches, "sketch").mapInArrow(_near(LEAST_SHARED), "a long, b long"))
+        able = _with_both(stored(pairs), sketches, "n_shingles", "sketch").where(sizes)
+        return stored(able.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_near(LEAST_SHARED), "a long, b long, score double"))
 
     def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        return stored(_with_both(pairs, texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long"))
-
-    led, beside = likely(_leader_pairs(postings)), likely(_neighbour_pairs(postings))
-    texts = _texts(docs, classes, led.union(beside))
-    first = confirmed(led, texts)
-    # Neighbours that the same leader has linked are in one component already.
-    leader = stored(first.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("leader")))
-    named = beside.join(leader.selectExpr("rep AS a", "leader AS la"), "a", "left").join(leader.selectExpr("rep AS b", "leader AS lb"), "b", "left")
-    rest = stored(named.where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b"))
-    found = stored(components(first.union(confirmed(rest, texts)), "a", "b"))
-    across = likely(_pairs_across(postings, found))
+        return stored(_with_both(pairs.select("a", "b"), texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long"))
 
     def with_more(found: DataFrame, more: DataFrame) -> DataFrame:
         if more.isEmpty():
             return found
         return stored(components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b"))
 
+    led, beside = likely(_leader_pairs(postings)), likely(_neighbour_pairs(postings))
+    # A member asks its most similar leader first. That links most of a family, and only pairs that are still apart are compared then.
+    closest = stored(led.groupBy("b").agg(F.expr("max_by(a, struct(score, -a)) AS a")).select("a", "b"))
+    first = confirmed(closest, _texts(docs, classes, closest))
+    found = stored(components(first, "a", "b"))
+    rest = _apart(led.union(beside).select("a", "b").distinct(), found).join(closest, ["a", "b"], "left_anti")
+    rest = stored(rest)
+    found = with_more(found, confirmed(rest, _texts(docs, classes, rest)))
+    across = likely(_pairs_across(postings, found))
     found = with_more(found, confirmed(across, _texts(docs, classes, across)))
     unsettled = _unsettled(postings, classes, found)
     if unsettled.isEmpty():
@@ -290,8 +302,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     groups = stored(groups)
     own = rows.where("class IS NOT NULL").join(groups, "class").where("doc_id = rep")
     # A doc_id that repeats with another text stands for one class only: the least.
-    least = own.groupBy("rep").agg(F.min(F.struct("class", "digest", "sketch")).alias("least"))
-    classes = stored(least.select("rep", "least.digest", "least.sketch"))
+    least = own.groupBy("rep").agg(F.min(F.struct("class", "digest", "n_shingles", "sketch")).alias("least"))
+    classes = stored(least.select("rep", "least.digest", "least.n_shingles", "least.sketch"))
     found = linked(docs, classes, words, percent)
     placed = groups.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("class", "coalesce(component, rep) AS component")
     joined = rows.select("doc_id", "n_shingles", "class").join(stored(placed), "class", "left")
