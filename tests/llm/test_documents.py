@@ -361,3 +361,65 @@ def test_pipeline_stages(spark, sf, odd, none):
             assert name == "packing" or docs.columns == start.columns
         rows = docs.collect()
         assert (len(rows) > 0) == (start is odd)
+
+
+def test_entropy_spans_equal_a_plain_window_scan(spark):
+    import math
+    import random
+
+    draw = random.Random(4)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def plain(text):
+        base = [m.span() for p in (secret_scan.HEX, secret_scan.ACCESS) for m in re.finditer(p, text)]
+        spans = []
+        for m in re.finditer(secret_scan.CANDIDATE, text):
+            found, first = m.group(), len(spans)
+            parts = re.split("[+/_=-]+", found)
+            joined = found[0].isalnum() and all(re.fullmatch("([A-Za-z]+|[0-9]{1,4})?", part) for part in parts)
+            if joined or any(re.fullmatch(p, found) for p in secret_scan.ALLOWED):
+                continue
+            limit = next(bits for _, p, bits in secret_scan.CLASSES if re.fullmatch(p, found))
+            for k in range(len(found) - 19):
+                window = found[k : k + 20]
+                bits = -sum(n / 20 * math.log2(n / 20) for n in Counter(window).values())
+                if bits > limit + 1e-9 and not re.search(secret_scan.ORDERED, window):
+                    at = m.start() + k
+                    if len(spans) > first and spans[-1][1] >= at:
+                        spans[-1][1] = at + 20
+                    else:
+                        spans.append([at, at + 20])
+        return [s for s in spans if not any(a <= s[0] and s[1] <= b for a, b in base)]
+
+    texts = []
+    for n in (20, 255, 256, 257, 275, 276, 530, 1500):
+        mixed = "".join(draw.choice(signs) for _ in range(n))
+        texts += [f"é {mixed} and {''.join(draw.choice('0123456789abcdefABCDEF') for _ in range(n))}", "a" * n + mixed + "b" * n, "-".join(["abc", "12345"] * n)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [[s.start, s.stop] for s in r.spans if s.kind == 3] for r in secret_scan.with_spans(rows, "spans").select("doc_id", "spans").collect()}
+    assert got == {k: plain(text) for k, text in enumerate(texts)}
+
+
+@pytest.mark.parametrize("text, spans", [("abc-12-" * 60_000, 0), ("aB3+xY7/qW9zK1mN5pR8" * 2000, 1), ("token=abcdefgh1234 " * 5_000, 5_000), ("0123456789abcdef" * 20_000, 1)])
+def test_very_long_candidates_and_many_finds(spark, text, spans):
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert secret_scan.with_spans(rows, "spans").selectExpr("size(spans) AS n").first().n == spans
+
+
+def test_other_vocabularies_are_read_by_their_own_tokenizer(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = str(tmp_path / "other.json")
+    other = Tokenizer(models.WordLevel({"A": 3, "b": 4, "?": 5}, unk_token="?"))
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    other.save(path)
+    assert packing.ids_of(b"A b a", packing.Words(path)).tolist() == [3, 4, 5, 0]
+
+
+def test_words_are_learnt_again_when_the_memory_is_full(monkeypatch):
+    words = packing.Words(queries.tokenizer())
+    texts = [f"alpha beta{k} gamma, délta{k % 3} Ω{k}".encode() for k in range(60)]
+    expected = [packing.ids_of(t, words).tolist() for t in texts]
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(packing, "REMEMBERED_PIECES", 2)
+    assert [packing.ids_of(t, words).tolist() for t in texts] == expected
