@@ -1,15 +1,15 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Every stage works on what its predecessor kept and returns the columns of documents, but for the
-last, which returns the packed pieces. `run` writes nothing; a caller that wants a restart point
-between stages writes each stage's rows as Parquet and rereads them.
+last, which returns the packed pieces. `run` writes each stage's rows but the last one's as a table of the shared
+folder and rereads them, so that no stage is computed again by the next one's passes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.llm import language_id, minhash_dedup, mixing, packing, queries, secret_scan
+from tallyweave.llm import language_id, minhash_dedup, mixing, packing, queries, secret_scan, storage
 
 #: No SQL expresses the language model, the sketches and the genetic packing; tests use brute force.
 ORACLE_SQL = None
@@ -55,6 +55,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = storage.written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
