@@ -152,10 +152,14 @@ def _fingerprint() -> str:
     )
 
 
-def _snapshots() -> str:
+def _quarter_ends() -> list[str]:
+    return [f"{year}-{day} 23:59:59" for year in range(1993, 1999) for day in ("03-31", "06-30", "09-30", "12-31")]
+
+
+def _snapshots(moments) -> str:
     """Each cutoff on its own, from the start."""
     one_by_one = []
-    for moment in ("1990-01-01 00:00:00", "1998-07-01 00:00:00", "2001-07-30 00:00:00"):
+    for moment in moments:
         statement = _select(SUMMARY_COLUMNS, "totals", as_of=f"TIMESTAMP '{moment}'")
         one_by_one.append(f"SELECT '{moment}' AS as_of, * FROM ({statement})")
     return " UNION ALL ".join(one_by_one)
@@ -486,7 +490,8 @@ def statements() -> dict[str, str]:
             round(CAST(captured AS DOUBLE) / CAST(injected AS DOUBLE), 6) AS amount_capture_rate
             FROM (SELECT {_OUTCOMES}, sum(reference_amount) AS injected,
                          sum(reference_amount) FILTER (WHERE outcome = 'tp') AS captured FROM compared)""",
-        "snapshot_comparison": _snapshots(),
+        "snapshot_comparison": _snapshots(("1990-01-01 00:00:00", "1998-07-01 00:00:00", "2001-07-30 00:00:00")),
+        "quarterly_snapshots": _snapshots(_quarter_ends()),
         "expected_fees": _expected_fees(),
         "fee_variance": _fee_variance(),
         "report_cards": _report_cards(),
@@ -501,4 +506,10 @@ def statements() -> dict[str, str]:
         "evaluation_file": "evaluation_comparison",
         "manifest_file": "operational_run",
     }
+    # Nor does the way a feed is stored change what its joins find.
+    shapes = (
+        "internal_without_gateway gateway_without_internal settlement_without_internal eligible_without_settlement "
+        "matched_ledger_gateway matched_gateway_settlement"
+    ).split()
+    of_table |= {f"bucketed_{name}": name for name in shapes} | {"bucketed_facts": "payment_facts"}
     return found | {name: found[table] for name, table in of_table.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 # Shape of acceptable timestamp text, as a whole. A full calendar date is
@@ -44,3 +46,8 @@ def micros_between(start: str, end: str) -> str:
 def days_between(start: str, end: str) -> str:
     """Elapsed days as a double, exact to the microsecond."""
     return f"({micros_between(start, end)} / {MICROS_PER_DAY})"
+
+
+def first_not_before(moment: str, cutoffs: Sequence[str]) -> str:
+    """The place, from 1, of the first of ascending cutoffs that is not before a moment; one more than there are if all are."""
+    return f"1 + size(filter(array({', '.join(cutoffs)}), c -> c < {moment}))"

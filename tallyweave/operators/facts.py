@@ -11,9 +11,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from tallyweave.config import ReconciliationConfig, cutoff_literal
+from tallyweave.config import ReconciliationConfig, cutoff_literal, parse_cutoff
 from tallyweave.functions import aggregates, named
 from tallyweave.functions.clock import days_between
+from tallyweave.operators.intervals import prefix_merged
 from tallyweave.sources.contracts import MULTIPLE, UNKNOWN
 
 SUCCESS = "success"
@@ -101,16 +102,18 @@ def payment_facts(feeds: dict[str, DataFrame], as_of, config: ReconciliationConf
     return _compared(matched, config, as_of)
 
 
+ACTIVITY_AT = "coalesce(created_at, gateway_event_at, settled_at)"
+
+
 def snapshot_facts(feeds: dict[str, DataFrame], cutoffs, config: ReconciliationConfig = ReconciliationConfig()):
-    """Facts for several cutoffs in one pass over the feeds.
+    """Facts for several cutoffs in one pass over the feeds, as rows of (as_of, transaction_id).
 
-    ``feeds`` are typed but not cut. Each event joins the snapshots it is visible in,
-    and facts are grouped by (as_of, transaction_id).
+    ``feeds`` are typed but not cut. Each event is given to the first cutoff that sees it; the states of
+    a transaction are merged along the cutoffs, and only merged rows are written out for each
+    cutoff, after the last shuffle.
     """
-    event_at = "coalesce(created_at, gateway_event_at, settled_at)"
-    visible = ", ".join(f"IF({event_at} <= {moment}, {moment}, NULL)" for moment in map(cutoff_literal, cutoffs))
-    events = _stacked(feeds).selectExpr("*", f"explode(array({visible})) AS as_of").filter("as_of IS NOT NULL")
-    return _compared(events.groupBy("as_of", "transaction_id").agg(*aggregates(_ALL_AGGREGATES)), config)
+    moments = [cutoff_literal(c) for c in sorted({parse_cutoff(c) for c in cutoffs})]
+    return _compared(prefix_merged(_stacked(feeds), "transaction_id", ACTIVITY_AT, moments, _ALL_AGGREGATES), config)
 
 
 def facts_by_joins(feeds: dict[str, DataFrame], as_of, config: ReconciliationConfig = ReconciliationConfig()):
@@ -162,11 +165,10 @@ def _compared(matched: DataFrame, config: ReconciliationConfig, as_of=None) -> D
     breaks a tolerance.
     """
     moment = "as_of" if as_of is None else cutoff_literal(as_of)
-    activity_at = "coalesce(created_at, gateway_event_at, settled_at)"
     both_succeeded = f"internal_status = '{SUCCESS}' AND gateway_status = '{SUCCESS}'"
     added = {
-        "activity_at": activity_at,
-        "activity_date": f"CAST({activity_at} AS DATE)",
+        "activity_at": ACTIVITY_AT,
+        "activity_date": f"CAST({ACTIVITY_AT} AS DATE)",
         "max_settlement_days": config.settlement_days(),
         "amount_tolerance": config.amount_limit(),
         "fee_tolerance": config.fee_limit(),

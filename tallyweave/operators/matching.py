@@ -51,9 +51,18 @@ def settlement_without_internal(feeds: dict[str, DataFrame]) -> DataFrame:
     return unmatched(_bank_singles(feeds), feeds["internal"]).select(KEY, "net_amount")
 
 
+def only_records(feed: DataFrame, name: str) -> DataFrame:
+    """One row an id; the first id that occurs twice ends the query, like a one-to-one assertion."""
+    values = {column: f"max({column})" for column in feed.columns if column != KEY}
+    message = f"concat('{name} holds a repeated {KEY}: ', {KEY})"
+    rows = feed.groupBy(KEY).agg(*aggregates({"_rows": "count(*)"} | values))
+    return rows.filter(f"assert_true(_rows = 1, {message}) IS NULL").drop("_rows")
+
+
 def matched_ledger_gateway(feeds: dict[str, DataFrame]) -> DataFrame:
-    """One-to-one ledger and gateway pairs with their gross difference."""
-    pairs = feeds["internal"].join(_gateway_singles(feeds), KEY, "inner")
+    """One-to-one ledger and gateway pairs with their gross difference. The ledger must hold an id once."""
+    ledger = only_records(feeds["internal"].select(KEY, "internal_status", "gross_amount"), "internal")
+    pairs = ledger.join(_gateway_singles(feeds), KEY, "inner")
     return pairs.selectExpr(
         KEY,
         "internal_status",

@@ -37,6 +37,7 @@ from tallyweave.operators.rules import (
     rule_signals,
 )
 from tallyweave.plans import operations, reports
+from tallyweave.sources.bucketed import bucket_count, write_bucketed
 from tallyweave.sources.contracts import CONTRACTS, INTERNAL, LEGACY_CONTRACTS, typed
 from tallyweave.sources.csv_feeds import read_text, read_text_feeds, write_feeds
 from tallyweave.sources.order_feeds import (
@@ -53,6 +54,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BEFORE_ALL_EVENTS = "1990-01-01 00:00:00"
 SNAPSHOTS = (BEFORE_ALL_EVENTS, EARLIER_AS_OF, DEFAULT_AS_OF)
+QUARTER_ENDS = tuple(f"{year}-{day} 23:59:59" for year in range(1993, 1999) for day in ("03-31", "06-30", "09-30", "12-31"))
+
+
+#: Bytes of a feed row, for the number of buckets.
+FEED_ROW_BYTES = 120
 
 
 class Inputs:
@@ -79,6 +85,10 @@ class Inputs:
         raw = self.raw
         return {c.name: typed(raw[c.name], c, lower_status=False) for c in LEGACY_CONTRACTS}
 
+    def bucketed(self, feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The same feeds, stored in buckets. A feed has about a row an order, and Parquet knows how many there are."""
+        return write_bucketed(feeds, max(2, bucket_count(self.orders.count() * FEED_ROW_BYTES))).feeds()
+
     @property
     def facts(self) -> DataFrame:
         return payment_facts(self.feeds, self.as_of)
@@ -188,6 +198,26 @@ def _deduplicated_counts(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Every join and grouping between feeds, by query; each runs on feeds as derived and on bucketed ones.
+SHAPES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "internal_without_gateway": matching.internal_without_gateway,
+    "gateway_without_internal": matching.gateway_without_internal,
+    "settlement_without_internal": matching.settlement_without_internal,
+    "eligible_without_settlement": matching.eligible_without_settlement,
+    "matched_ledger_gateway": matching.matched_ledger_gateway,
+    "matched_gateway_settlement": matching.matched_gateway_settlement,
+}
+
+
+def _bucketed(shape: str, i: Inputs) -> DataFrame:
+    return SHAPES[shape](i.bucketed(i.unfiltered))
+
+
+def _bucketed_facts(i: Inputs) -> DataFrame:
+    feeds = i.bucketed(operations.typed_feeds(i.raw))
+    return facts_by_joins(operations.cut_feeds(feeds, i.as_of), i.as_of)
+
+
 def _operational_run(i: Inputs) -> DataFrame:
     """Row counts of all twelve reports from one complete run."""
     result = operations.run_operations(**i.raw, as_of=i.as_of)
@@ -279,12 +309,9 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dimension_tie_out": lambda i: metrics.dimension_tie_out(metrics.dimension_metrics(i.cases)),
     "duplicate_ids": _duplicates_by_feed,
     "deduplicated_feeds": _deduplicated_counts,
-    "internal_without_gateway": lambda i: matching.internal_without_gateway(i.unfiltered),
-    "gateway_without_internal": lambda i: matching.gateway_without_internal(i.unfiltered),
-    "settlement_without_internal": lambda i: matching.settlement_without_internal(i.unfiltered),
-    "eligible_without_settlement": lambda i: matching.eligible_without_settlement(i.unfiltered),
-    "matched_ledger_gateway": lambda i: matching.matched_ledger_gateway(i.unfiltered),
-    "matched_gateway_settlement": lambda i: matching.matched_gateway_settlement(i.unfiltered),
+    **{name: lambda i, shape=shape: shape(i.unfiltered) for name, shape in SHAPES.items()},
+    **{f"bucketed_{name}": partial(_bucketed, name) for name in SHAPES},
+    "bucketed_facts": _bucketed_facts,
     "legacy_detections": lambda i: detections(i.unfiltered),
     "legacy_vs_current": lambda i: detector_differences(detections(i.unfiltered), i.cases),
     "truth_labels": lambda i: i.truth,
@@ -292,6 +319,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "evaluation_by_type": lambda i: evaluation_by_type(outcome_counts(i.truth, i.core_detected)),
     "evaluation_comparison": lambda i: comparison(i.truth, i.core_detected),
     "snapshot_comparison": lambda i: operations.snapshot_comparison(i.spark, i.raw, SNAPSHOTS),
+    "quarterly_snapshots": lambda i: operations.snapshot_comparison(i.spark, i.raw, QUARTER_ENDS),
     "expected_fees": lambda i: expected_fees(i.feeds["internal"]).select(
         "transaction_id", "payment_method", "gross_amount", "fee_rate", "expected_fee", "expected_tax", "expected_net"
     ),

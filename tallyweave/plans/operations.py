@@ -147,8 +147,8 @@ def snapshot_comparison(
 ) -> DataFrame:
     """Summary rows for several cutoffs from one pass over the feeds.
 
-    The feeds are cut at the latest cutoff before each event is assigned to the
-    snapshots that see it. A cutoff before all events still gets its row.
+    The feeds are cut at the latest cutoff before each event is given to the first
+    snapshot that sees it. A cutoff before all events still gets its row.
     """
     moments = sorted({parse_cutoff(c) for c in cutoffs})
     parameters = spark.range(1).selectExpr(f"explode(array({', '.join(map(cutoff_literal, moments))})) AS as_of")
