@@ -21,6 +21,7 @@ def operations(spark: SparkSession, args: argparse.Namespace) -> None:
     result = run_operations(**feeds, as_of=args.as_of, config=config)
     write_reports(result, args.output_dir, sources=feeds)
     result.tables["summary"].show(vertical=True, truncate=False)
+    result.release()
 
 
 def evaluate(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -31,12 +31,17 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write a wide relation as parquet and read it back.
+def new_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """A path that nobody else uses, in a given folder or the shared one."""
+    return f"{folder or shared_folder(spark)}/tallyweave-{uuid.uuid4().hex}"
 
-    Unlike a checkpoint, later reads prune columns and push filters down.
-    """
-    spark = df.sparkSession
-    path = f"{folder or shared_folder(spark)}/tallyweave-{uuid.uuid4().hex}/{name}"
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The rows of df as Parquet at path. Unlike a checkpoint, later reads prune columns and push filters down."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write a wide relation as parquet in a folder of its own and read it back."""
+    return written(df, f"{new_folder(df.sparkSession, folder)}/{name}")

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tallyweave.config import ReconciliationConfig, cutoff_literal, parse_cutoff
 from tallyweave.operators import metrics
 from tallyweave.operators.audit import source_counts
-from tallyweave.operators.durable import stored
+from tallyweave.operators.durable import new_folder, written
 from tallyweave.operators.facts import payment_facts, snapshot_facts
 from tallyweave.operators.queue import aging_metrics, investigation_queue
+from tallyweave.operators.run_store import Files
 from tallyweave.operators.rules import case_facts, detected_exceptions, reconciliation_facts
 from tallyweave.sources.contracts import CONTRACTS, CURRENCY, typed, until
 from tallyweave.sources.validation import validate
@@ -45,6 +46,13 @@ REPORTS = tuple(REPORT_KEYS)
 class OperationalResult:
     tables: Mapping[str, DataFrame]
     metadata: dict
+    #: Where the run keeps what its reports share, until `release`.
+    scratch: str | None = None
+
+    def release(self) -> None:
+        """Delete what the reports share; they cannot be read from this result afterwards."""
+        if self.scratch:
+            Files(self.tables["summary"].sparkSession).delete(self.scratch)
 
 
 class Reports(Mapping):
@@ -95,7 +103,8 @@ def run_operations(
     feeds = dict(zip((c.name for c in CONTRACTS), (internal, gateway, settlement)))
     validate(feeds)
     visible = cut_feeds(typed_feeds(feeds), cutoff)
-    cases = stored(case_facts(payment_facts(visible, cutoff, config)), "case_facts", folder)
+    scratch = new_folder(internal.sparkSession, folder)
+    cases = written(case_facts(payment_facts(visible, cutoff, config)), f"{scratch}/case_facts")
     counts = {
         row["feed"]: {k: row[k] for k in ("input_rows", "included_rows", "future_rows_excluded")}
         for row in source_counts(feeds, cutoff).collect()
@@ -109,6 +118,7 @@ def run_operations(
             "config": asdict(config),
             "source_counts": counts,
         },
+        scratch=scratch,
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tallyweave.functions.text import grouped_thousands, html_escaped, percentag
 from tallyweave.operators.audit import file_digests, fingerprints, watched
 from tallyweave.operators.evaluation import EvaluationResult
 from tallyweave.operators.legacy import detection_order
+from tallyweave.operators.run_store import Files, RunStore, run_key
 from tallyweave.plans.operations import OperationalResult, in_report_order
 from tallyweave.sources.csv_feeds import CSV_DIALECT
 
@@ -158,30 +160,35 @@ def write_reports(
 
     The manifest holds run parameters, row counts and order-insensitive fingerprints,
     so two runs over the same data give the same manifest. It returns what it wrote.
-    The manifest is written last: a folder without one is unfinished. With overwrite, an
+    The manifest is written last: a folder without one is unfinished. An unfinished run over the same
+    inputs, told by the fingerprints of ``sources``, goes on behind the reports that it has committed. With overwrite, an
     earlier run's files are replaced one by one.
     """
-    mode = "overwrite" if overwrite else "errorifexists"
     spark = result.tables["summary"].sparkSession
-    outputs = {}
-    for name, table in result.tables.items():
-        # Watched above the sort: sorting samples its input, which must not be counted.
-        report, observation = watched(in_report_order(name, table))
-        write_csv(report, f"{folder}/{name}.csv", mode)
-        outputs[name] = observation.get
-    summary_json(result.tables["summary"]).write.mode(mode).text(f"{folder}/summary.json")
+    prints = _recorded(fingerprints(sources)) if sources else {}
+    # Without the inputs' fingerprints nothing tells whether an earlier run had the same inputs.
+    store = RunStore(spark, folder, run_key({**result.metadata, "sources": prints or uuid.uuid4().hex}))
+    if store.published() and not overwrite:
+        raise FileExistsError(f"PATH_ALREADY_EXISTS: {folder} holds a published run")
+    Files(spark).delete(f"{folder}/manifest.json")
+    done = store.committed()
+    outputs = {name: store.write(name, in_report_order(name, table), _written_report, done) for name, table in result.tables.items()}
+    summary_json(result.tables["summary"]).write.mode("overwrite").text(f"{folder}/summary.json")
     for name, section in report_sections(result).items():
-        write_csv(section, f"{folder}/sections/{name}.csv", mode)
-    manifest = {
-        **result.metadata,
-        "spark_version": spark.version,
-        "outputs": outputs,
-        "sources": _recorded(fingerprints(sources)) if sources else {},
-    }
-    manifest_table(spark, manifest).write.mode(mode).text(f"{folder}/manifest.json")
+        write_csv(section, f"{folder}/sections/{name}.csv", "overwrite")
+    manifest = {**result.metadata, "spark_version": spark.version, "outputs": outputs, "sources": prints}
+    store.publish(manifest_table(spark, manifest))
     return manifest
 
 
+def _written_report(table: DataFrame, path: str) -> dict:
+    """Write a report; its rows and content hash are observed on the way."""
+    # Watched above the sort: sorting samples its input, which must not be counted.
+    report, observation = watched(table)
+    write_csv(report, path, "overwrite")
+    return observation.get
+
+
 def _recorded(prints: DataFrame) -> dict:
     """One row per table comes to the driver, never table content."""
     return {r["table_name"]: {"rows": r["rows"], "content_hash": r["content_hash"]} for r in prints.collect()}
