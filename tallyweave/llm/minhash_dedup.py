@@ -78,9 +78,9 @@ def _near(share: float) -> Callable:
         for batch in batches:
             scores = []
             for a, b in zip(batch.column("sketch_a").to_numpy(zero_copy_only=False), batch.column("sketch_b").to_numpy(zero_copy_only=False)):
-                a, b = a.view(np.uint64), b.view(np.uint64)
+                a, b = a.view(np.uint32), b.view(np.uint32)
                 union = np.union1d(a, b)[:SKETCH]
-                both = np.intersect1d(a, b, assume_unique=True)
+                both = np.intersect1d(a, b)
                 scores.append(np.isin(union, both, assume_unique=True).sum() / max(1, len(union)))
             scores = np.array(scores, np.float64)
             kept = batch.select(["a", "b"]).append_column("score", pa.array(scores))
@@ -144,13 +144,18 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return stored(named.where("coalesce(ca, a) <> coalesce(cb, b)").select(*pairs.columns))
 
 
+def _able(first: str, second: str, percent: int) -> str:
+    """Whether sets of these sizes can be so similar."""
+    return f"100 * least({first}, {second}) >= {percent} * greatest({first}, {second})"
+
+
 def _postings(classes: DataFrame) -> DataFrame:
-    """(value, rep, size, one, two, spread): retained values that several classes hold, with the next two values.
+    """(value, rep, n, size, one, two, spread): retained values that several classes hold, with the next two values.
 
-    size is the length of the value's list and spread the sum of the sizes over the rep's values.
+    n is the size of the rep's set, size the length of the value's list and spread the sum of the sizes over the rep's values.
     """
-    each = classes.selectExpr("rep", "sketch", "posexplode(sketch) AS (at, value)").selectExpr(
-        "value", "rep", "coalesce(get(sketch, at + 1), 0L) AS one", "coalesce(get(sketch, at + 2), 0L) AS two"
+    each = classes.selectExpr("rep", "n_shingles AS n", "sketch", "posexplode(sketch) AS (at, value)").selectExpr(
+        "value", "rep", "n", "coalesce(get(sketch, at + 1), 0L) AS one", "coalesce(get(sketch, at + 2), 0L) AS two"
     )
     sizes = stored(each.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"))
     shared = stored(each.join(sizes, "value"))
@@ -158,10 +163,10 @@ def _postings(classes: DataFrame) -> DataFrame:
     return stored(shared.join(spread, "rep"))
 
 
-def _leader_pairs(postings: DataFrame) -> DataFrame:
-    best = postings.groupBy("value").agg(F.max(F.struct("spread", F.expr("-rep AS turned"))).alias("best"))
-    leaders = stored(best.selectExpr("value", "-best.turned AS leader"))
-    met = postings.select("value", "rep").join(leaders, "value").where("rep <> leader")
+def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    best = postings.groupBy("value").agg(F.max(F.struct("spread", F.expr("-rep AS turned"), "n")).alias("best"))
+    leaders = stored(best.selectExpr("value", "-best.turned AS leader", "best.n AS leading"))
+    met = postings.select("value", "rep", "n").join(leaders, "value").where(f"rep <> leader AND {_able('n', 'leading', percent)}")
     return met.selectExpr("leader AS a", "rep AS b").distinct()
 
 
@@ -170,12 +175,13 @@ _CUT = f"CASE WHEN size > {LONG} THEN xxhash64(one, two) WHEN size > {LIST} THEN
 _PLACE = "OVER (PARTITION BY value, cut ORDER BY one, two, rep)"
 
 
-def _neighbour_pairs(postings: DataFrame) -> DataFrame:
-    met = postings.selectExpr("*", _CUT).selectExpr("rep", f"lag(rep) {_PLACE} AS other").where("other IS NOT NULL")
-    return met.selectExpr("least(rep, other) AS a", "greatest(rep, other) AS b").distinct()
+def _neighbour_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    met = postings.selectExpr("*", _CUT).selectExpr("rep", "n", f"lag(struct(rep, n)) {_PLACE} AS other")
+    met = met.where(f"other IS NOT NULL AND {_able('n', 'other.n', percent)}")
+    return met.selectExpr("least(rep, other.rep) AS a", "greatest(rep, other.rep) AS b").distinct()
 
 
-def _pairs_across(postings: DataFrame, found: DataFrame) -> DataFrame:
+def _pairs_across(postings: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that stand near each other in several lists.
 
     Near copies are in one component by now, so few pairs are left however large a group is. A
@@ -183,14 +189,14 @@ def _pairs_across(postings: DataFrame, found: DataFrame) -> DataFrame:
     agree in the following values are shuffled anew in every list, so that any two of a family meet.
     """
     own = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
-        "value", "rep", "one", "two", "coalesce(component, rep) AS component", _CUT
+        "value", "rep", "n", "one", "two", "coalesce(component, rep) AS component", _CUT
     )
     several = own.groupBy("value", "cut").agg(F.expr("min(component) <> max(component) AS several"))
     mixed_lists = own.join(stored(several.where("several").drop("several")), ["value", "cut"])
     place = "OVER (PARTITION BY value, cut ORDER BY one, two, xxhash64(rep, value), rep)"
-    before = ", ".join(f"lag(struct(rep AS other, component AS beside), {k}) {place}" for k in range(1, REACH + 1))
-    met = mixed_lists.selectExpr("rep", "component", f"array({before}) AS others")
-    apart = met.selectExpr("rep", "component", "inline(filter(others, o -> o.beside <> component))")
+    before = ", ".join(f"lag(struct(rep AS other, component AS beside, n AS extent), {k}) {place}" for k in range(1, REACH + 1))
+    met = mixed_lists.selectExpr("rep", "component", "n", f"array({before}) AS others")
+    apart = met.selectExpr("rep", f"inline(filter(others, o -> o.beside <> component AND {_able('o.extent', 'n', percent)}))")
     pairs = apart.groupBy(F.expr("least(rep, other) AS a"), F.expr("greatest(rep, other) AS b")).agg(F.count("*").alias("lists"))
     return pairs.where(f"lists >= {MEETINGS}").select("a", "b")
 
@@ -242,7 +248,7 @@ def _exact_pairs(unsettled: DataFrame, texts: DataFrame, words: int, percent: in
     a = met.where(shorter).selectExpr(*a, dealt.format("homes", "h"), spread.format("guests", "g"))
     b = met.selectExpr(*b, dealt.format("guests", "g"), spread.format("homes", "h"))
     reached = f"least(rest_a, rest_b) * {100 + percent} >= {percent} * (n_a + n_b)"
-    able = f"component_a <> component_b AND (n_a < n_b OR n_a = n_b AND a < b) AND {reached}"
+    able = f"component_a <> component_b AND (n_a < n_b OR n_a = n_b AND a < b) AND {_able('n_a', 'n_b', percent)} AND {reached}"
     return a.join(b, ["value", "h", "g"]).where(able).select("a", "b").distinct()
 
 
@@ -259,13 +265,11 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of classes (rep, digest, n_shingles, sketch) by confirmed links between candidates."""
     postings = _postings(classes)
-    sketches = classes.select("rep", "n_shingles", "sketch")
-    # Sets of too different sizes cannot be so similar; the sizes decide before anything else is compared.
-    sizes = f"100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
+    # The upper halves of the values put them in the same order and tell them apart as well, at half the size.
+    sketches = classes.selectExpr("rep", "transform(sketch, v -> CAST(shiftright(v, 32) AS INT)) AS sketch")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        able = _with_both(stored(pairs), sketches, "n_shingles", "sketch").where(sizes)
-        return stored(able.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_near(LEAST_SHARED), "a long, b long, score double"))
+        return stored(_with_both(stored(pairs), sketches, "sketch").mapInArrow(_near(LEAST_SHARED), "a long, b long, score double"))
 
     def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return stored(_with_both(pairs.select("a", "b"), texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long"))
@@ -275,7 +279,7 @@ def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
             return found
         return stored(components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b"))
 
-    led, beside = likely(_leader_pairs(postings)), likely(_neighbour_pairs(postings))
+    led, beside = likely(_leader_pairs(postings, percent)), likely(_neighbour_pairs(postings, percent))
     # A member asks its most similar leader first. That links most of a family, and only pairs that are still apart are compared then.
     closest = stored(led.groupBy("b").agg(F.expr("max_by(a, struct(score, -a)) AS a")).select("a", "b"))
     first = confirmed(closest, _texts(docs, classes, closest))
@@ -283,7 +287,7 @@ def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     rest = _apart(led.union(beside).select("a", "b").distinct(), found).join(closest, ["a", "b"], "left_anti")
     rest = stored(rest)
     found = with_more(found, confirmed(rest, _texts(docs, classes, rest)))
-    across = likely(_pairs_across(postings, found))
+    across = likely(_pairs_across(postings, found, percent))
     found = with_more(found, confirmed(across, _texts(docs, classes, across)))
     unsettled = _unsettled(postings, classes, found)
     if unsettled.isEmpty():
