@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from tallyweave.llm.storage import stored, written
 
 
+#: Edges of a part.
+ROWS = 200_000
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(high, low))").alias("x")).first()
     return row["n"], row["x"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.selectExpr("high AS node", "low AS other").union(edges.selectExpr("low AS node", "high AS other"))
-    least = stored(both.groupBy("node").agg(F.min("other").alias("m")).selectExpr("node", "least(node, m) AS low"))
+    least = stored(both.groupBy("node").agg(F.min("other").alias("m")).selectExpr("node", "least(node, m) AS low").coalesce(parts))
     return both.where("other > node").join(least, "node").selectExpr("other AS high", "low").where("high <> low").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = stored(edges.groupBy("high").agg(F.min("low").alias("m")))
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
+    least = stored(edges.groupBy("high").agg(F.min("low").alias("m")).coalesce(parts))
     moved = edges.join(least, "high").where("low <> m").selectExpr("low AS high", "m AS low")
     return moved.union(least.selectExpr("high", "m AS low")).distinct()
 
@@ -37,7 +41,9 @@ def components(edges: DataFrame, first: str, second: str) -> DataFrame:
     current = written(edges.where(F.col(first) != F.col(second)).select(high, low).distinct())
     mark = _mark(current)
     while mark[0]:
-        current = written(_small_star(stored(_large_star(current))))
+        # Every round is a handful of shuffles and tables; they have as many parts as the edges need, not as many as the session's shuffles.
+        parts = 1 + mark[0] // ROWS
+        current = written(_small_star(stored(_large_star(current, parts).coalesce(parts)), parts).coalesce(parts))
         before, mark = mark, _mark(current)
         if before == mark:
             break
