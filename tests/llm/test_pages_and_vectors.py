@@ -93,7 +93,8 @@ def test_components(spark):
             x, y = root(a), root(b)
             parent[max(x, y)] = min(x, y)
     df = spark.createDataFrame(edges, "a long, b long")
-    assert {r.node: r.component for r in components(df, "a", "b").collect()} == {k: root(k) for k in list(parent)}
+    for part_rows in (100_000, 7):
+        assert {r.node: r.component for r in components(df, "a", "b", part_rows).collect()} == {k: root(k) for k in list(parent)}
     assert components(df.where("false"), "a", "b").count() == 0
 
 
