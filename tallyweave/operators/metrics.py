@@ -177,8 +177,9 @@ LATE = "settlement_delay_days > max_settlement_days"
 def settlement_delay_metrics(cases: DataFrame, approximate: bool = False) -> DataFrame:
     """Delay statistics per gateway with exact median and 95th percentile.
 
-    Facts are first counted per (gateway, delay in microseconds). Everything else is
-    read from those counts, so a gateway that holds most rows never meets in one task.
+    Facts are counted per (gateway, delay in microseconds) and the counts are stored, so that
+    facts are read once. Everything else is read from those counts, the quantiles by histograms that
+    close in on them, so a gateway that holds most rows never meets in one task.
     With ``approximate`` the quantiles come from ``percentile_approx`` instead.
     """
     if approximate:
@@ -215,7 +216,7 @@ def settlement_delay_metrics(cases: DataFrame, approximate: bool = False) -> Dat
         "pending_payments": "sum(pending)",
     }
     quantiles = quantiles_by_count(
-        counts.filter("delay_micros IS NOT NULL").select("gateway_id", "delay_micros", "settlements"),
+        counts,
         group="gateway_id",
         value="delay_micros",
         count="settlements",

@@ -53,34 +53,39 @@ def _before(order: str, group: str = "", size: str = "_size") -> str:
     return f"coalesce(sum({size}) OVER ({partition}ORDER BY {order} {frame}), 0L)"
 
 
+#: Bits that a round of quantiles_by_count adds: three rounds tell all values below 2 ** 59 apart.
+_DIGIT = 20
+
+
 def quantiles_by_count(counts: DataFrame, group: str, value: str, count: str, shares: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles of a value per group, from (group, value, count) rows.
+    """Exact interpolated quantiles of a whole number per group, from (group, value, count) rows.
 
-    ``counts`` holds each (group, value) once, so the pair is a unique sort key. Slices
-    of one group are chained by their totals: a group may span any number of slices.
+    Three rounds of histograms select the order statistics: the first counts by the leading bits of the value, the
+    next ones only look into the cells that hold a wanted place. Cells are pre-aggregated in the tasks, and a
+    group has at most 2 ** 20 cells a round wherever its rows are, so nothing is sorted as a whole and no rows
+    have to be stored between the rounds. Rows without a group or value are left out; values are below 2 ** 59.
     """
-    slices = sliced_by(counts, F.col(group).asc(), F.col(value).asc())
-    chained = (
-        slices.groupBy(group, SLICE)
-        .agg(F.expr(f"sum({count}) AS _size"))
-        .selectExpr(
-            group,
-            SLICE,
-            f"{_before(SLICE, group)} AS _before",
-            f"sum(_size) OVER (PARTITION BY {group}) AS _total",
-        )
-    )
-    placed = slices.join(chained, [group, SLICE]).selectExpr(
-        group,
-        f"CAST({value} AS DOUBLE) AS _value",
-        "_total",
-        f"_before + {_before(value, f'{group}, {SLICE}', count)} AS _first",
-        f"{count} AS _count",
-    )
+    known = counts.where(f"{group} IS NOT NULL AND {value} IS NOT NULL AND {count} > 0")
+    ends = [f"struct('{name}_{end}' AS _name, CAST({f}((_total - 1) * {share!r}D) AS BIGINT) AS _place)"
+            for name, share in shares.items() for end, f in (("low", "floor"), ("high", "ceil"))]
+    held = "_first <= _place AND _place < _first + _size"
+    found = [group, "_total", "_name", "_place - _first AS _place", "_cell AS _inside"]
+
+    def cells(rows: DataFrame, digits: int, *keys: str) -> DataFrame:
+        """Sizes of the cells of a round and of what lies before them within the keys."""
+        cell = F.expr(f"shiftright({value}, {digits * _DIGIT}) AS _cell")
+        return rows.groupBy(*keys, cell).agg(F.expr(f"sum({count}) AS _size")).selectExpr("*", f"{_before('_cell', ', '.join(keys))} AS _first")
+
+    leading = cells(known, 2, group).selectExpr("*", f"sum(_size) OVER (PARTITION BY {group}) AS _total")
+    wanted = leading.selectExpr("*", f"inline(array({', '.join(ends)}))").where(held).selectExpr(*found)
+    for digits in (1, 0):
+        keys = [group, "_inside"]
+        inside = known.selectExpr("*", f"shiftright({value}, {(digits + 1) * _DIGIT}) AS _inside").join(wanted, keys, "left_semi")
+        wanted = wanted.join(cells(inside, digits, *keys), keys).where(held).selectExpr(*found)
     picks, results = {"_total": "max(_total)"}, {}
     for name, share in shares.items():
         place = f"((_total - 1) * {share!r}D)"
-        for end, index in (("low", f"floor({place})"), ("high", f"ceil({place})")):
-            picks[f"_{name}_{end}"] = f"max(IF(_first <= {index} AND {index} < _first + _count, _value, NULL))"
+        for end in ("low", "high"):
+            picks[f"_{name}_{end}"] = f"max(IF(_name = '{name}_{end}', CAST(_inside AS DOUBLE), NULL))"
         results[name] = f"_{name}_low + (_{name}_high - _{name}_low) * ({place} - floor({place}))"
-    return placed.groupBy(group).agg(*aggregates(picks)).selectExpr(group, *named(results))
+    return wanted.groupBy(group).agg(*aggregates(picks)).selectExpr(group, *named(results))

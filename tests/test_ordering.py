@@ -64,6 +64,25 @@ def test_quantiles_equal_linear_interpolation(spark):
         assert got[group].p95 == pytest.approx(np.quantile(vs, 0.95), rel=1e-12)
 
 
+def test_quantiles_of_wide_values(spark):
+    """Microseconds over years, on both sides of zero, where all three rounds decide; a third of the rows share one value."""
+    rng = random.Random(13)
+    values = {
+        "wide": [rng.randrange(-(2**50), 2**50) for _ in range(400)] + [2**47 + 3] * 200,
+        "near": [2**45 + rng.randrange(3_000_000) for _ in range(333)],
+        "below": [-5, -4, -4, -(2**40), -(2**40) - 1],
+        "edge": [2**59 - 1, -(2**59), 0],
+    }
+    rows = [(g, v) for g, vs in values.items() for v in vs] + [("wide", None), (None, 7), ("empty", None)]
+    counts = spark.createDataFrame(rows, "g string, v long").groupBy("g", "v").agg(F.count("*").alias("n"))
+    got = by_id(quantiles_by_count(counts, "g", "v", "n", {"median": 0.5, "p95": 0.95}), "g")
+    assert set(got) == set(values)
+    for group, vs in values.items():
+        assert got[group].median == pytest.approx(np.quantile(vs, 0.5), rel=1e-12)
+        assert got[group].p95 == pytest.approx(np.quantile(vs, 0.95), rel=1e-12)
+    assert quantiles_by_count(counts.where("false"), "g", "v", "n", {"median": 0.5}).count() == 0
+
+
 def test_checkpoints_go_to_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

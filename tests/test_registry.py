@@ -41,6 +41,12 @@ def plan_of(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_quantiles_sort_nothing_as_a_whole(spark):
+    """The one stored table is the counts; every scan behind it reads that table."""
+    plan = plan_of(spark, "settlement_delay_metrics")
+    assert "rangepartitioning" not in plan and "SinglePartition" not in plan and "FileScan" not in plan
+
+
 @pytest.mark.parametrize(
     "name,exchanges",
     [
