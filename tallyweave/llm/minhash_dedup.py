@@ -53,6 +53,17 @@ BLOCK = 1024
 ORDER_DOCS, COMMON = 32_768, 65_536
 #: Rows of (rep, digest) that are sent to every executor, 16 bytes each; more are joined by a shuffle.
 SMALL_ROWS = 200_000
+#: Rows that make a part: of ids and hashes, about 50 bytes each, and of sketches, about 250 bytes each.
+PART_ROWS, PART_SKETCHES = 250_000, 20_000
+
+
+def _narrow(df: DataFrame, rows: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """df, which holds about so many rows at most, in no more parts than these fill.
+
+    With the session's number of partitions, the files of a short table, three a map task and two a stored
+    part, outweigh its rows. Parts are only merged, so a long table keeps the session's number.
+    """
+    return df.coalesce(1 + rows // part_rows)
 
 
 def _sketched(words: int, sketch: int) -> Callable:
@@ -136,12 +147,12 @@ def _with_both(pairs: DataFrame, facts: DataFrame, *values: str) -> DataFrame:
     return pairs.join(a, "a").join(b, "b")
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """Pairs whose ends are not in one component yet."""
     named = pairs
     for side in "ab":
         named = named.join(found.selectExpr(f"node AS {side}", f"component AS c{side}"), side, "left")
-    return stored(named.where("coalesce(ca, a) <> coalesce(cb, b)").select(*pairs.columns))
+    return stored(_narrow(named.where("coalesce(ca, a) <> coalesce(cb, b)").select(*pairs.columns), rows))
 
 
 def _able(first: str, second: str, percent: int) -> str:
@@ -149,7 +160,7 @@ def _able(first: str, second: str, percent: int) -> str:
     return f"100 * least({first}, {second}) >= {percent} * greatest({first}, {second})"
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, rows: int) -> DataFrame:
     """(value, rep, n, size, one, two, spread): retained values that several classes hold, with the next two values.
 
     n is the size of the rep's set, size the length of the value's list and spread the sum of the sizes over the rep's values.
@@ -157,15 +168,15 @@ def _postings(classes: DataFrame) -> DataFrame:
     each = classes.selectExpr("rep", "n_shingles AS n", "sketch", "posexplode(sketch) AS (at, value)").selectExpr(
         "value", "rep", "n", "coalesce(get(sketch, at + 1), 0L) AS one", "coalesce(get(sketch, at + 2), 0L) AS two"
     )
-    sizes = stored(each.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"))
-    shared = stored(each.join(sizes, "value"))
-    spread = stored(shared.groupBy("rep").agg(F.sum("size").alias("spread")))
-    return stored(shared.join(spread, "rep"))
+    sizes = stored(_narrow(each.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"), rows))
+    shared = stored(_narrow(each.join(sizes, "value"), rows))
+    spread = stored(_narrow(shared.groupBy("rep").agg(F.sum("size").alias("spread")), rows))
+    return stored(_narrow(shared.join(spread, "rep"), rows))
 
 
-def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
+def _leader_pairs(postings: DataFrame, rows: int, percent: int) -> DataFrame:
     best = postings.groupBy("value").agg(F.max(F.struct("spread", F.expr("-rep AS turned"), "n")).alias("best"))
-    leaders = stored(best.selectExpr("value", "-best.turned AS leader", "best.n AS leading"))
+    leaders = stored(_narrow(best.selectExpr("value", "-best.turned AS leader", "best.n AS leading"), rows))
     met = postings.select("value", "rep", "n").join(leaders, "value").where(f"rep <> leader AND {_able('n', 'leading', percent)}")
     return met.selectExpr("leader AS a", "rep AS b").distinct()
 
@@ -181,7 +192,7 @@ def _neighbour_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return met.selectExpr("least(rep, other.rep) AS a", "greatest(rep, other.rep) AS b").distinct()
 
 
-def _pairs_across(postings: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _pairs_across(postings: DataFrame, found: DataFrame, rows: int, percent: int) -> DataFrame:
     """Pairs of different components that stand near each other in several lists.
 
     Near copies are in one component by now, so few pairs are left however large a group is. A
@@ -191,8 +202,9 @@ def _pairs_across(postings: DataFrame, found: DataFrame, percent: int) -> DataFr
     own = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "value", "rep", "n", "one", "two", "coalesce(component, rep) AS component", _CUT
     )
+    own = _narrow(own, rows)
     several = own.groupBy("value", "cut").agg(F.expr("min(component) <> max(component) AS several"))
-    mixed_lists = own.join(stored(several.where("several").drop("several")), ["value", "cut"])
+    mixed_lists = _narrow(own.join(stored(_narrow(several.where("several").drop("several"), rows)), ["value", "cut"]), rows)
     place = "OVER (PARTITION BY value, cut ORDER BY one, two, xxhash64(rep, value), rep)"
     before = ", ".join(f"lag(struct(rep AS other, component AS beside, n AS extent), {k}) {place}" for k in range(1, REACH + 1))
     met = mixed_lists.selectExpr("rep", "component", "n", f"array({before}) AS others")
@@ -201,15 +213,16 @@ def _pairs_across(postings: DataFrame, found: DataFrame, percent: int) -> DataFr
     return pairs.where(f"lists >= {MEETINGS}").select("a", "b")
 
 
-def _unsettled(postings: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+def _unsettled(postings: DataFrame, classes: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """(rep, component) of classes with enough values in lists of several components to pass the estimate with one of another."""
     own = postings.select("value", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "value", "rep", "coalesce(component, rep) AS component"
     )
+    own = _narrow(own, rows)
     mixed = own.groupBy("value").agg(F.expr("min(component) <> max(component) AS several")).where("several").select("value")
-    held = own.join(mixed, "value").groupBy("rep", "component").agg(F.count("*").alias("held"))
+    held = _narrow(own.join(_narrow(mixed, rows), "value"), rows).groupBy("rep", "component").agg(F.count("*").alias("held"))
     kept = classes.selectExpr("rep", "size(sketch) AS kept")
-    return stored(held.join(kept, "rep").where(f"held >= {LEAST_SHARED}D * kept").select("rep", "component"))
+    return stored(_narrow(held.join(kept, "rep").where(f"held >= {LEAST_SHARED}D * kept").select("rep", "component"), rows))
 
 
 def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +268,7 @@ def _exact_pairs(unsettled: DataFrame, texts: DataFrame, words: int, percent: in
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(rep, text) for the ends of pairs (a, b)."""
     ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    wanted = stored(classes.select("rep", "digest").join(ends, "rep"))
+    wanted = stored(_narrow(classes.select("rep", "digest").join(ends, "rep"), classes.count()))
     if wanted.count() <= SMALL_ROWS:
         wanted = F.broadcast(wanted)
     whole = docs.selectExpr("doc_id AS rep", "xxhash64(text) AS digest", "text")
@@ -264,32 +277,37 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of classes (rep, digest, n_shingles, sketch) by confirmed links between candidates."""
-    postings = _postings(classes)
+    known = classes.count()
+    rows = SKETCH * known
+    postings = _postings(classes, rows)
     # The upper halves of the values put them in the same order and tell them apart as well, at half the size.
     sketches = classes.selectExpr("rep", "transform(sketch, v -> CAST(shiftright(v, 32) AS INT)) AS sketch")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        return stored(_with_both(stored(pairs), sketches, "sketch").mapInArrow(_near(LEAST_SHARED), "a long, b long, score double"))
+        pairs = stored(_narrow(pairs, rows))
+        scored = _narrow(_with_both(pairs, sketches, "sketch"), pairs.count(), PART_SKETCHES)
+        return stored(scored.mapInArrow(_near(LEAST_SHARED), "a long, b long, score double"))
 
     def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        return stored(_with_both(pairs.select("a", "b"), texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long"))
+        both = _with_both(pairs.select("a", "b"), texts, "text").mapInArrow(_confirmed(words, percent), "a long, b long")
+        return _narrow(stored(both), rows)
 
     def with_more(found: DataFrame, more: DataFrame) -> DataFrame:
         if more.isEmpty():
             return found
         return stored(components(found.selectExpr("node AS a", "component AS b").union(more), "a", "b"))
 
-    led, beside = likely(_leader_pairs(postings, percent)), likely(_neighbour_pairs(postings, percent))
+    led, beside = likely(_leader_pairs(postings, rows, percent)), likely(_neighbour_pairs(postings, percent))
     # A member asks its most similar leader first. That links most of a family, and only pairs that are still apart are compared then.
-    closest = stored(led.groupBy("b").agg(F.expr("max_by(a, struct(score, -a)) AS a")).select("a", "b"))
+    closest = stored(_narrow(led.groupBy("b").agg(F.expr("max_by(a, struct(score, -a)) AS a")).select("a", "b"), known))
     first = confirmed(closest, _texts(docs, classes, closest))
     found = stored(components(first, "a", "b"))
-    rest = _apart(led.union(beside).select("a", "b").distinct(), found).join(closest, ["a", "b"], "left_anti")
-    rest = stored(rest)
+    rest = _apart(_narrow(led.union(beside).select("a", "b").distinct(), rows), found, rows).join(closest, ["a", "b"], "left_anti")
+    rest = stored(_narrow(rest, rows))
     found = with_more(found, confirmed(rest, _texts(docs, classes, rest)))
-    across = likely(_pairs_across(postings, found, percent))
+    across = likely(_pairs_across(postings, found, rows, percent))
     found = with_more(found, confirmed(across, _texts(docs, classes, across)))
-    unsettled = _unsettled(postings, classes, found)
+    unsettled = _unsettled(postings, classes, found, rows)
     if unsettled.isEmpty():
         return found
     texts = _texts(docs, classes, unsettled.selectExpr("rep AS a", "rep AS b"))
@@ -302,14 +320,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         _sketched(words, SKETCH), "doc_id long, digest long, n_shingles long, class binary, sketch array<long>"
     )
     rows = stored(sketched)
+    count = rows.count()
+    rows = _narrow(rows, count, PART_SKETCHES)
     groups = rows.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"))
-    groups = stored(groups)
+    groups = stored(_narrow(groups, count))
     own = rows.where("class IS NOT NULL").join(groups, "class").where("doc_id = rep")
     # A doc_id that repeats with another text stands for one class only: the least.
     least = own.groupBy("rep").agg(F.min(F.struct("class", "digest", "n_shingles", "sketch")).alias("least"))
-    classes = stored(least.select("rep", "least.digest", "least.n_shingles", "least.sketch"))
+    classes = stored(_narrow(least.select("rep", "least.digest", "least.n_shingles", "least.sketch"), count, PART_SKETCHES))
     found = linked(docs, classes, words, percent)
     placed = groups.join(found.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("class", "coalesce(component, rep) AS component")
-    joined = rows.select("doc_id", "n_shingles", "class").join(stored(placed), "class", "left")
+    joined = rows.select("doc_id", "n_shingles", "class").join(stored(_narrow(placed, count)), "class", "left")
     component = "IF(doc_id IS NULL, NULL, coalesce(component, doc_id))"
     return joined.selectExpr("doc_id", "n_shingles", f"{component} AS component_id", f"coalesce(doc_id = {component}, true) AS kept")
