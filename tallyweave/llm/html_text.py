@@ -5,11 +5,17 @@ by their meaning (menus, forms, scripts, ...) or by their class or id are left o
 repeats on its pages is found by differencing: pages are ordered by host and URL path, each is
 paired with its neighbours in that order, the lines of a pair are aligned by longest common
 subsequence, and lines that both share are deleted. Lines inside an article or main element are
-the page's own and stay, so that quotes and copies of an article are not taken for furniture;
-and a neighbour that shares nearly all of a page's lines is a copy of it, which tells nothing.
+the page's own and stay, so that quotes and copies of an article are not taken for furniture.
 
-The order is a range partitioning: a hot host spans many partitions, and the first page of a
-partition has one neighbour instead of two. Edge cases: null or empty html gives an empty text; a
+A copy of a page tells nothing about it, so on either side the page is paired with the nearest one
+that is none. Pages with the same lines in a row count as one. A neighbour is a copy if it holds
+nearly all (COPY_SHARE) of the page's lines, leaving out what most of the NEAR different pages on
+either side hold: those lines are the site's and say nothing about copies. So a short page on a
+site with much furniture loses that furniture, and versions of one text keep it, unless there are
+more versions in a row than NEAR and no element marks them as an article.
+
+The order is a range partitioning: a hot host spans many partitions, and the first pages of a
+partition have neighbours on one side only. Edge cases: null or empty html gives an empty text; a
 null url is a host of its own; equal urls are neighbours; repeated rows are pages of their own;
 further columns pass through.
 """
@@ -40,16 +46,21 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 OWN = frozenset("article main".split())
 #: Names in a class, id or role that mark an element as furniture: the word alone, or with a place before it or a part after it.
 FURNITURE = re.compile(
+    r"(?:(?:(?:user|reader|post|article|page|story|blog)-+)?(?:comments|comment-(?:list|form)|share|sharing|social|related|newsletter|disqus)(?:-+(?:posts|articles|stories))?|"
     r"(?:(?:site|main|top|bottom|left|right|global|primary|secondary|sub|mobile|sticky)-+)?(ad|ads|adv|advert|adverts|advertisement|sponsor|sponsored|promo|banner|cookie|cookies|consent|notice|alert|popup|modal|"
     r"menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|sidebar|side-bar|header|masthead|footer|comment|comments|disqus|"
-    r"share|sharing|social|related|newsletter|subscribe|signup|login|search|widget|pagination|pager|toolbar|copyright)"
-    r"(?:-+(?:wrapper|wrap|container|box|bar|area|block|section|list|links?|buttons?|menu|nav|inner|unit|slot|form|icons|items?|banner|popup|modal|[0-9x]+))*"
+    r"share|sharing|social|related|newsletter|subscribe|signup|login|search|widget|pagination|pager|toolbar|copyright))"
+    r"(?:-+(?:notice|policy|thread|wrapper|wrap|container|box|bar|area|block|section|list|links?|buttons?|menu|nav|inner|unit|slot|form|icons|items?|banner|popup|modal|[0-9x]+))*"
 )
-MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')?|[^>=])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
-#: A neighbour with this share of a page's open lines in common, article included, is a copy.
+#: A neighbour with this share of a page's lines, but for those that most of the pages near it hold, is a copy.
 COPY_SHARE = 0.8
+#: Different pages on either side that a page's lines are compared with.
+NEAR = 4
+#: Rows of a batch of results, and characters of its texts.
+BATCH_ROWS, BATCH_CHARS = 1000, 8_000_000
 
 
 class Line(NamedTuple):
@@ -153,21 +164,50 @@ def _step_back(matches: int, now: int, before: int, column: int, full: int) -> i
     return 0
 
 
-def own_text(mine: list[Line], neighbours: list[list[Line]]) -> str:
-    """The page's text without the open lines that it shares with a neighbour."""
+def own_text(mine: list[Line], *sides: list[list[Line]]) -> str:
+    """The page's text without the open lines that it shares with a neighbour; each side lists its pages nearest first."""
     open_places = [k for k, line in enumerate(mine) if not line.own]
+    sides = [[other for other in side if other and other != mine] for side in sides]
+    near = {tuple(other): {line.text for line in other} for side in sides for other in side}
+    everything = {line.text for line in mine}
+    held = {text: sum(text in texts for texts in near.values()) for text in everything}
+    telling = {text for text in everything if held[text] < 2 or 2 * held[text] <= len(near)}
+
+    def is_copy(other: list[Line]) -> bool:
+        return len(telling & near[tuple(other)]) > COPY_SHARE * len(telling)
+
     gone: set[int] = set()
-    if open_places:
-        everything = {line.text for line in mine}
-        for other in neighbours:
-            texts = {line.text for line in other}
-            if not texts or len(everything & texts) > COPY_SHARE * len(everything):
-                continue
+    for side in sides if open_places else ():
+        other = next((x for x in side if not is_copy(x)), None)
+        if other is not None:
             shared = shared_lines([mine[k].text for k in open_places], [line.text for line in other if not line.own])
             gone |= {open_places[k] for k in shared}
     return "\n".join(line.text for k, line in enumerate(mine) if k not in gone)
 
 
+class _Run:
+    """Pages of one host in a row that have the same lines, and where their other columns stand."""
+
+    def __init__(self, host: str | None, lines: list[Line]):
+        self.host, self.lines, self.rows = host, lines, []
+
+
+def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[_Run, bool]]:
+    """The run that a page belongs to, and whether the page begins it."""
+    run = None
+    for batch in batches:
+        kept = batch.select(columns)
+        hosts, lines, own = (batch.column(c).to_pylist() for c in ("__host", "__lines", "__own"))
+        for k in range(batch.num_rows):
+            page = [Line(*x) for x in zip(lines[k], own[k])]
+            begins = run is None or (run.host, run.lines) != (hosts[k], page)
+            if begins:
+                run = _Run(hosts[k], page)
+            # A copy of the row: a slice would hold the whole batch.
+            run.rows.append(kept.take(pa.array([k])))
+            yield run, begins
+
+
 def _parse(columns: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,32 +220,46 @@ def _parse(columns: list[str]) -> Callable:
 
 
 def _difference(columns: list[str]) -> Callable:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            hosts, lines, own = (batch.column(c).to_pylist() for c in ("__host", "__lines", "__own"))
-            for k in range(batch.num_rows):
-                yield batch, k, hosts[k], [Line(*x) for x in zip(lines[k], own[k])]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, texts, before, current = None, [], None, None
-
-        def settled(following) -> str:
-            near = [x[3] for x in (before, following) if x is not None and x[2] == current[2] and x[2] is not None]
-            return own_text(current[3], near)
-
-        def done(batch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, "text"])
-
-        for row in rows(batches):
-            if current is not None:
-                texts.append(settled(row))
-                if row[0] is not held:
-                    yield done(held)
-                    texts = []
-            before, current, held = current, row, row[0]
-        if current is not None:
-            texts.append(settled(None))
-            yield done(held)
+        held: list[_Run] = []  # NEAR settled runs at most, then those that wait for the pages after them
+        waiting, rows, texts = 0, [], []
+
+        def settle() -> None:
+            nonlocal waiting
+            current = held[waiting]
+            sides = held[:waiting][::-1], held[waiting + 1 :]
+            near = [[x.lines for x in side if x.host == current.host and x.host is not None][:NEAR] for side in sides]
+            rows.extend(current.rows)
+            texts.extend([own_text(current.lines, *near)] * len(current.rows))
+            current.rows = []
+            waiting += 1
+            if waiting > NEAR:
+                del held[0]
+                waiting -= 1
+
+        def done() -> Iterator[pa.RecordBatch]:
+            first, chars = 0, 0
+            for k, text in enumerate(texts):
+                chars += len(text)
+                if chars > BATCH_CHARS or k - first == BATCH_ROWS or k == len(texts) - 1:
+                    part = pa.Table.from_batches(rows[first : k + 1]).append_column("text", pa.array(texts[first : k + 1], pa.string()))
+                    yield from part.combine_chunks().to_batches()
+                    first, chars = k + 1, 0
+            rows.clear()
+            texts.clear()
+
+        for found, begins in _runs(batches, columns):
+            if not begins:
+                continue
+            held.append(found)
+            # A run is whole when another follows.
+            while waiting < len(held) - 1 and (len(held) - 1 - waiting >= NEAR or held[waiting].host != found.host):
+                settle()
+            if len(texts) >= BATCH_ROWS:
+                yield from done()
+        while waiting < len(held):
+            settle()
+        yield from done()
 
     return run
 

@@ -32,12 +32,39 @@ def test_only_real_marks_drop_an_element():
     ]
     gone = [
         "<div hidden>", '<div hidden="">', '<p style="color:red; display: none">', '<div style="visibility:hidden">', '<div class="x sidebar">', '<div role="navigation">',
+        '<div class="user-comments">', '<div class="post-comments">', '<div class="related-posts">', '<div class="cookie-notice">', '<div class="article-share-buttons">',
         '<div class="site-header">', '<div id="comments_list">', '<div class="ad-300x250">', '<article hidden>', '<div class="top_nav">',
     ]
     assert [x for x in kept if [line.text for line in html_text.lines_of(x + "Text of it")] != ["Text of it"]] == []
     assert [x for x in gone if html_text.lines_of(x + "Text of it")] == []
 
 
+def test_broken_quotes_leave_no_markup():
+    for mark in ('<p title="5" wide">', "<p title='5' tall'>", '<p title=5">', '<p title = "a > b" x="">'):
+        assert [line.text for line in html_text.lines_of(mark + 'Hello "you" of 5" and 6">')] == ['Hello "you" of 5" and 6">'], mark
+
+
+def test_a_site_without_class_names(spark):
+    menu = "".join(f"<div>Menu entry {k}</div>" for k in range(5))
+    pages = [(k, f"http://h.org/s/{k}", f"{menu}<div>Story {k}</div><div>Imprint</div>") for k in range(40)]
+    # Copies in a row are one page, and versions of a page are none to compare it with.
+    pages += [(100 + k, "http://h.org/s/20", pages[20][2]) for k in range(30)]
+    long = "".join(f"<div>Part {k} of the long one</div>" for k in range(20))
+    pages += [(200 + k, f"http://h.org/s/30/v{k}", f"{menu}{long}<div>Version {k}</div><div>Imprint</div>") for k in range(3)]
+    got = {}
+    for parts in (1, 4):
+        rows = html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts))
+        got[parts] = {r.page_id: r.text for r in rows.collect()}
+    assert got[1] == got[4] and len(got[1]) == len(pages)
+    for k, text in got[1].items():
+        if k < 40:
+            assert text == f"Story {k}"
+        elif k < 200:
+            assert text == "Story 20"
+        else:
+            assert text.split("\n") == [*(f"Part {j} of the long one" for j in range(20)), f"Version {k - 200}"]
+
+
 def test_longest_common_subsequences():
     draw = random.Random(3)
 
