@@ -152,6 +152,21 @@ def _fingerprint() -> str:
     )
 
 
+def _changed_ranges() -> str:
+    """Ranges between every 256th part of the 4096 ids with the least MD5 that hold a changed or missing id."""
+    return f"""{relations()},
+        ids AS (SELECT transaction_id AS id, left(md5('change' || transaction_id), 3) AS mark FROM facts),
+        drawn AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place, count(*) OVER () AS n
+                  FROM (SELECT id FROM ids ORDER BY md5(id), id LIMIT 4096)),
+        borders AS (SELECT id AS border, row_number() OVER (ORDER BY id) AS node FROM drawn
+                    WHERE place IN (SELECT k * n // 256 FROM (SELECT any_value(n) AS n FROM drawn), range(1, 256) AS r(k))),
+        placed AS (SELECT mark, (SELECT count(*) FROM borders WHERE border <= id) AS node FROM ids)
+        SELECT CAST(p.node AS BIGINT) AS node, any_value(b.border) AS from_key, any_value(e.border) AS until_key,
+               count(*) AS rows_before, count(*) FILTER (mark <> '003') AS rows_after
+        FROM placed p LEFT JOIN borders b ON b.node = p.node LEFT JOIN borders e ON e.node = p.node + 1
+        GROUP BY p.node HAVING bool_or(mark <= '003')"""
+
+
 def _quarter_ends() -> list[str]:
     return [f"{year}-{day} 23:59:59" for year in range(1993, 1999) for day in ("03-31", "06-30", "09-30", "12-31")]
 
@@ -371,6 +386,7 @@ def statements() -> dict[str, str]:
         ),
         "payment_facts": _select(FACT_COLUMNS, "facts"),
         "table_fingerprint": _fingerprint(),
+        "fingerprint_difference": _changed_ranges(),
         "facts_by_joins": _select(FACT_COLUMNS, "facts"),
         "exception_signals": _select(SIGNAL_COLUMNS, "detected"),
         **{
@@ -405,6 +421,7 @@ def statements() -> dict[str, str]:
             "WHERE dimension = 'day' ORDER BY dims.dimension_value LIMIT 10",
         ),
         "dimension_metrics": _select(f"dimension {METRIC_COLUMNS}", "dims"),
+        "dimension_metrics_by_cells": _select(f"dimension {METRIC_COLUMNS}", "dims"),
         "merchant_metrics": _metric_view("merchant"),
         "daily_metrics": _metric_view("day"),
         "payment_method_metrics": _metric_view("payment_method"),

@@ -41,7 +41,7 @@ def _canonical(field: T.StructField) -> str:
     return f"concat({text_literal(field.name + '=')}, coalesce(concat('v', {text}), 'null'))"
 
 
-def _fingerprint(table: DataFrame) -> dict[str, str]:
+def fingerprint_aggregates(table: DataFrame) -> dict[str, str]:
     """Row count and a content hash that depends on names and values, not on row order.
 
     A row hashes to the first 60 bits of the MD5 of its values with their column names, so a
@@ -53,7 +53,7 @@ def _fingerprint(table: DataFrame) -> dict[str, str]:
 
 
 def table_fingerprint(table: DataFrame, name: str) -> DataFrame:
-    return table.selectExpr(f"'{name}' AS table_name", *named(_fingerprint(table)))
+    return table.selectExpr(f"'{name}' AS table_name", *named(fingerprint_aggregates(table)))
 
 
 def watched(table: DataFrame) -> tuple[DataFrame, Observation]:
@@ -62,7 +62,7 @@ def watched(table: DataFrame) -> tuple[DataFrame, Observation]:
     The fingerprint rides on that job, so a large report is not computed twice.
     """
     observation = Observation()
-    return table.observe(observation, *aggregates(_fingerprint(table))), observation
+    return table.observe(observation, *aggregates(fingerprint_aggregates(table))), observation
 
 
 def fingerprints(tables: dict[str, DataFrame]) -> DataFrame:

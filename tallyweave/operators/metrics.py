@@ -9,6 +9,7 @@ from tallyweave.functions import aggregates, named
 from tallyweave.functions.clock import MICROS_PER_DAY, micros_between
 from tallyweave.functions.money import GRAND_TOTAL, ratio
 from tallyweave.operators.durable import frozen
+from tallyweave.operators.lattice import by_dimension
 from tallyweave.operators.ordering import quantiles_by_count
 
 # Dimension label -> fact column, and the label of the grand total.
@@ -64,34 +65,38 @@ RATES = {
 }
 
 
-def dimension_totals(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True) -> DataFrame:
+def dimension_totals(
+    cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True, cell_share: float = 1.0
+) -> DataFrame:
     """Counts, sums and rates of all dimensions in one scan with grouping sets.
 
     Partial aggregation follows the expansion inside each task, so a value such as
-    'unknown' that covers most rows shuffles one row per task.
+    'unknown' that covers most rows shuffles one row per task. If a small cell_share is
+    given, the finest cells per row, these are added up first and only they are expanded.
     """
     columns = [DIMENSIONS[d] for d in dimensions]
     if len(columns) == 1 and not include_all:
         grouped = cases.groupBy(columns[0]).agg(*aggregates(MEASURES))
         label, value = f"'{dimensions[0]}'", f"CAST({columns[0]} AS STRING)"
     else:
-        sets = [[F.col(c)] for c in columns] + ([[]] if include_all else [])
         used = {f"_without_{c}": f"grouping({c})" for c in columns}
-        grouped = cases.groupingSets(sets, *columns).agg(*aggregates(MEASURES | used))
+        grouped = by_dimension(cases, columns, MEASURES, used, total=include_all, share=cell_share)
         cases_of = [(f"_without_{c} = 0", d, f"CAST({c} AS STRING)") for d, c in zip(dimensions, columns)]
         label = f"CASE {' '.join(f"WHEN {test} THEN '{d}'" for test, d, _ in cases_of)} ELSE '{ALL}' END"
         value = f"CASE {' '.join(f'WHEN {test} THEN {v}' for test, _, v in cases_of)} ELSE '{ALL}' END"
     return grouped.selectExpr(f"{label} AS dimension", f"{value} AS dimension_value", *MEASURES, *named(RATES))
 
 
-def dimension_metrics(cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True) -> DataFrame:
+def dimension_metrics(
+    cases: DataFrame, dimensions=tuple(DIMENSIONS), include_all: bool = True, cell_share: float = 1.0
+) -> DataFrame:
     """Totals, rates and shares per dimension value.
 
     The grouped table is checkpointed once; its totals per dimension (one row for each
     dimension, at most five) are broadcast back. A window per dimension would pull all
     merchants into one task.
     """
-    totals = frozen(dimension_totals(cases, dimensions, include_all))
+    totals = frozen(dimension_totals(cases, dimensions, include_all, cell_share))
     whole = totals.groupBy("dimension").agg(
         *aggregates({"_exposure": "sum(current_exposure_inr)", "_flagged": "sum(exception_transactions)"})
     )

@@ -23,6 +23,7 @@ from tallyweave.operators.evaluation import (
 )
 from tallyweave.operators.facts import facts_by_joins, gateway_rollup, payment_facts, settlement_rollup
 from tallyweave.operators.fees import expected_fees, fee_variance
+from tallyweave.operators.hash_tree import hash_tree, range_borders, tree_difference
 from tallyweave.operators.legacy import COLUMNS as DETECTION_COLUMNS
 from tallyweave.operators.legacy import detections, detector_differences
 from tallyweave.operators.repeats import repeated_keys
@@ -139,6 +140,17 @@ def _summary_empty(i: Inputs) -> DataFrame:
     return metrics.summary(i.at(BEFORE_ALL_EVENTS).cases)
 
 
+def _fingerprint_difference(i: Inputs) -> DataFrame:
+    """Facts against a version with a cent added to some ledger amounts and some rows gone: the key ranges that differ."""
+    key, facts = "transaction_id", i.facts
+    mark = f"left(md5(concat('change', {key})), 3)"
+    changed = facts.where(f"{mark} <> '003'").withColumn(
+        "internal_gross", F.expr(f"IF({mark} < '003', CAST(coalesce(internal_gross, 0) + 0.01 AS {facts.schema['internal_gross'].dataType.simpleString()}), internal_gross)")
+    )
+    borders = range_borders(facts, key)
+    return tree_difference(hash_tree(facts, key, borders), hash_tree(changed, key, borders), borders)
+
+
 def _top_merchants(i: Inputs) -> DataFrame:
     totals = metrics.dimension_totals(i.cases, ("merchant",), include_all=False)
     return reports.top_bars(totals, "dimension_value", "current_exposure_inr")
@@ -293,6 +305,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "top10_rules": _top_rules,
     "first10_days": _earliest_cohorts,
     "dimension_metrics": lambda i: metrics.dimension_metrics(i.cases),
+    "dimension_metrics_by_cells": lambda i: metrics.dimension_metrics(i.cases, cell_share=0.0),
     "merchant_metrics": partial(_one_dimension, "merchant"),
     "daily_metrics": partial(_one_dimension, "day"),
     "payment_method_metrics": partial(_one_dimension, "payment_method"),
@@ -329,6 +342,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "report_cards": lambda i: reports.report_cards(metrics.summary(i.cases)),
     "exception_rate_text": lambda i: reports.rate_text(metrics.summary(i.cases)),
     "table_fingerprint": lambda i: table_fingerprint(i.facts, "payment_facts"),
+    "fingerprint_difference": _fingerprint_difference,
     "operational_run": _operational_run,
     "queue_file": _queue_file,
     "summary_file": _summary_file,

@@ -6,14 +6,16 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import asdict, dataclass
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.config import ReconciliationConfig, cutoff_literal, parse_cutoff
+from tallyweave.functions import aggregates
 from tallyweave.operators import metrics
 from tallyweave.operators.audit import source_counts
 from tallyweave.operators.durable import new_folder, written
 from tallyweave.operators.facts import payment_facts, snapshot_facts
+from tallyweave.operators.lattice import cell_estimate, cell_share
 from tallyweave.operators.queue import aging_metrics, investigation_queue
 from tallyweave.operators.run_store import Files
 from tallyweave.operators.rules import case_facts, detected_exceptions, reconciliation_facts
@@ -104,13 +106,17 @@ def run_operations(
     validate(feeds)
     visible = cut_feeds(typed_feeds(feeds), cutoff)
     scratch = new_folder(internal.sparkSession, folder)
-    cases = written(case_facts(payment_facts(visible, cutoff, config)), f"{scratch}/case_facts")
+    estimate = Observation()
+    observed = case_facts(payment_facts(visible, cutoff, config)).observe(
+        estimate, *aggregates(cell_estimate(list(metrics.DIMENSIONS.values())))
+    )
+    cases = written(observed, f"{scratch}/case_facts")
     counts = {
         row["feed"]: {k: row[k] for k in ("input_rows", "included_rows", "future_rows_excluded")}
         for row in source_counts(feeds, cutoff).collect()
     }
     return OperationalResult(
-        tables=report_tables(cases, visible["settlement"]),
+        tables=report_tables(cases, visible["settlement"], cell_share(estimate.get)),
         metadata={
             "schema_version": SCHEMA_VERSION,
             "as_of_utc": cutoff.isoformat(),
@@ -122,10 +128,10 @@ def run_operations(
     )
 
 
-def report_tables(cases: DataFrame, settlement: DataFrame) -> Reports:
-    """The twelve reports over stored case facts and visible bank lines."""
+def report_tables(cases: DataFrame, settlement: DataFrame, share: float = 1.0) -> Reports:
+    """The twelve reports over stored case facts and visible bank lines; share is the finest cells per fact."""
     detected = cache(lambda: detected_exceptions(cases))
-    dimensions = cache(lambda: metrics.dimension_metrics(cases))
+    dimensions = cache(lambda: metrics.dimension_metrics(cases, cell_share=share))
     return Reports(
         {
             "reconciliation_facts": lambda: reconciliation_facts(cases),
