@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions import aggregates, text_literal
-from tallyweave.operators.audit import fingerprint_aggregates
+from tallyweave.operators.audit import content_hash, row_hash
 
 FAN = 16
 RANGES = FAN * FAN
@@ -42,9 +42,9 @@ def range_number(key: str, borders: list[str]) -> str:
 
 def hash_tree(table: DataFrame, key: str, borders: list[str]) -> DataFrame:
     """(level, node, rows, content_hash): the root is level 0, a node of level 1 holds FAN ranges, level 2 are the ranges."""
-    sums = fingerprint_aggregates(table)
-    leaves = table.withColumn("_range", F.expr(range_number(key, borders)))
-    leaves = leaves.groupBy("_range").agg(*aggregates(sums))
+    # A row's hash is taken beside its range: Spark compiles a projection that has lambdas in small methods, however wide the table is.
+    hashed = table.selectExpr(f"{range_number(key, borders)} AS _range", f"{row_hash(table)} AS _hash")
+    leaves = hashed.groupBy("_range").agg(*aggregates({"rows": "count(*)", "content_hash": content_hash("_hash")}))
     nodes = ", ".join(f"named_struct('level', {level}, 'node', CAST(_range DIV {FAN ** (2 - level)} AS INT))" for level in range(3))
     each = leaves.selectExpr("rows", "CAST(content_hash AS DECIMAL(38,0)) AS content", f"inline(array({nodes}))")
     return each.groupBy("level", "node").agg(F.expr("sum(rows) AS rows"), F.expr("CAST(sum(content) AS STRING) AS content_hash"))

@@ -1,10 +1,15 @@
 """Dimensions rolled up from the finest cells, and fingerprints per key range."""
 
+import re
+
 import pytest
 
+from tallyweave.operators.audit import table_fingerprint
+from tallyweave.operators.durable import stored
 from tallyweave.operators.hash_tree import FAN, hash_tree, range_borders, range_number, tree_difference
 from tallyweave.operators.lattice import by_dimension, cell_estimate, cell_share, finest_cells
 from tallyweave.functions import aggregates
+from tallyweave.plans import catalogue
 
 MEASURES = {"n": "count(*)", "many": "count_if(x > 5)", "total": "coalesce(CAST(sum(x) AS DECIMAL(38,2)), CAST(0 AS DECIMAL(38,2)))"}
 COLUMNS = ["a", "b"]
@@ -78,3 +83,35 @@ def test_small_and_empty_tables(table):
     none = table.where("false")
     assert range_borders(none, "key") == [] and hash_tree(none, "key", []).count() == 0
     assert tree_difference(hash_tree(none, "key", []), hash_tree(few, "key", []), []).first().rows_after == 3
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A few orders, among them a repeated key and a null one."""
+    path = str(tmp_path_factory.mktemp("orders"))
+    spark.range(4001).selectExpr(
+        "IF(id = 4000, NULL, id % 3990) AS o_orderkey", "id % 50 AS o_custkey", "CAST(1000 + id % 700 AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP_NTZ'1995-01-01 00:00:00' + make_dt_interval(CAST(id % 900 AS INT)) AS o_orderdate",
+    ).write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_versions_are_compared_without_matching_the_feeds_again(spark, folder):
+    facts = catalogue.Inputs(spark, catalogue.read_orders(spark, folder)).facts
+    found = catalogue.queries()["fingerprint_difference"](spark, folder)
+    assert not [f for f in found.inputFiles() if "orders.parquet" in f]
+    key = "transaction_id"
+    borders = range_borders(facts, key)
+    marked = facts.selectExpr(f"{range_number(key, borders)} AS node", f"left(md5(concat('change', {key})), 3) AS mark").collect()
+    assert {r.node for r in found.collect()} == {r.node for r in marked if r.mark is not None and r.mark <= "003"}
+
+
+def test_hashing_a_row_of_facts_is_compiled_by_the_jvm(spark, folder, capsys):
+    """HotSpot only interprets methods above 8000 bytes of bytecode."""
+    facts = stored(catalogue.Inputs(spark, catalogue.read_orders(spark, folder)).facts, "facts")
+    for table in (table_fingerprint(facts, "facts"), hash_tree(facts, "transaction_id", ["T000000100", "T000000200"])):
+        table.collect()  # the adaptive plan is compiled as it runs
+        capsys.readouterr()
+        table.explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
