@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyweave.llm.word_hashes import CHUNK_BYTES, LOWER, chunks, text_buffers
+from tallyweave.llm.word_hashes import CHUNK_BYTES, LOWER, STEP_BYTES, chunks, text_buffers
 
 ORDER = 3
 #: A language of so many rows is learnt from as many at least, however long they are.
@@ -158,7 +158,7 @@ class Model:
         """Bits that each text takes in each language."""
         data, starts = text_buffers(column)
         out = np.zeros((len(column), len(self.langs)))
-        for first, last in chunks(starts):
+        for first, last in chunks(starts, STEP_BYTES):
             begin, end = starts[first], starts[last]
             if last - first > 1 or end - begin <= 2 * CHUNK_BYTES:
                 out[first:last] = self._spelled(data[begin:end], starts[first:last] - begin)

@@ -73,7 +73,7 @@ def _sketched(words: int, sketch: int) -> Callable:
             for found in shingle_sets(batch.column(1), words):
                 sizes.append(len(found))
                 keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                sketches.append(found[:sketch].view(np.int64))
+                sketches.append(found[:sketch].copy().view(np.int64))  # a mere view would keep all hashes
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "digest": batch.column(2), "n_shingles": pa.array(sizes, pa.int64()), "class": pa.array(keys, pa.binary()),
                 "sketch": pa.array(sketches, pa.list_(pa.int64())),
@@ -133,7 +133,7 @@ def _prefixes(words: int, percent: int, shared) -> Callable:
                 weight = np.where(common[place] == found, often[place], 0)
                 least = -(-percent * len(found) // 100)
                 sizes.append(len(found))
-                prefixes.append(found[np.argsort(weight, kind="stable")][: len(found) - least + 1].view(np.int64))
+                prefixes.append(found[np.argsort(weight, kind="stable")][: len(found) - least + 1].copy().view(np.int64))
             yield pa.RecordBatch.from_pydict({
                 "rep": batch.column(0), "component": batch.column(1), "n": pa.array(sizes, pa.int64()), "prefix": pa.array(prefixes, pa.list_(pa.int64())),
             })

@@ -4,13 +4,15 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallyweave.llm import language_id, minhash_dedup, mixing, packing, quality, queries, secret_scan, sharding
+from tallyweave.llm import language_id, minhash_dedup, mixing, packing, quality, queries, secret_scan, sharding, word_hashes
 from tallyweave.llm.components import components
 
 
@@ -220,6 +222,38 @@ def test_links_by_a_small_tail_beside_a_large_template(spark):
     assert got == {k: k // 2 * 2 if k < 2 * tails else k for k, _ in rows}
 
 
+def test_passes_over_many_texts_hold_little_memory():
+    """Workers live on from stage to stage, so what a pass takes beside its input adds to whatever comes next."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices(string.ascii_letters, k=6)) for _ in range(500)]
+    texts = pa.array([" ".join(rng.choices(vocabulary, k=300)) for _ in range(1500)])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1500)), "text": texts, "digest": list(range(1500))})
+    tracemalloc.start()
+    try:
+        sets = sum(1 for _ in word_hashes.shingle_sets(texts, 5))
+        passes = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        rows = sum(b.num_rows for b in minhash_dedup._sketched(5, 32)(iter([batch])))
+        sketched = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sets == rows == 1500 and texts.nbytes > word_hashes.CHUNK_BYTES
+    assert passes < 40e6 and sketched < 40e6
+
+
+def test_words_are_the_same_in_steps_of_any_size(monkeypatch):
+    texts = ["", "One two", " ", "ünï cödé \t one", "", "two", "x" * 70, "one  two three", ""]
+    column = pa.array(texts + [None])
+    data, starts = word_hashes.text_buffers(column)
+    whole = word_hashes.words_in(data, starts)
+    for size in (1, 7, 20, 64):
+        monkeypatch.setattr(word_hashes, "STEP_BYTES", size)
+        cut = word_hashes.words_in(data, starts)
+        assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(whole, cut))
+    assert [data[a:b].tobytes().decode() for a, b in zip(*whole[1:])] == [w for t in texts for w in words(t)]
+    assert all(len(x) == 0 for x in word_hashes.words_in(data[:0], np.zeros(1, np.int64)))
+
+
 def test_components_of_a_long_path(spark):
     """Many rounds, whose planning must not grow."""
     order = list(range(300))
